@@ -7,11 +7,13 @@ from .packing import op10_packing
 from .quality import op6_quality
 from .secrets import op5_secrets
 from .simhash import op8_simhash
+from .suffixes import op3_suffixes
 from .toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
+    "op3_suffixes": op3_suffixes,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
     "op8_simhash": op8_simhash,
