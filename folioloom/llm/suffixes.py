@@ -369,12 +369,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     tie_of = F.when(direct, F.col("packed")).otherwise(F.shiftrightunsigned("packed", AT_BITS + 2 * RUN_BITS))
     marks = judged.where(direct | F.col("late") | F.col("mixed")).select("key", tie_of.alias("tie"), mark.alias("m")).groupBy("key", "tie").agg(F.collect_list("m").alias("marks"))
 
-    # The documents are dealt by key once; both joins read that exchange.
+    # The documents are dealt by key once; both joins read that exchange, so both take all its columns.
     dealt = keyed.repartition("key", "tie")
     wanted = F.transform(F.filter("marks", lambda m: m["end"] < 0), lambda m: m["start"])
     edges = marks.select("key", "tie", wanted.alias("wanted")).where(F.size("wanted") > 0)
-    once = dealt.select("key", "tie", "text").join(edges, ["key", "tie"])
-    contexts = once.select("key", "text", "wanted").mapInArrow(_contexts, "lead long, g long, key long, packed long, context binary")
+    once = dealt.join(edges, ["key", "tie"])
+    contexts = once.select("key", "text", "wanted", "doc_id").mapInArrow(_contexts, "lead long, g long, key long, packed long, context binary")
     found = contexts.repartitionByRange("lead").sortWithinPartitions("lead", "g", "key", "packed").mapInArrow(_bucket, "key long, tie long, start long, end long")
     more = found.groupBy("key", "tie").agg(F.collect_list(F.struct("start", "end")).alias("more"))
     own = F.filter(F.coalesce("marks", F.expr("array()")), lambda m: m["end"] >= 0)
