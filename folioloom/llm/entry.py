@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from .decontaminate import op9_decontamination
 from .language import op2_language
+from .licenses import ORACLE as LICENSES_SQL
+from .licenses import op7_licenses
 from .packing import op10_packing
+from .pii import op4_pii
 from .quality import op6_quality
 from .secrets import op5_secrets
 from .simhash import op8_simhash
@@ -14,11 +18,14 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language": op2_language,
     "op3_suffixes": op3_suffixes,
+    "op4_pii": op4_pii,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
+    "op7_licenses": op7_licenses,
     "op8_simhash": op8_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
 }
 
-#: None of these has a SQL form that stays cheap on whole tables; tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {}
+#: The others have no SQL form that stays cheap on whole tables; tests/llm holds brute-force versions.
+ORACLE_SQL: dict[str, str] = {"op7_licenses": LICENSES_SQL}
