@@ -17,6 +17,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
 from .common import map_slices, table, utf8
@@ -81,6 +82,27 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
     return map_slices(picked, make, f"key {kind}, host string, {FEATURES}")
 
 
+def measured_rows(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """``docs`` as columns c0, c1, ..., then host and FEATURES: no name of theirs can clash."""
+    names = [x.split()[0] for x in FEATURES.split(", ")]
+    renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    at = docs.columns.index(text)
+    named = renamed.withColumn("host", F.coalesce(F.col(f"c{docs.columns.index(host)}").cast("string"), F.lit("")))
+
+    def make():
+        def handle(part: pa.RecordBatch) -> pa.RecordBatch:
+            rows = [measure(x) for x in utf8(part.column(at))]
+            columns = [pa.array(x, pa.int64()) for x in (zip(*rows, strict=True) if rows else [[]] * len(names))]
+            return pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *names])
+
+        return handle
+
+    schema = StructType(list(named.schema.fields))
+    for name in names:
+        schema = schema.add(name, "long")
+    return map_slices(named, make, schema)
+
+
 def with_rules(measured: DataFrame) -> DataFrame:
     """Adds base_failed and n_soft, the number of soft rules that the document fails."""
     n, c = F.col("n_words"), F.col
@@ -114,10 +136,23 @@ def host_rates(ruled: DataFrame) -> DataFrame:
     m, spread = F.col("m"), F.col("m") * (1 - F.col("m"))
     between = F.greatest(F.col("v") - spread * F.col("inv"), F.lit(1e-9))
     prior = moments.select(m, F.least(F.greatest(spread / between - 1, F.lit(1.0)), F.lit(1e6)).alias("weight"))
-    # The prior is one row; joining it is no growing cross product.
-    return hosts.join(F.broadcast(prior)).select(
-        "host", "host_docs", "host_failed", ((F.col("host_failed") + F.col("m") * F.col("weight")) / (F.col("host_docs") + F.col("weight"))).alias("host_rate")
-    )
+    # The prior is two numbers; the driver reads them.
+    row = prior.first()
+    m, weight = (row["m"], row["weight"]) if row["m"] is not None else (0.0, 1.0)
+    rate = (F.col("host_failed") + F.lit(m * weight)) / (F.col("host_docs") + F.lit(weight))
+    return hosts.select("host", "host_docs", "host_failed", rate.alias("host_rate"))
+
+
+def judged(ruled: DataFrame, hosts: DataFrame, spread: str) -> DataFrame:
+    """``ruled`` with the hosts' figures, host_bad and kept; ``spread`` deals a large host's rows."""
+    if hosts.limit(HOST_BROADCAST_ROWS + 1).count() <= HOST_BROADCAST_ROWS:
+        joined = ruled.join(F.broadcast(hosts), "host", "left")
+    else:  # a host may hold a third of all documents: deal its rows and its verdict over salts
+        salted = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1))))
+        joined = ruled.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(HOST_SALTS)).cast("int")).join(salted, ["host", "salt"], "left").drop("salt")
+    bad = F.coalesce(F.col("host_rate") > BAD_HOST_RATE, F.lit(False))
+    kept = ~F.col("base_failed") & ~((F.col("n_soft") >= 2) | ((F.col("n_soft") >= 1) & bad))
+    return joined.withColumn("host_bad", bad).withColumn("kept", kept)
 
 
 def verdicts(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -129,15 +164,15 @@ def verdicts(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
     ensure_checkpoint_dir(docs.sparkSession)
     # Written once to the shared folder: both branches below read it, the texts are measured once.
     ruled = with_rules(features(docs, key, text, host)).checkpoint()
-    hosts = host_rates(ruled)
-    if hosts.limit(HOST_BROADCAST_ROWS + 1).count() <= HOST_BROADCAST_ROWS:
-        joined = ruled.join(F.broadcast(hosts), "host", "left")
-    else:  # a host may hold a third of all documents: deal its rows and its verdict over salts
-        salted = hosts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1))))
-        joined = ruled.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(HOST_SALTS)).cast("int")).join(salted, ["host", "salt"], "left").drop("salt")
-    bad = F.coalesce(F.col("host_rate") > BAD_HOST_RATE, F.lit(False))
-    kept = ~F.col("base_failed") & ~((F.col("n_soft") >= 2) | ((F.col("n_soft") >= 1) & bad))
-    return joined.withColumn("host_bad", bad).withColumn("kept", kept).withColumnRenamed("key", key)
+    return judged(ruled, host_rates(ruled), "key").withColumnRenamed("key", key)
+
+
+def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """``docs`` without the rows that the rules reject; all columns stay. Texts are measured twice (for the
+    hosts' rates, then for each verdict) instead of being shuffled."""
+    hosts = host_rates(with_rules(features(docs, key, text, host)))
+    out = judged(with_rules(measured_rows(docs, text, host)), hosts, f"c{docs.columns.index(text)}").where("kept")
+    return out.select(*(F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,25 +136,32 @@ def scan_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return map_slices(picked, make, f"{key} {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_literal long")
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of its text replaced by ``mark`` (overlapping spans by one mark); other columns stay."""
+def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", count: str | None = None) -> DataFrame:
+    """``docs`` with every span of its text replaced by ``mark`` (overlapping spans by one mark); other columns
+    stay, but for ``count``, which gets the new number of characters where the text changed."""
     names = docs.columns
     at = names.index(text)
 
-    def make():
-        def clean(value: str | None) -> str | None:
-            if not value:
-                return value
-            out, end = [], 0
-            for start, _, stop in scan(value):
-                if start >= end:
-                    out += [value[end:start], mark]
-                end = max(end, stop)
-            return "".join(out) + value[end:] if out else value
+    def clean(value: str | None) -> str | None:
+        spans = scan(value) if value else ()
+        out, end = [], 0
+        for start, _, stop in spans:
+            if start >= end:
+                out += [value[end:start], mark]
+            end = max(end, stop)
+        return "".join(out) + value[end:] if out else value
 
+    def make():
         def handle(part: pa.RecordBatch) -> pa.RecordBatch:
-            column = pa.array([clean(x) for x in part.column(at).to_pylist()], part.schema.field(at).type)
-            return pa.RecordBatch.from_arrays([column if i == at else part.column(i) for i in range(len(names))], names=names)
+            old = part.column(at).to_pylist()
+            new = [clean(x) for x in old]
+            columns = list(part.columns)
+            columns[at] = pa.array(new, part.schema.field(at).type)
+            if count is not None:
+                k = names.index(count)
+                sizes = [n if a is b else len(b) for a, b, n in zip(old, new, columns[k].to_pylist(), strict=True)]
+                columns[k] = pa.array(sizes, part.schema.field(k).type)
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         return handle
 

@@ -182,3 +182,129 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     out = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+# Near copies by Jaccard similarity
+# ---------------------------------
+# Two texts of which 80 % of the five-word shingles agree differ in about 10 of 64 SimHash bits, so a radius of
+# three bits misses most of them, and a wider one needs segments too short to tell texts apart. The stage below
+# keeps the deletion-variant index but cuts signatures of min-hash symbols, which agree as often as shingles do.
+
+STAGE_SHINGLE, SIMILARITY = 5, 0.8
+SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
+_MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
+
+
+def sketch(text: bytes, shingle: int = STAGE_SHINGLE) -> np.ndarray:
+    """SKETCH min-hash symbols (uint32) of the text's set of shingles."""
+    from xxhash import xxh64_intdigest as digest
+
+    words = text.lower().split()
+    whole = b" ".join(words)
+    if len(words) <= shingle:
+        hashes = np.array([digest(whole, SEED)], dtype=np.uint64)
+    else:
+        ends = np.cumsum([len(w) + 1 for w in words])
+        starts = [0, *ends[: len(words) - shingle].tolist()]
+        stops = (ends[shingle - 1 :] - 1).tolist()
+        hashes = np.array([digest(whole[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype=np.uint64)
+    least = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 2048):  # in pieces: very long texts take no more memory
+        part = hashes[at : at + 2048, None]
+        mixed = part * _MULTIPLIERS[:, 0] + _MULTIPLIERS[:, 1]
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(31))).min(axis=0))
+    return (least ^ (least >> np.uint64(32))).astype(np.uint32)
+
+
+def _variants(sketches: np.ndarray) -> np.ndarray:
+    """(rows, SEGMENTS * SYMBOLS) keys: every segment with each of its symbols left out."""
+    rows = len(sketches)
+    part = sketches[:, : SEGMENTS * SYMBOLS].astype(np.uint64).reshape(rows, SEGMENTS, SYMBOLS)
+    odd = np.random.default_rng(11).integers(1, 1 << 63, size=(SEGMENTS, SYMBOLS), dtype=np.uint64) | np.uint64(1)
+    terms = (part + np.uint64(1)) * odd[None]
+    terms ^= terms >> np.uint64(29)
+    terms *= np.uint64(0xBF58476D1CE4E5B9)
+    keys = terms.sum(axis=2, dtype=np.uint64)[:, :, None] - terms  # all symbols but one
+    label = np.arange(SEGMENTS * SYMBOLS, dtype=np.uint64).reshape(1, SEGMENTS, SYMBOLS) * np.uint64(0x9E3779B97F4A7C15)
+    return ((keys ^ (keys >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + label).reshape(rows, -1)
+
+
+def similar_groups(docs: DataFrame, row: str, key: str, text: str, similarity: float = SIMILARITY, shingle: int = STAGE_SHINGLE) -> DataFrame:
+    """(row, best) for every row: best is the (key, row) that stands for its group of near copies.
+
+    Texts with the same sketch are one class. Classes that share a variant are compared along a chain and with
+    the first of their bucket, in an order that differs from bucket to bucket, so a bucket of m classes costs
+    at most 2 (m - 1) comparisons however large it is; classes whose sketches agree in ``similarity`` link.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+
+    def make():
+        def handle(part: pa.RecordBatch) -> pa.RecordBatch:
+            found = [sketch(x, shingle).tobytes() for x in utf8(part.column(2))]
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], names=["row", "key", "sketch"])
+
+        return handle
+
+    kind = docs.schema[key].dataType.simpleString()
+    picked = docs.select(F.col(row).alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    marked = map_slices(picked, make, f"row long, key {kind}, sketch binary").withColumn("class", F.xxhash64("sketch")).checkpoint()
+    classes = marked.groupBy("class").agg(F.first("sketch").alias("sketch"), F.min(F.struct("key", "row")).alias("least"))
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                found = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint32).reshape(-1, SKETCH)
+                variants = _variants(found)
+                names = np.repeat(part.column(0).to_numpy(zero_copy_only=False), variants.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.array(variants.ravel().view(np.int64)), pa.array(names)], names=["v", "class"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = last = bucket = None  # the open bucket's first and latest class
+        for batch in batches:
+            v, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if not len(v):
+                continue
+            new = np.concatenate([[bucket is None or v[0] != bucket], v[1:] != v[:-1]])
+            first = np.maximum.accumulate(np.where(new, np.arange(len(v)), -1))
+            leads = np.where(first >= 0, c[first], lead if lead is not None else 0)
+            before = np.concatenate([[last if last is not None else 0], c[:-1]])
+            inside = ~new
+            u = np.concatenate([leads[inside], before[inside]])
+            w = np.concatenate([c[inside], c[inside]])
+            bucket, lead, last = v[-1], leads[-1], c[-1]
+            if len(u):
+                both = np.unique(np.column_stack([np.minimum(u, w), np.maximum(u, w)]), axis=0)
+                both = both[both[:, 0] != both[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
+
+    variants = classes.select("class", "sketch").mapInArrow(explode, "v long, class long")
+    ordered = variants.repartition("v").sortWithinPartitions("v", F.xxhash64("v", "class"))
+    candidates = ordered.select("v", "class").mapInArrow(pairs, "u long, v long").distinct()
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(-1, SKETCH) for i in (2, 3))
+            keep = pa.array((a == b).mean(axis=1) >= similarity)
+            yield batch.select([0, 1]).filter(keep)
+
+    sketches = classes.select("class", "sketch")
+    left = candidates.join(sketches.withColumnRenamed("class", "u").withColumnRenamed("sketch", "a"), "u")
+    both = left.join(sketches.withColumnRenamed("class", "v").withColumnRenamed("sketch", "b"), "v").select("u", "v", "a", "b")
+    found = components(both.mapInArrow(verify, "u long, v long"))
+    rooted = classes.select("class", "least").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    best = rooted.groupBy("root").agg(F.min("least").alias("best"))
+    named = rooted.select("class", "root").join(best, "root").select("class", "best")
+    return marked.select("row", "class").join(named, "class").select(F.col("row").alias(row), "best")
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of every group of near copies: that of the smallest key. All columns stay.
+
+    Rows are told apart by their place in the input, which is the same whenever it is read again.
+    """
+    row = "_row_" + "_".join(docs.columns)  # clashes with no column
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = similar_groups(placed, row, key, text, similarity)
+    kept = groups.where(F.col("best.row") == F.col(row)).select(row)
+    return placed.join(kept, row, "left_semi").select(*docs.columns)
