@@ -68,6 +68,11 @@ def normal_of(kind: Column, entity: Column) -> Column:
     return F.when(kind == "name", name).when(kind.isin("email", "ip"), F.lower(entity)).otherwise(number)
 
 
+def let(fn, **values: Column) -> Column:
+    """``fn`` of the values' struct, each worked out once however often ``fn`` reads it."""
+    return F.element_at(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), fn), 1)
+
+
 def _stream(kind: Column, normal: Column, attempt: Column, key: str) -> Column:
     """64 hexadecimal characters that depend on the key, the entity and the attempt."""
     return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, normal, attempt.cast("string")), 256)
@@ -80,34 +85,44 @@ def _at(stream: Column, place: Column) -> Column:
 def _characters(entity: Column, stream: Column) -> Column:
     """Every digit by a digit, every ASCII letter by a letter of its case; the rest stays."""
 
-    def swap(i: Column) -> Column:
-        c = entity.substr(i.cast("int"), F.lit(1))
-        rank = F.length(F.regexp_replace(F.upper(entity.substr(F.lit(1), i.cast("int"))), "[^0-9A-Z]", ""))
-        draw = _at(stream, rank)
-        letter = F.lit("bcdfghjklmnpqrstvwxz").substr(F.pmod(draw, F.lit(20)) + 1, F.lit(1))
-        return F.when(c.rlike("[0-9]"), F.pmod(draw, F.lit(10)).cast("string")).when(c.rlike("[a-z]"), letter).when(c.rlike("[A-Z]"), F.upper(letter)).otherwise(c)
+    def swap(x: Column, i: Column) -> Column:
+        c = x["e"].substr(i.cast("int"), F.lit(1))
+        rank = F.length(F.regexp_replace(x["e"].substr(F.lit(1), i.cast("int")), "[^0-9A-Za-z]", ""))
+
+        def pick(y: Column) -> Column:
+            letter = F.lit("bcdfghjklmnpqrstvwxz").substr(F.pmod(y["draw"], F.lit(20)) + 1, F.lit(1))
+            return F.when(y["c"].rlike("[0-9]"), F.pmod(y["draw"], F.lit(10)).cast("string")).when(y["c"].rlike("[a-z]"), letter).otherwise(F.upper(letter))
+
+        return F.when(c.rlike("[0-9A-Za-z]"), let(pick, draw=_at(x["s"], rank), c=c)).otherwise(c)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(entity), F.lit(1))), swap), "")
+    def all_of(x: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x["e"]), F.lit(1))), lambda i: swap(x, i)), "")
+
+    return let(all_of, e=entity, s=stream)
 
 
 def _luhn(digits: Column) -> Column:
     """The digit that makes ``digits`` followed by it pass the Luhn test."""
 
-    def weight(i: Column) -> Column:
-        d = digits.substr(i.cast("int"), F.lit(1)).cast("int")
-        double = F.pmod(F.length(digits) - i, F.lit(2)) == 0
+    def weight(x: Column, i: Column) -> Column:
+        d = x["d"].substr(i.cast("int"), F.lit(1)).cast("int")
+        double = F.pmod(F.length(x["d"]) - i, F.lit(2)) == 0
         return F.when(double & (d > 4), 2 * d - 9).when(double, 2 * d).otherwise(d)
 
-    total = F.aggregate(F.transform(F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1))), weight), F.lit(0), lambda a, x: a + x)
-    return F.pmod(F.lit(10) - F.pmod(total, F.lit(10)), F.lit(10)).cast("string")
+    def check(x: Column) -> Column:
+        total = F.aggregate(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x["d"]), F.lit(1))), lambda i: weight(x, i)), F.lit(0), lambda a, v: a + v)
+        return F.pmod(F.lit(10) - F.pmod(total, F.lit(10)), F.lit(10)).cast("string")
+
+    return let(check, d=digits)
 
 
 def _card(entity: Column, stream: Column) -> Column:
-    digits = F.regexp_replace(entity, "[^0-9]", "")
-    body = digits.substr(F.lit(1), F.length(digits) - 1)
-    new = _characters(entity, stream)
-    head = F.regexp_replace(new, "[0-9]$", "")
-    return F.when(_luhn(body) == F.substring(digits, -1, 1), F.concat(head, _luhn(F.regexp_replace(head, "[^0-9]", "")))).otherwise(new)
+    def one(x: Column) -> Column:
+        body = x["d"].substr(F.lit(1), F.length(x["d"]) - 1)
+        head = F.regexp_replace(x["new"], "[0-9]$", "")
+        return F.when(_luhn(body) == F.substring(x["d"], -1, 1), F.concat(head, _luhn(F.regexp_replace(head, "[^0-9]", "")))).otherwise(x["new"])
+
+    return let(one, d=F.regexp_replace(entity, "[^0-9]", ""), new=_characters(entity, stream))
 
 
 def _name(entity: Column, normal: Column, stream: Column) -> Column:
@@ -127,8 +142,8 @@ def _name(entity: Column, normal: Column, stream: Column) -> Column:
     return F.concat(title, out)
 
 
-def surrogate(kind: Column, normal: Column, entity: Column, attempt: Column, key: str = KEY) -> Column:
-    s = _stream(kind, normal, attempt, key)
+def surrogate(kind: Column, normal: Column, entity: Column, s: Column) -> Column:
+    """The surrogate of an entity, from its stream."""
     octet = lambda p: (F.pmod(_at(s, F.lit(p)), F.lit(254)) + 1).cast("string")
     local, domain = F.regexp_extract(entity, "^(.*)@", 1), F.regexp_extract(entity, r"\.([A-Za-z0-9-]+)$", 1)
     host = F.regexp_replace(F.regexp_extract(entity, r"@(.*)\.[A-Za-z0-9-]+$", 1), "-", "0")
@@ -142,19 +157,36 @@ def surrogate(kind: Column, normal: Column, entity: Column, attempt: Column, key
     )
 
 
+def staged(entities: Column) -> Column:
+    """array<struct(entity, kind, normal)>: each step is a transform of its own, so that what a step works out is
+    read from a field afterwards and never computed twice."""
+    kinds = F.transform(entities, lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind")))
+    return F.transform(kinds, lambda x: F.struct(x["entity"].alias("entity"), x["kind"].alias("kind"), normal_of(x["kind"], x["entity"]).alias("normal")))
+
+
+def surrogates(mentions: Column, attempt, key: str) -> Column:
+    """The surrogates of staged mentions; ``attempt`` gives the attempt of (kind, normal)."""
+    streams = F.transform(mentions, lambda x: F.struct(x["entity"].alias("entity"), x["kind"].alias("kind"), x["normal"].alias("normal"), _stream(x["kind"], x["normal"], attempt(x["kind"], x["normal"]), key).alias("stream")))
+    return F.transform(streams, lambda x: surrogate(x["kind"], x["normal"], x["entity"], x["stream"]))
+
+
 def _mentions(docs: DataFrame, text: str) -> DataFrame:
     """(kind, normal, entity) of all mentions."""
     found = F.when(F.col(text).rlike(HINT), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)))
-    out = docs.select(F.explode(found).alias("entity")).select("entity", kind_of(F.col("entity")).alias("kind"))
-    return out.select("kind", normal_of(F.col("kind"), F.col("entity")).alias("normal"), "entity")
+    return docs.select(F.inline(staged(found))).select("kind", "normal", "entity")
 
 
 def collisions(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """(kind, normal, attempt) of the entities that can't take their first surrogate; checkpointed."""
     ensure_checkpoint_dir(docs.sparkSession)
     # The smallest mention stands for the entity: its surrogate is compared in normalised form.
-    distinct = _mentions(docs, text).groupBy("kind", "normal").agg(F.min("entity").alias("entity")).checkpoint()
-    made = lambda attempt: normal_of(F.col("kind"), surrogate(F.col("kind"), F.col("normal"), F.col("entity"), attempt, key))
+    # Few bytes but much work a row: a set number of partitions isn't merged.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = _mentions(docs, text).groupBy("kind", "normal").agg(F.min("entity").alias("entity")).repartition(tasks, "kind", "normal").checkpoint()
+
+    def made(attempt: Column) -> Column:
+        mention = F.array(F.struct("entity", "kind", "normal"))
+        return F.element_at(F.transform(F.transform(surrogates(mention, lambda k, n: attempt, key), lambda e: F.struct(e.alias("e"), F.col("kind").alias("k"))), lambda x: normal_of(x["k"], x["e"])), 1)
 
     def losers(rows: DataFrame, taken: DataFrame | None) -> DataFrame:
         """Of rows (kind, normal, entity, attempt), those whose surrogate is real, taken, or won by a smaller entity."""
@@ -196,18 +228,19 @@ def with_surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> Data
     t = F.col(text)
     found = F.coalesce(F.when(t.rlike(HINT), F.regexp_extract_all(t, F.lit(ANY), F.lit(0))), F.array().cast("array<string>"))
 
-    def rebuilt(entities: Column) -> Column:
-        pieces = F.split(t, ANY, -1)
-        joined = F.array_join(F.zip_with(pieces, entities, lambda p, e: F.concat(p, F.coalesce(e, F.lit("")))), "")
-        return F.when(F.size(entities) > 0, joined).otherwise(t)
+    def finished(df: DataFrame, entities: Column) -> DataFrame:
+        """The columns of ``docs`` with the new text, and n_entities; entities and text are worked out once a row."""
 
-    def replaced(attempt) -> Column:
-        def one(e: Column) -> Column:
-            kind = kind_of(e)
-            normal = normal_of(kind, e)
-            return surrogate(kind, normal, e, attempt(kind, normal), key)
+        def one(x: Column) -> Column:
+            joined = F.array_join(F.zip_with(F.split(x["t"], ANY, -1), x["e"], lambda p, e: F.concat(p, F.coalesce(e, F.lit("")))), "")
+            return F.struct(F.when(F.size(x["e"]) > 0, joined).otherwise(x["t"]).alias("text"), F.size(x["e"]).cast("long").alias("n"))
+
+        made = "_made_" + "_".join(docs.columns)  # clashes with no column
+        out = df.withColumn(made, let(one, e=entities, t=t))
+        return out.select(*[F.col(f"{made}.text").alias(text) if c == text else F.col(c) for c in docs.columns], F.col(f"{made}.n").alias("n_entities"))
 
-        return F.transform(found, one)
+    def replaced(attempt) -> Column:
+        return surrogates(staged(found), attempt, key)
 
     if len(few) <= MAP_ROWS:
         if few:
@@ -215,17 +248,16 @@ def with_surrogates(docs: DataFrame, text: str = "text", key: str = KEY) -> Data
             swapped = replaced(lambda k, n: F.coalesce(F.try_element_at(attempts, F.concat_ws("\x1f", k, n)), F.lit(0)))
         else:
             swapped = replaced(lambda k, n: F.lit(0))
-        columns = [rebuilt(swapped).alias(text) if c == text else F.col(c) for c in docs.columns]
-        return docs.select(*columns, F.size(found).cast("long").alias("n_entities"))
+        return finished(docs, swapped)
     # Many have moved: the mentions of a text are joined with their attempts, one row a distinct text.
     texts = docs.where(F.size(found) > 0).select(F.sha2(t, 256).alias("_text"), t.alias(text)).groupBy("_text").agg(F.first(text).alias(text))
-    mentions = texts.select("_text", F.posexplode(found).alias("_at", "_entity"))
-    mentions = mentions.withColumn("kind", kind_of(F.col("_entity"))).withColumn("normal", normal_of(F.col("kind"), F.col("_entity")))
-    solved = mentions.join(moved, ["kind", "normal"], "left").withColumn("_new", surrogate(F.col("kind"), F.col("normal"), F.col("_entity"), F.coalesce("attempt", F.lit(0)), key))
+    mentions = texts.select("_text", F.posexplode(staged(found)).alias("_at", "_m")).select("_text", "_at", "_m.*")
+    joined = mentions.join(moved, ["kind", "normal"], "left")
+    one = surrogates(F.array(F.struct("entity", "kind", "normal")), lambda k, n: F.coalesce("attempt", F.lit(0)), key)
+    solved = joined.select("_text", "_at", F.element_at(one, 1).alias("_new"))
     lists = solved.groupBy("_text").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_new"))), lambda x: x["_new"]).alias("_list"))
     out = docs.withColumn("_text", F.sha2(t, 256)).join(lists, "_text", "left")
-    swapped = F.coalesce("_list", F.array().cast("array<string>"))
-    return out.select(*[rebuilt(swapped).alias(text) if c == text else F.col(c) for c in docs.columns], F.size(swapped).cast("long").alias("n_entities"))
+    return finished(out, F.coalesce("_list", F.array().cast("array<string>")))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
