@@ -109,7 +109,7 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     uni = uni / uni.sum(axis=1, keepdims=True)
     bi = (bi + 5 * uni[:, None, :]) / (bi.sum(axis=2, keepdims=True) + 5)
     tri = (tri + 2 * bi[:, None, :, :]) / (tri.sum(axis=3, keepdims=True) + 2)
-    logp = np.log(tri * (1 - SMOOTH) + SMOOTH / size).reshape(len(langs), -1).T.astype(np.float32)
+    logp = np.log(tri * (1 - SMOOTH) + SMOOTH / size).reshape(len(langs), size**3).T.astype(np.float32)
     allowed = np.zeros((len(SCRIPTS) + 1, len(langs)), dtype=np.float32)
     for i in range(len(langs)):
         share = np.asarray(used.get(i, np.zeros(len(SCRIPTS) + 1)), float)

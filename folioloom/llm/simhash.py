@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import map_slices, table, utf8
+from .common import map_slices, slices, table, utf8
 from .components import components
 
 SHINGLE = 3
@@ -33,21 +33,27 @@ SEED = 42
 BLOCK = 2048  # members of a bucket compared in one go
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The 64-bit fingerprint of a whole UTF-8 text."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 of every shingle of the lower-cased words, repeats included; none for a text without words."""
     from xxhash import xxh64_intdigest as digest
 
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     whole = b" ".join(words)
     if len(words) <= shingle:
-        hashes = np.array([digest(whole, SEED)], dtype=np.uint64)
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = [0, *ends[: len(words) - shingle].tolist()]
-        stops = (ends[shingle - 1 :] - 1).tolist()
-        hashes = np.array([digest(whole[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype=np.uint64)
+        return np.array([digest(whole, SEED)], dtype=np.uint64)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = [0, *ends[: len(words) - shingle].tolist()]
+    stops = (ends[shingle - 1 :] - 1).tolist()
+    return np.array([digest(whole[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype=np.uint64)
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """The 64-bit fingerprint of a whole UTF-8 text."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     counts = np.zeros(64, dtype=np.int64)
     octets = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
     for at in range(0, len(octets), 1 << 16):  # in pieces: the bits of a very long text need not be held at once
@@ -192,22 +198,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
+NEIGHBOURS = 3  # classes before a class in a bucket with which it is compared, beside the first
+CLOSE = 0.14  # about four standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
 
 def sketch(text: bytes, shingle: int = STAGE_SHINGLE) -> np.ndarray:
     """SKETCH min-hash symbols (uint32) of the text's set of shingles."""
-    from xxhash import xxh64_intdigest as digest
-
-    words = text.lower().split()
-    whole = b" ".join(words)
-    if len(words) <= shingle:
-        hashes = np.array([digest(whole, SEED)], dtype=np.uint64)
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = [0, *ends[: len(words) - shingle].tolist()]
-        stops = (ends[shingle - 1 :] - 1).tolist()
-        hashes = np.array([digest(whole[a:b], SEED) for a, b in zip(starts, stops, strict=True)], dtype=np.uint64)
+    hashes = shingle_hashes(text, shingle)
     least = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(hashes), 2048):  # in pieces: very long texts take no more memory
         part = hashes[at : at + 2048, None]
@@ -229,26 +227,28 @@ def _variants(sketches: np.ndarray) -> np.ndarray:
     return ((keys ^ (keys >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + label).reshape(rows, -1)
 
 
-def similar_groups(docs: DataFrame, row: str, key: str, text: str, similarity: float = SIMILARITY, shingle: int = STAGE_SHINGLE) -> DataFrame:
-    """(row, best) for every row: best is the (key, row) that stands for its group of near copies.
+def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY, shingle: int = STAGE_SHINGLE) -> DataFrame:
+    """(r1, r2): identities of the documents that stand for their groups of near copies, the smallest key of each.
+    A document's identity is made of two hashes of its key and text.
 
-    Texts with the same sketch are one class. Classes that share a variant are compared along a chain and with
-    the first of their bucket, in an order that differs from bucket to bucket, so a bucket of m classes costs
-    at most 2 (m - 1) comparisons however large it is; classes whose sketches agree in ``similarity`` link.
+    Texts with the same sketch are one class. Classes that share a variant are compared with the NEIGHBOURS
+    before them and the first of their bucket, in an order that differs from bucket to bucket, so a bucket of m
+    classes costs less than (NEIGHBOURS + 1) m comparisons however large it is. Sketches settle the clear cases;
+    where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
     """
     ensure_checkpoint_dir(docs.sparkSession)
 
     def make():
         def handle(part: pa.RecordBatch) -> pa.RecordBatch:
             found = [sketch(x, shingle).tobytes() for x in utf8(part.column(2))]
-            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.binary())], names=["row", "key", "sketch"])
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(found, pa.binary())], names=["r1", "r2", "key", "sketch"])
 
         return handle
 
     kind = docs.schema[key].dataType.simpleString()
-    picked = docs.select(F.col(row).alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    marked = map_slices(picked, make, f"row long, key {kind}, sketch binary").withColumn("class", F.xxhash64("sketch")).checkpoint()
-    classes = marked.groupBy("class").agg(F.first("sketch").alias("sketch"), F.min(F.struct("key", "row")).alias("least"))
+    picked = docs.select(*identity(key, text), F.col(text).cast("string").alias("text"), F.col(key).alias("key"))
+    marked = map_slices(picked, make, f"r1 long, r2 long, key {kind}, sketch binary").withColumn("class", F.xxhash64("sketch")).checkpoint()
+    classes = marked.groupBy("class").agg(F.first("sketch").alias("sketch"), F.min(F.struct("key", "r1", "r2")).alias("least"))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,51 +260,80 @@ def similar_groups(docs: DataFrame, row: str, key: str, text: str, similarity: f
                 yield pa.RecordBatch.from_arrays([pa.array(variants.ravel().view(np.int64)), pa.array(names)], names=["v", "class"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = last = bucket = None  # the open bucket's first and latest class
+        lead, tail_v, tail_c = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open bucket
         for batch in batches:
-            v, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            v, c = (np.concatenate([t, batch.column(i).to_numpy(zero_copy_only=False)]) for i, t in ((0, tail_v), (1, tail_c)))
             if not len(v):
                 continue
-            new = np.concatenate([[bucket is None or v[0] != bucket], v[1:] != v[:-1]])
-            first = np.maximum.accumulate(np.where(new, np.arange(len(v)), -1))
-            leads = np.where(first >= 0, c[first], lead if lead is not None else 0)
-            before = np.concatenate([[last if last is not None else 0], c[:-1]])
-            inside = ~new
-            u = np.concatenate([leads[inside], before[inside]])
-            w = np.concatenate([c[inside], c[inside]])
-            bucket, lead, last = v[-1], leads[-1], c[-1]
-            if len(u):
-                both = np.unique(np.column_stack([np.minimum(u, w), np.maximum(u, w)]), axis=0)
-                both = both[both[:, 0] != both[:, 1]]
+            new = np.concatenate([[True], v[1:] != v[:-1]])
+            first = c[np.maximum.accumulate(np.where(new, np.arange(len(v)), 0))]
+            if len(tail_v):  # the bucket's first class may lie in an earlier batch
+                first[v == v[0]] = lead
+            found = [np.column_stack([first, c])]
+            for back in range(1, NEIGHBOURS + 1):
+                alike = v[back:] == v[:-back]
+                found.append(np.column_stack([c[:-back][alike], c[back:][alike]]))
+            lead, tail_v, tail_c = first[-1], v[v == v[-1]][-NEIGHBOURS:].copy(), c[v == v[-1]][-NEIGHBOURS:].copy()
+            both = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            both = both[both[:, 0] != both[:, 1]]
+            if len(both):
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
 
     variants = classes.select("class", "sketch").mapInArrow(explode, "v long, class long")
     ordered = variants.repartition("v").sortWithinPartitions("v", F.xxhash64("v", "class"))
     candidates = ordered.select("v", "class").mapInArrow(pairs, "u long, v long").distinct()
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(-1, SKETCH) for i in (2, 3))
-            keep = pa.array((a == b).mean(axis=1) >= similarity)
-            yield batch.select([0, 1]).filter(keep)
+            share = (a == b).mean(axis=1)
+            clear = pa.array(share >= similarity + CLOSE)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], clear], names=["u", "v", "clear"]).filter(pa.array(share > similarity - CLOSE))
 
-    sketches = classes.select("class", "sketch")
-    left = candidates.join(sketches.withColumnRenamed("class", "u").withColumnRenamed("sketch", "a"), "u")
-    both = left.join(sketches.withColumnRenamed("class", "v").withColumnRenamed("sketch", "b"), "v").select("u", "v", "a", "b")
-    found = components(both.mapInArrow(verify, "u long, v long"))
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(shared >= similarity * (len(x) + len(y) - shared))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.unique(shingle_hashes(x, shingle).astype(np.uint32)).tobytes() for x in utf8(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["class", "set"])
+
+    def paired(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
+        left = pairs.join(values.select(F.col("class").alias("u"), F.col(name).alias("a")), "u")
+        return left.join(values.select(F.col("class").alias("v"), F.col(name).alias("b")), "v").select("u", "v", "a", "b")
+
+    judged = paired(candidates, classes, "sketch").mapInArrow(estimate, "u long, v long, clear boolean").checkpoint()
+    unclear = judged.where("not clear").select("u", "v")
+    needed = unclear.select(F.explode(F.array("u", "v")).alias("class")).distinct().join(classes.select("class", "least"), "class").select("class", "least.r1", "least.r2")
+    texts = docs.select(*identity(key, text), F.col(text).cast("string").alias("text")).join(needed, ["r1", "r2"]).select("class", "text")
+    sets = texts.mapInArrow(whole_sets, "class long, set binary").dropDuplicates(["class"])
+    linked = judged.where("clear").select("u", "v").unionByName(paired(unclear, sets, "set").mapInArrow(exact, "u long, v long"))
+    found = components(linked)
     rooted = classes.select("class", "least").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     best = rooted.groupBy("root").agg(F.min("least").alias("best"))
-    named = rooted.select("class", "root").join(best, "root").select("class", "best")
-    return marked.select("row", "class").join(named, "class").select(F.col("row").alias(row), "best")
+    return best.select("best.r1", "best.r2")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of every group of near copies: that of the smallest key. All columns stay.
 
-    Rows are told apart by their place in the input, which is the same whenever it is read again.
+    Rows that agree in key and text are copies of each other too, so one of them stays.
     """
-    row = "_row_" + "_".join(docs.columns)  # clashes with no column
-    placed = docs.withColumn(row, F.monotonically_increasing_id())
-    groups = similar_groups(placed, row, key, text, similarity)
-    kept = groups.where(F.col("best.row") == F.col(row)).select(row)
-    return placed.join(kept, row, "left_semi").select(*docs.columns)
+    kept = standing_for(docs, key, text, similarity)
+    names = [f"{n}_{'_'.join(docs.columns)}" for n in ("_r1", "_r2", "_n")]  # clash with no column
+    marked = docs.select("*", *[c.alias(n) for c, n in zip(identity(key, text), names, strict=False)])
+    found = marked.join(kept.toDF(*names[:2]), names[:2], "left_semi")
+    # The window reads the join's own partitioning; what it holds together are equal rows.
+    first = F.row_number().over(Window.partitionBy(*names[:2]).orderBy(F.lit(0)))
+    return found.withColumn(names[2], first).where(F.col(names[2]) == 1).select(*docs.columns)
+
+
+def identity(key: str, text: str) -> list:
+    """Two hashes of key and text, null-safe: 128 bits that name a document."""
+    return [F.xxhash64(F.col(key), F.col(text)).alias("r1"), F.xxhash64(F.lit(1), F.col(text), F.col(key)).alias("r2")]
