@@ -117,12 +117,12 @@ def logical_records(text: str) -> list[str]:
 
 
 def split_record(record: str, fields: int = 3) -> list[str]:
-    """(name, item, source...): cut at a citation (year in brackets or web address) where there is one, else from the right."""
+    """(name, item, source): cut at a citation (year in brackets or web address) where there is one, else from the right."""
     body = record[1:-1].replace('""', '"') if record.startswith('"') and record.endswith('"') and '","' not in record else record
-    if m := re.search(r",\s*\"?([A-Z][^,]*,[^()]*\((?:18|19|20)\d{2}[a-z]?\).*|https?://\S+)$", body):
-        head, tail = body[: m.start()], m.group(1)
-        name, _, item = head.partition(",")
-        return [_squished(x) for x in (name, item, tail)]
+    # The last comma before "Family, I. ... (year)" or before a web address.
+    if m := re.search(r"^(.*),\s*\"?((?:[A-Z][\w'’ -]*,\s*[A-Z]\.[^()]*\((?:18|19|20)\d{2}[a-z]?\)|https?://).*)$", body):
+        name, _, item = m[1].partition(",")
+        return [_squished(x) for x in (name, item, m[2])]
     return [_squished(x) for x in body.rsplit(",", fields - 1)]
 
 
