@@ -33,7 +33,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    configured = context.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured is None:
         # Only a session without any setting (tests, one machine) comes here.
         configured = "file:///tmp/checkpoints/folioloom"
