@@ -198,8 +198,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
-NEIGHBOURS = 3  # classes before a class in a bucket with which it is compared, beside the first
-CLOSE = 0.14  # about four standard errors of a sketch's similarity
+NEIGHBOURS = 1  # classes before a class in a bucket with which it is compared, beside the first
+CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
 
@@ -310,7 +310,8 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
 
     judged = paired(candidates, classes, "sketch").mapInArrow(estimate, "u long, v long, clear boolean").checkpoint()
     unclear = judged.where("not clear").select("u", "v")
-    needed = unclear.select(F.explode(F.array("u", "v")).alias("class")).distinct().join(classes.select("class", "least"), "class").select("class", "least.r1", "least.r2")
+    ends = [unclear.select(F.col(c).alias("class")).distinct() for c in ("u", "v")]
+    needed = ends[0].union(ends[1]).distinct().join(classes.select("class", "least"), "class").select("class", "least.r1", "least.r2")
     texts = docs.select(*identity(key, text), F.col(text).cast("string").alias("text")).join(needed, ["r1", "r2"]).select("class", "text")
     sets = texts.mapInArrow(whole_sets, "class long, set binary").dropDuplicates(["class"])
     linked = judged.where("clear").select("u", "v").unionByName(paired(unclear, sets, "set").mapInArrow(exact, "u long, v long"))
