@@ -67,8 +67,8 @@ def node_depths(df: DataFrame, doc: str, path: str, order: str) -> DataFrame:
 def value_counts(df: DataFrame, value: str, k: int = 10) -> DataFrame:
     """(value, n, share) of the k most frequent values; ties by value."""
     counts = df.groupBy(F.coalesce(F.col(value).cast("string"), F.lit("(null)")).alias("value")).agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.withColumn("share", F.col("n") / total).orderBy(F.desc("n"), "value").limit(k)
+    total = F.broadcast(counts.agg(F.sum("n").alias("_total")))  # one row
+    return counts.orderBy(F.desc("n"), "value").limit(k).join(total).select("value", "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def bands(similarity: Column) -> Column:

@@ -12,7 +12,8 @@ from .base import query, table
 _UNIT = """u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n FROM embeddings),
 k AS (SELECT vec_id, label, list_transform(v, lambda x: CASE WHEN n > 0 THEN x / n ELSE x END * CASE WHEN vec_id % 5 = 0 THEN -1.0 ELSE 1.0 END) AS k FROM u),
 e AS (SELECT vec_id, label, unnest(k) AS x, generate_subscripts(k, 1) AS pos FROM k)"""
-REVERSE = F.col("vec_id") % 5 == 0
+def _reverse():
+    return F.col("vec_id") % 5 == 0
 
 
 def _embeddings(spark, sf):
@@ -21,7 +22,7 @@ def _embeddings(spark, sf):
 
 @query("keyed_centroid", f"WITH {_UNIT} SELECT label::BIGINT AS label, (pos - 1)::BIGINT AS pos, round(avg(x), 6) AS x FROM e GROUP BY 1, 2")
 def keyed_centroid(spark, sf):
-    out = pooling.keyed_centroid(_embeddings(spark, sf), ["label"], "embedding", REVERSE)
+    out = pooling.keyed_centroid(_embeddings(spark, sf), ["label"], "embedding", _reverse())
     return out.select(F.col("label").cast("long").alias("label"), F.posexplode("centroid").alias("pos", "x")).select("label", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x"))
 
 
@@ -29,14 +30,14 @@ def keyed_centroid(spark, sf):
 def renormalised_centroid(spark, sf):
     from ..functions.vectors import norm
 
-    out = pooling.renormalised_centroid(_embeddings(spark, sf), ["label"], "embedding", REVERSE)
+    out = pooling.renormalised_centroid(_embeddings(spark, sf), ["label"], "embedding", _reverse())
     return out.select(F.col("label").cast("long").alias("label"), F.round(norm(F.col("centroid")), 6).alias("length"))
 
 
 @query("loo_disagreement", f"""WITH {_UNIT}, s AS (SELECT label, pos, sum(x) AS s FROM e GROUP BY 1, 2), d AS (SELECT e.label, e.vec_id, sum(x * s) - sum(x * x) AS d FROM e JOIN s USING (label, pos) GROUP BY 1, 2)
 SELECT label::BIGINT AS label, count(*) AS n_items, CASE WHEN count(*) >= 2 THEN count_if(d < 0) ELSE 0 END::BIGINT AS n_disagree FROM d GROUP BY 1""")
 def loo_disagreement(spark, sf):
-    return pooling.keying_disagreement(_embeddings(spark, sf), ["label"], "embedding", REVERSE).withColumn("label", F.col("label").cast("long"))
+    return pooling.keying_disagreement(_embeddings(spark, sf), ["label"], "embedding", _reverse()).withColumn("label", F.col("label").cast("long"))
 
 
 def _placements(spark, sf):
@@ -83,7 +84,7 @@ def carried_cols(spark, sf):
 
 def _query_vector(spark, sf):
     rows = _embeddings(spark, sf).where("vec_id in (0, 1)").orderBy("vec_id")
-    pooled = pooling.keyed_centroid(rows, [], "embedding", REVERSE).first()
+    pooled = pooling.keyed_centroid(rows, [], "embedding", _reverse()).first()
     return literal_vector(pooled["centroid"])
 
 
@@ -204,8 +205,7 @@ def _duplicates(spark, sf):
 @query("greedy_keep")
 def greedy_keep(spark, sf):
     """(dropped, keeper) after a greedy pass in order of document id."""
-    dropped = matching.greedy_keep(_duplicates(spark, sf).select("a", "b").orderBy("a", "b").toPandas(), {})
-    return spark.createDataFrame(sorted(dropped.items()), "dropped long, keeper long")
+    return matching.greedy_keep(_duplicates(spark, sf).select("a", "b"))
 
 
 @query("partial_window")

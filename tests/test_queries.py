@@ -23,3 +23,12 @@ def test_entry(spark):
     rows = __spark_entry__.entry(spark).collect()
     assert rows and all(-1 <= r.similarity <= 1 for r in rows)
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_names_are_known_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], check=True, timeout=120)

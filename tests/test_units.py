@@ -185,11 +185,26 @@ def test_clusters(spark):
     assert [r.cluster for r in matching.clustered(df, ["doc", "id"], "t", "ord").orderBy("ord").collect()] == [1, 1, 2, 0, 1]
 
 
-def test_greedy_keep_follows_direct_pairs_only():
-    import pandas as pd
-
-    pairs = pd.DataFrame([("a", "b"), ("b", "c")], columns=["a", "b"])
-    assert matching.greedy_keep(pairs, {"a": 0, "b": 1, "c": 2}) == {"b": "a"}
+def test_greedy_keep_follows_direct_pairs_only(spark):
+    pairs = spark.createDataFrame([("a", "b"), ("b", "c")], "a string, b string")
+    assert [tuple(r) for r in matching.greedy_keep(pairs).collect()] == [("b", "a")]
+    rank = spark.createDataFrame([("a", 5), ("b", 1), ("c", 5)], "id string, rank int")
+    assert sorted(map(tuple, matching.greedy_keep(pairs, rank).collect())) == [("a", "b"), ("c", "b")]
+    assert matching.greedy_keep(pairs.limit(0)).count() == 0
+
+
+def test_greedy_keep_is_the_sequential_rule(spark):
+    rng = random.Random(7)
+    pairs = {tuple(sorted(rng.sample(range(40), 2))) for _ in range(70)}
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for r in sorted(near):
+        if r not in want:
+            want.update({o: r for o in near[r] if o > r and o not in want})
+    assert dict(map(tuple, matching.greedy_keep(spark.createDataFrame(sorted(pairs), "a long, b long")).collect())) == want
 
 
 def test_statistics(spark):
