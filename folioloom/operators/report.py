@@ -26,7 +26,7 @@ def structure_counts(df: DataFrame, source: str | None, doc: str, item: str, sca
     )
     nodes = both(kept.select("source", "d", F.explode("p").alias("n"))).groupBy("source").agg(F.countDistinct("d", "n").alias("nodes"))
     joined = main.join(nodes, main["source"].eqNullSafe(nodes["source"]), "left").drop(nodes["source"])
-    return joined.withColumn("nodes", F.coalesce("nodes", F.lit(0)))
+    return joined.select("source", "documents", "rows", "placements", "items", "bearing_scales", F.coalesce("nodes", F.lit(0)).alias("nodes"))
 
 
 def per_unit(universe: DataFrame, rows: DataFrame, unit: list[str], counted: Column) -> DataFrame:

@@ -349,3 +349,29 @@ def streamed_counts(spark, sf):
 
     out = counts_of(spark, sf, "events", "event_type", "value")
     return out.select("event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query("item_assignment")
+def item_assignment(spark, sf):
+    """The turns of a conversation matched one to one with their own shortened texts."""
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("item"), F.substring("text", 1, 60).alias("text"))
+    return matching.matched_items(c, c.withColumn("text", F.substring("text", 1, 50)), "doc", "item", "text")
+
+
+@query("tree_validity")
+def tree_validity(spark, sf):
+    """Departures of region trees from trees that lack a nation or misspell one."""
+    n = table(spark, sf, "nation")
+    node = lambda name: F.struct(name.alias("scale_name"))
+    short = n.where("n_nationkey % 7 <> 0").withColumn("n_name", F.when(F.col("n_nationkey") % 5 == 0, F.concat("n_name", F.lit(" x y z w v"))).otherwise(F.col("n_name")))
+    as_tree = lambda df: df.groupBy("n_regionkey").agg(F.to_json(F.struct(F.sort_array(F.collect_list(node(F.col("n_name")))).alias("scales"))).alias("tree"))
+    both = as_tree(n).withColumnRenamed("tree", "expected").join(as_tree(short).withColumnRenamed("tree", "actual"), "n_regionkey")
+    return matching.compared_trees(both, "n_regionkey", "expected", "actual")
+
+
+@query("tree_reliability")
+def tree_reliability(spark, sf):
+    """Similarity of the trees of three runs, each of which leaves out other nations."""
+    n = table(spark, sf, "nation").crossJoin(spark.range(3).withColumnRenamed("id", "run")).where("(n_nationkey + run) % 4 <> 0")
+    tree = F.to_json(F.sort_array(F.collect_list(F.struct(F.col("n_name").alias("name")))))
+    return matching.tree_agreement(n.groupBy("n_regionkey", "run").agg(tree.alias("tree")), "n_regionkey", "run", "tree")

@@ -263,3 +263,17 @@ def test_release_round_trip(spark, tmp_path, monkeypatch):
     assert release.upload_refusals(str(tmp_path / "r"), key, None, True, True) == []
     with pytest.raises(ValueError):
         release.project(df, ["absent"], ["v"])
+
+
+def test_matched_items(spark):
+    a = spark.createDataFrame([("d", 1, "I worry a lot"), ("d", 2, "I sleep well"), ("e", 1, "alone"), ("d", 3, None)], "doc string, item long, text string")
+    b = spark.createDataFrame([("d", 7, "I sleep well."), ("d", 8, "At work I worry a lot these days"), ("d", 9, "other")], "doc string, item long, text string")
+    assert sorted((r.a, r.b) for r in matching.matched_items(a, b, "doc", "item", "text").collect()) == [(1, 8), (2, 7)]
+
+
+def test_tree_frames(spark):
+    rows = [(1, 0, '[{"name": "a"}]'), (1, 1, '[{"name": "a"}]'), (1, 2, "[]")]
+    df = spark.createDataFrame(rows, "doc long, run long, tree string")
+    assert sorted(r.similarity for r in matching.tree_agreement(df, "doc", "run", "tree").collect()) == [0.0, 0.0, 1.0]
+    pair = spark.createDataFrame([(1, '{"scales": [{"scale_name": "Worry"}]}', None), (2, None, "{}")], "k long, e string, a string")
+    assert [(r.k, r.message) for r in matching.compared_trees(pair, "k", "e", "a").collect()] == [(1, "missing node")]
