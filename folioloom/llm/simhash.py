@@ -198,7 +198,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
-NEIGHBOURS = 1  # classes before a class in a bucket with which it is compared, beside the first
+HUBS = 2  # first classes of a bucket with which the others are compared
 CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -231,10 +231,11 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
     """(r1, r2): identities of the documents that stand for their groups of near copies, the smallest key of each.
     A document's identity is made of two hashes of its key and text.
 
-    Texts with the same sketch are one class. Classes that share a variant are compared with the NEIGHBOURS
-    before them and the first of their bucket, in an order that differs from bucket to bucket, so a bucket of m
-    classes costs less than (NEIGHBOURS + 1) m comparisons however large it is. Sketches settle the clear cases;
-    where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
+    Texts with the same sketch are one class. A bucket holds the classes of one variant, those that meet most
+    others in all buckets first: an original of which many were copied leads its copies, so every class is
+    compared with the HUBS first ones and with the one before it. A bucket of m classes costs (HUBS + 1) m
+    comparisons at most, however large it is, and the same hubs lead a class's other buckets. Sketches settle the
+    clear cases; where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
     """
     ensure_checkpoint_dir(docs.sparkSession)
 
@@ -260,27 +261,31 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
                 yield pa.RecordBatch.from_arrays([pa.array(variants.ravel().view(np.int64)), pa.array(names)], names=["v", "class"])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, tail_v, tail_c = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open bucket
+        heads, tail_v, tail_c = np.zeros(HUBS, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open bucket
         for batch in batches:
-            v, c = (np.concatenate([t, batch.column(i).to_numpy(zero_copy_only=False)]) for i, t in ((0, tail_v), (1, tail_c)))
+            v, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             if not len(v):
                 continue
-            new = np.concatenate([[True], v[1:] != v[:-1]])
-            first = c[np.maximum.accumulate(np.where(new, np.arange(len(v)), 0))]
-            if len(tail_v):  # the bucket's first class may lie in an earlier batch
-                first[v == v[0]] = lead
-            found = [np.column_stack([first, c])]
-            for back in range(1, NEIGHBOURS + 1):
-                alike = v[back:] == v[:-back]
-                found.append(np.column_stack([c[:-back][alike], c[back:][alike]]))
-            lead, tail_v, tail_c = first[-1], v[v == v[-1]][-NEIGHBOURS:].copy(), c[v == v[-1]][-NEIGHBOURS:].copy()
+            v, c = np.concatenate([tail_v, v]), np.concatenate([tail_c, c])
+            start = np.maximum.accumulate(np.where(np.concatenate([[True], v[1:] != v[:-1]]), np.arange(len(v)), 0))
+            found = [np.column_stack([c[:-1], c[1:]])[v[1:] == v[:-1]]]
+            for k in range(HUBS):
+                at = start + k
+                head = np.where((at < len(v)) & (v[np.minimum(at, len(v) - 1)] == v), c[np.minimum(at, len(v) - 1)], c)
+                if len(tail_v):  # the bucket's first classes may lie in an earlier batch
+                    head[v == v[0]] = heads[k]
+                found.append(np.column_stack([head, c]))
+                heads[k] = head[-1]
+            tail_v, tail_c = v[-1:].copy(), c[-1:].copy()
             both = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             both = both[both[:, 0] != both[:, 1]]
             if len(both):
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
 
     variants = classes.select("class", "sketch").mapInArrow(explode, "v long, class long")
-    ordered = variants.repartition("v").sortWithinPartitions("v", F.xxhash64("v", "class"))
+    shared = variants.withColumn("n", F.count("*").over(Window.partitionBy("v"))).where("n > 1")
+    degrees = shared.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
+    ordered = shared.select("v", "class").join(degrees, "class").repartition("v").sortWithinPartitions("v", F.desc("degree"), "class")
     candidates = ordered.select("v", "class").mapInArrow(pairs, "u long, v long").distinct()
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
