@@ -198,7 +198,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
-HUBS = 2  # first classes of a bucket with which the others are compared
+BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
+HUBS, MORE_HUBS = 2, 16  # first classes of a bucket with which the others are compared, in two rounds
 CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -234,8 +235,8 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
     Texts with the same sketch are one class. A bucket holds the classes of one variant, those that meet most
     others in all buckets first: an original of which many were copied leads its copies, so every class is
     compared with the HUBS first ones and with the one before it. A bucket of m classes costs (HUBS + 1) m
-    comparisons at most, however large it is, and the same hubs lead a class's other buckets. Sketches settle the
-    clear cases; where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
+    comparisons at most, however large it is, and the same hubs lead a class's other buckets; pairs that no
+    path joins yet are then compared with MORE_HUBS first ones. Sketches settle the clear cases; where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
     """
     ensure_checkpoint_dir(docs.sparkSession)
 
@@ -260,8 +261,8 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
                 names = np.repeat(part.column(0).to_numpy(zero_copy_only=False), variants.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(variants.ravel().view(np.int64)), pa.array(names)], names=["v", "class"])
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, tail_v, tail_c = np.zeros(HUBS, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open bucket
+    def pairs(batches: Iterator[pa.RecordBatch], hubs: int) -> Iterator[pa.RecordBatch]:
+        heads, tail_v, tail_c = np.zeros(hubs, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open bucket
         for batch in batches:
             v, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             if not len(v):
@@ -269,7 +270,7 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
             v, c = np.concatenate([tail_v, v]), np.concatenate([tail_c, c])
             start = np.maximum.accumulate(np.where(np.concatenate([[True], v[1:] != v[:-1]]), np.arange(len(v)), 0))
             found = [np.column_stack([c[:-1], c[1:]])[v[1:] == v[:-1]]]
-            for k in range(HUBS):
+            for k in range(hubs):
                 at = start + k
                 head = np.where((at < len(v)) & (v[np.minimum(at, len(v) - 1)] == v), c[np.minimum(at, len(v) - 1)], c)
                 if len(tail_v):  # the bucket's first classes may lie in an earlier batch
@@ -283,10 +284,7 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
 
     variants = classes.select("class", "sketch").mapInArrow(explode, "v long, class long")
-    shared = variants.withColumn("n", F.count("*").over(Window.partitionBy("v"))).where("n > 1")
-    degrees = shared.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
-    ordered = shared.select("v", "class").join(degrees, "class").repartition("v").sortWithinPartitions("v", F.desc("degree"), "class")
-    candidates = ordered.select("v", "class").mapInArrow(pairs, "u long, v long").distinct()
+    counted = lambda rows: rows.withColumn("n", F.count("*").over(Window.partitionBy("v"))).where("n > 1")
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,14 +311,32 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
         left = pairs.join(values.select(F.col("class").alias("u"), F.col(name).alias("a")), "u")
         return left.join(values.select(F.col("class").alias("v"), F.col(name).alias("b")), "v").select("u", "v", "a", "b")
 
-    judged = paired(candidates, classes, "sketch").mapInArrow(estimate, "u long, v long, clear boolean").checkpoint()
-    unclear = judged.where("not clear").select("u", "v")
-    ends = [unclear.select(F.col(c).alias("class")).distinct() for c in ("u", "v")]
-    needed = ends[0].union(ends[1]).distinct().join(classes.select("class", "least"), "class").select("class", "least.r1", "least.r2")
-    texts = docs.select(*identity(key, text), F.col(text).cast("string").alias("text")).join(needed, ["r1", "r2"]).select("class", "text")
-    sets = texts.mapInArrow(whole_sets, "class long, set binary").dropDuplicates(["class"])
-    linked = judged.where("clear").select("u", "v").unionByName(paired(unclear, sets, "set").mapInArrow(exact, "u long, v long"))
-    found = components(linked)
+    def linked(shared: DataFrame, hubs: int, labels: DataFrame | None = None) -> DataFrame:
+        """Links among the classes of ``shared`` (v, class, n); with labels, only between different ones."""
+        degrees = shared.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
+        ordered = shared.select("v", "class").join(degrees, "class").repartition("v").sortWithinPartitions("v", F.desc("degree"), "class")
+        candidates = ordered.select("v", "class").mapInArrow(lambda batches: pairs(batches, hubs), "u long, v long").distinct()
+        if labels is not None:
+            ends = [labels.select(F.col("class").alias(c), F.col("root").alias(f"r{c}")) for c in ("u", "v")]
+            candidates = candidates.join(ends[0], "u").join(ends[1], "v").where("ru <> rv").select("u", "v")
+        judged = paired(candidates, classes, "sketch").mapInArrow(estimate, "u long, v long, clear boolean").checkpoint()
+        unclear = judged.where("not clear").select("u", "v")
+        ends = [unclear.select(F.col(c).alias("class")).distinct() for c in ("u", "v")]
+        needed = ends[0].union(ends[1]).distinct().join(classes.select("class", "least"), "class").select("class", "least.r1", "least.r2").checkpoint()
+        if needed.count() <= BROADCAST_ROWS:
+            needed = F.broadcast(needed)
+        texts = docs.select(*identity(key, text), F.col(text).cast("string").alias("text")).join(needed, ["r1", "r2"]).select("class", "text")
+        sets = texts.mapInArrow(whole_sets, "class long, set binary").dropDuplicates(["class"])
+        return judged.where("clear").select("u", "v").unionByName(paired(unclear, sets, "set").mapInArrow(exact, "u long, v long")).checkpoint()
+
+    shared = counted(variants).checkpoint()
+    links = linked(shared, HUBS)
+    found = components(links)
+    # Once more with more hubs, for pairs that no path joins yet.
+    labels = classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("root", "class").alias("root"))
+    again = linked(shared, MORE_HUBS, labels)
+    if not again.isEmpty():
+        found = components(links.unionByName(again))
     rooted = classes.select("class", "least").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     best = rooted.groupBy("root").agg(F.min("least").alias("best"))
     return best.select("best.r1", "best.r2")
