@@ -85,14 +85,14 @@ def filter_survivors(spark, sf):
 
 
 @query("placement_filters", """
-WITH p AS (SELECT l_orderkey AS k, CASE l_suppkey % 3 WHEN 0 THEN 'apa-psyctests' WHEN 1 THEN 'aligns' END AS src, CASE l_partkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'unscaled' ELSE 'scaled' END AS bucket,
+WITH p AS (SELECT l_orderkey AS k, CASE l_suppkey % 3 WHEN 0 THEN 'apa-psyctests' WHEN 1 THEN 'partial' END AS src, CASE l_partkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'unscaled' ELSE 'scaled' END AS bucket,
  CASE l_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'open' ELSE 'rating_scale' END AS type, CASE l_partkey % 7 WHEN 0 THEN true WHEN 1 THEN false END AS intake, repeat('x', (l_partkey % 252)::INT) AS txt FROM lineitem)
 SELECT k, count(*) AS kept FROM p WHERE bucket IS NOT NULL AND (type IS NULL OR type = 'rating_scale') AND txt <> '' AND length(txt) <= 250 AND bucket <> 'unscaled'
  AND NOT coalesce(intake, coalesce(src = 'apa-psyctests', false)) GROUP BY k""")
 def placement_filters(spark, sf):
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
     p = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("k"), F.when(supp % 3 == 0, "apa-psyctests").when(supp % 3 == 1, "aligns").alias("corpus_source"), F.when(part % 9 == 1, "unscaled").when(part % 9 > 1, "scaled").alias("bucket"),
+        F.col("l_orderkey").alias("k"), F.when(supp % 3 == 0, "apa-psyctests").when(supp % 3 == 1, "partial").alias("corpus_source"), F.when(part % 9 == 1, "unscaled").when(part % 9 > 1, "scaled").alias("bucket"),
         F.when(part % 5 == 1, "open").when(part % 5 > 1, "rating_scale").alias("item_item_type"), F.when(part % 7 == 0, True).when(part % 7 == 1, False).alias("meta_intake_form"), F.repeat(F.lit("x"), (part % 252).cast("int")).alias("item_item_text"),
     )
     return curation.surviving(p, curation.source_filters(p.columns)).groupBy("k").agg(F.count("*").alias("kept"))
