@@ -199,7 +199,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
 BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
-HUBS, MORE_HUBS = 2, 16  # first classes of a bucket with which the others are compared, in two rounds
+HUBS, MORE_HUBS = 2, 8  # first classes of a bucket with which the others are compared, in two rounds
 CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -262,24 +262,25 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
                 yield pa.RecordBatch.from_arrays([pa.array(variants.ravel().view(np.int64)), pa.array(names)], names=["v", "class"])
 
     def pairs(batches: Iterator[pa.RecordBatch], hubs: int) -> Iterator[pa.RecordBatch]:
-        heads, tail_v, tail_c = np.zeros(hubs, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open bucket
+        """Of rows (v, class, root) in order: pairs of classes of a bucket whose roots differ."""
+        heads, tail = np.zeros((hubs, 2), np.int64), np.zeros((0, 3), np.int64)  # of the open bucket
         for batch in batches:
-            v, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            if not len(v):
+            if not batch.num_rows:
                 continue
-            v, c = np.concatenate([tail_v, v]), np.concatenate([tail_c, c])
+            rows = np.concatenate([tail, np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])])
+            v, c = rows[:, 0], rows[:, 1:]
             start = np.maximum.accumulate(np.where(np.concatenate([[True], v[1:] != v[:-1]]), np.arange(len(v)), 0))
             found = [np.column_stack([c[:-1], c[1:]])[v[1:] == v[:-1]]]
             for k in range(hubs):
-                at = start + k
-                head = np.where((at < len(v)) & (v[np.minimum(at, len(v) - 1)] == v), c[np.minimum(at, len(v) - 1)], c)
-                if len(tail_v):  # the bucket's first classes may lie in an earlier batch
+                at = np.minimum(start + k, len(v) - 1)
+                head = np.where(((start + k < len(v)) & (v[at] == v))[:, None], c[at], c)
+                if len(tail):  # the bucket's first classes may lie in an earlier batch
                     head[v == v[0]] = heads[k]
                 found.append(np.column_stack([head, c]))
                 heads[k] = head[-1]
-            tail_v, tail_c = v[-1:].copy(), c[-1:].copy()
-            both = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-            both = both[both[:, 0] != both[:, 1]]
+            tail = rows[-1:].copy()
+            both = np.concatenate(found)
+            both = np.unique(np.sort(both[both[:, 1] != both[:, 3]][:, [0, 2]], axis=1), axis=0)
             if len(both):
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
 
@@ -312,13 +313,11 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
         return left.join(values.select(F.col("class").alias("v"), F.col(name).alias("b")), "v").select("u", "v", "a", "b")
 
     def linked(shared: DataFrame, hubs: int, labels: DataFrame | None = None) -> DataFrame:
-        """Links among the classes of ``shared`` (v, class, n); with labels, only between different ones."""
-        degrees = shared.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
-        ordered = shared.select("v", "class").join(degrees, "class").repartition("v").sortWithinPartitions("v", F.desc("degree"), "class")
-        candidates = ordered.select("v", "class").mapInArrow(lambda batches: pairs(batches, hubs), "u long, v long").distinct()
-        if labels is not None:
-            ends = [labels.select(F.col("class").alias(c), F.col("root").alias(f"r{c}")) for c in ("u", "v")]
-            candidates = candidates.join(ends[0], "u").join(ends[1], "v").where("ru <> rv").select("u", "v")
+        """Links among the classes of ``shared`` (v, class, n); with labels (class, root), only between different roots."""
+        facts = shared.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
+        facts = facts.withColumn("root", F.col("class")) if labels is None else facts.join(labels, "class")
+        ordered = shared.select("v", "class").join(facts, "class").repartition("v").sortWithinPartitions("v", F.desc("degree"), "class")
+        candidates = ordered.select("v", "class", "root").mapInArrow(lambda batches: pairs(batches, hubs), "u long, v long").distinct()
         judged = paired(candidates, classes, "sketch").mapInArrow(estimate, "u long, v long, clear boolean").checkpoint()
         unclear = judged.where("not clear").select("u", "v")
         ends = [unclear.select(F.col(c).alias("class")).distinct() for c in ("u", "v")]
