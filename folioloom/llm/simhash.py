@@ -199,7 +199,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
 BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
-HUBS, MORE_HUBS = 2, 8  # first classes of a bucket with which the others are compared, in two rounds
+HUBS, MORE_HUBS = 1, 12  # first classes of a bucket with which the others are compared, in two rounds
 CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -234,9 +234,9 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
 
     Texts with the same sketch are one class. A bucket holds the classes of one variant, those that meet most
     others in all buckets first: an original of which many were copied leads its copies, so every class is
-    compared with the HUBS first ones and with the one before it. A bucket of m classes costs (HUBS + 1) m
-    comparisons at most, however large it is, and the same hubs lead a class's other buckets; pairs that no
-    path joins yet are then compared with MORE_HUBS first ones. Sketches settle the clear cases; where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
+    compared with the HUBS first ones; classes that no path joins yet are then compared with the MORE_HUBS first
+    ones and with the one before them. A bucket of m classes costs (MORE_HUBS + 2) m comparisons at most, however
+    large it is, and the same hubs lead a class's other buckets. Sketches settle the clear cases; where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
     """
     ensure_checkpoint_dir(docs.sparkSession)
 
@@ -270,7 +270,7 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
             rows = np.concatenate([tail, np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])])
             v, c = rows[:, 0], rows[:, 1:]
             start = np.maximum.accumulate(np.where(np.concatenate([[True], v[1:] != v[:-1]]), np.arange(len(v)), 0))
-            found = [np.column_stack([c[:-1], c[1:]])[v[1:] == v[:-1]]]
+            found = [np.column_stack([c[:-1], c[1:]])[(v[1:] == v[:-1]) & (hubs > HUBS)]]
             for k in range(hubs):
                 at = np.minimum(start + k, len(v) - 1)
                 head = np.where(((start + k < len(v)) & (v[at] == v))[:, None], c[at], c)
