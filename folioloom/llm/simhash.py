@@ -199,7 +199,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
 BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
-HUBS, MORE_HUBS = 1, 12  # first classes of a bucket with which the others are compared, in two rounds
+FIRST_SHARE = 4  # one bucket in so many is read in the first round, which only spares the second one work
+REST_BLOCK = 1024  # classes of a block, on average, where all pairs are compared
 CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -228,15 +229,51 @@ def _variants(sketches: np.ndarray) -> np.ndarray:
     return ((keys ^ (keys >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + label).reshape(rows, -1)
 
 
+def rest_links(cell: pa.Table, similarity: float) -> pa.Table:
+    """Of rows (cell, second, root, class, set) of one block, or of two that ``second`` tells apart: links (u, v) that
+    connect the roots as all pairs of the block, or between the two, at ``similarity`` or more do.
+
+    One class at a time is compared with all others at once, through an index from shingles to the classes that
+    hold them; of the near ones, only those of a root that no link reached yet give a link.
+    """
+    second = cell.column("second").to_numpy()
+    roots, names = (cell.column(x).to_numpy() for x in ("root", "class"))
+    sets = [np.frombuffer(x, dtype=np.uint32) for x in cell.column("set").to_pylist()]
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    edges: list[tuple[int, int]] = []
+    if len(np.unique(roots)) > 1:
+        label = np.unique(roots, return_inverse=True)[1]
+        inside = not second.any()
+        right = np.arange(len(sets)) if inside else np.flatnonzero(second)
+        values = np.concatenate([sets[i] for i in right])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], np.repeat(np.arange(len(right)), sizes[right])[order]
+        for i in np.arange(len(sets)) if inside else np.flatnonzero(~second):
+            if (label[right] == label[i]).all():
+                continue
+            start, stop = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+            many = stop - start
+            hits = np.repeat(start - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(many) else np.zeros(0, np.int64)
+            shared = np.bincount(owner[hits], minlength=len(right))
+            near = shared >= similarity * (sizes[i] + sizes[right] - shared)
+            for k in right[near & (label[right] != label[i])]:
+                if label[k] != label[i]:
+                    edges.append((int(names[i]), int(names[k])))
+                    label[label == label[k]] = label[i]
+    found = np.array(edges, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"u": found[:, 0].copy(), "v": found[:, 1].copy()})
+
+
 def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY, shingle: int = STAGE_SHINGLE) -> DataFrame:
     """(r1, r2): identities of the documents that stand for their groups of near copies, the smallest key of each.
     A document's identity is made of two hashes of its key and text.
 
-    Texts with the same sketch are one class. A bucket holds the classes of one variant, those that meet most
-    others in all buckets first: an original of which many were copied leads its copies, so every class is
-    compared with the HUBS first ones; classes that no path joins yet are then compared with the MORE_HUBS first
-    ones and with the one before them. A bucket of m classes costs (MORE_HUBS + 2) m comparisons at most, however
-    large it is, and the same hubs lead a class's other buckets. Sketches settle the clear cases; where they agree within CLOSE of the threshold, the texts' whole sets of shingles are compared.
+    Texts with the same sketch are one class; a bucket holds the classes of one variant. A first round compares the
+    classes of some buckets with the one that meets most others in all buckets (of an original with many copies
+    that is the original): sketches settle the clear cases, and where they agree within CLOSE of the threshold the
+    texts' whole sets of shingles are compared. The second round reads every bucket that still holds more than one
+    group. Groups that such buckets connect are taken together and all their pairs are decided on whole sets, in
+    blocks, each inside one task that returns a spanning forest of the near pairs: no pair of a bucket is left out.
     """
     ensure_checkpoint_dir(docs.sparkSession)
 
@@ -261,26 +298,19 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
                 names = np.repeat(part.column(0).to_numpy(zero_copy_only=False), variants.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(variants.ravel().view(np.int64)), pa.array(names)], names=["v", "class"])
 
-    def pairs(batches: Iterator[pa.RecordBatch], hubs: int) -> Iterator[pa.RecordBatch]:
-        """Of rows (v, class, root) in order: pairs of classes of a bucket whose roots differ."""
-        heads, tail = np.zeros((hubs, 2), np.int64), np.zeros((0, 3), np.int64)  # of the open bucket
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows (v, class) in order: a bucket's first class with each other one."""
+        bucket = head = None  # of the bucket that may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.concatenate([tail, np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])])
-            v, c = rows[:, 0], rows[:, 1:]
-            start = np.maximum.accumulate(np.where(np.concatenate([[True], v[1:] != v[:-1]]), np.arange(len(v)), 0))
-            found = [np.column_stack([c[:-1], c[1:]])[(v[1:] == v[:-1]) & (hubs > HUBS)]]
-            for k in range(hubs):
-                at = np.minimum(start + k, len(v) - 1)
-                head = np.where(((start + k < len(v)) & (v[at] == v))[:, None], c[at], c)
-                if len(tail):  # the bucket's first classes may lie in an earlier batch
-                    head[v == v[0]] = heads[k]
-                found.append(np.column_stack([head, c]))
-                heads[k] = head[-1]
-            tail = rows[-1:].copy()
-            both = np.concatenate(found)
-            both = np.unique(np.sort(both[both[:, 1] != both[:, 3]][:, [0, 2]], axis=1), axis=0)
+            v, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            first = np.maximum.accumulate(np.where(np.concatenate([[True], v[1:] != v[:-1]]), np.arange(len(v)), 0))
+            heads = c[first]
+            if v[0] == bucket:
+                heads[v == bucket] = head
+            bucket, head = v[-1], heads[-1]
+            both = np.unique(np.sort(np.column_stack([heads, c])[heads != c], axis=1), axis=0)
             if len(both):
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["u", "v"])
 
@@ -312,28 +342,47 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
         left = pairs.join(values.select(F.col("class").alias("u"), F.col(name).alias("a")), "u")
         return left.join(values.select(F.col("class").alias("v"), F.col(name).alias("b")), "v").select("u", "v", "a", "b")
 
-    def linked(shared: DataFrame, hubs: int, labels: DataFrame | None = None) -> DataFrame:
-        """Links among the classes of ``shared`` (v, class, n); with labels (class, root), only between different roots."""
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(class, set) of the classes of ``wanted``."""
+        needed = wanted.join(classes.select("class", "least"), "class").select("class", "least.r1", "least.r2").checkpoint()
+        if needed.count() <= BROADCAST_ROWS:
+            needed = F.broadcast(needed)
+        texts = docs.select(*identity(key, text), F.col(text).cast("string").alias("text")).join(needed, ["r1", "r2"]).select("class", "text")
+        return texts.mapInArrow(whole_sets, "class long, set binary").dropDuplicates(["class"])
+
+    def linked(shared: DataFrame) -> DataFrame:
+        """Links of the classes of ``shared`` (v, class, n) with the first of each bucket."""
         facts = shared.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
-        facts = facts.withColumn("root", F.col("class")) if labels is None else facts.join(labels, "class")
         ordered = shared.select("v", "class").join(facts, "class").repartition("v").sortWithinPartitions("v", F.desc("degree"), "class")
-        candidates = ordered.select("v", "class", "root").mapInArrow(lambda batches: pairs(batches, hubs), "u long, v long").distinct()
+        candidates = ordered.select("v", "class").mapInArrow(pairs, "u long, v long").distinct()
         judged = paired(candidates, classes, "sketch").mapInArrow(estimate, "u long, v long, clear boolean").checkpoint()
         unclear = judged.where("not clear").select("u", "v")
         ends = [unclear.select(F.col(c).alias("class")).distinct() for c in ("u", "v")]
-        needed = ends[0].union(ends[1]).distinct().join(classes.select("class", "least"), "class").select("class", "least.r1", "least.r2").checkpoint()
-        if needed.count() <= BROADCAST_ROWS:
-            needed = F.broadcast(needed)
-        texts = docs.select(*identity(key, text), F.col(text).cast("string").alias("text")).join(needed, ["r1", "r2"]).select("class", "text")
-        sets = texts.mapInArrow(whole_sets, "class long, set binary").dropDuplicates(["class"])
+        sets = sets_of(ends[0].union(ends[1]).distinct())
         return judged.where("clear").select("u", "v").unionByName(paired(unclear, sets, "set").mapInArrow(exact, "u long, v long")).checkpoint()
 
+    def rest(shared: DataFrame, labels: DataFrame) -> DataFrame:
+        """Links among all classes that meet in a bucket and have different roots in ``labels`` (class, root)."""
+        rows = shared.select("v", "class").join(labels, "class")
+        open_ = rows.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("v", "low")
+        rows = rows.join(open_, "v").select("class", "root", "low").distinct().checkpoint()
+        group = components(rows.select(F.col("root").alias("u"), F.col("low").alias("v")).distinct()).select(F.col("node").alias("root"), F.col("root").alias("high"))
+        # A group's least root has no row of its own among the components' nodes.
+        members = rows.select("class", "root").distinct().join(group, "root", "left").withColumn("high", F.coalesce("high", "root"))
+        members = members.checkpoint()
+        sizes = members.groupBy("high").agg(F.ceil(F.count("*") / REST_BLOCK).cast("long").alias("blocks"))
+        at = members.join(sizes, "high").withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "class"), "blocks"))
+        at = at.join(sets_of(members.select("class")), "class")
+        other = at.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        low, high = F.least("block", "other"), F.greatest("block", "other")
+        cells = other.select(F.xxhash64("high", low, high).alias("cell"), (F.col("block") != low).alias("second"), "root", "class", "set")
+        return cells.groupBy("cell").applyInArrow(lambda cell: rest_links(cell, similarity), "u long, v long").checkpoint()
+
     shared = counted(variants).checkpoint()
-    links = linked(shared, HUBS)
+    links = linked(shared.where(F.pmod(F.xxhash64("v"), F.lit(FIRST_SHARE)) == 0))
     found = components(links)
-    # Once more with more hubs, for pairs that no path joins yet.
-    labels = classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("root", "class").alias("root"))
-    again = linked(shared, MORE_HUBS, labels)
+    labels = classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("root", "class").alias("root")).checkpoint()
+    again = rest(shared, labels)
     if not again.isEmpty():
         found = components(links.unionByName(again))
     rooted = classes.select("class", "least").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))

@@ -362,6 +362,40 @@ def test_near_copies_leave_one(spark, prose):
     assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_copies_behind_a_shared_template(spark, prose, monkeypatch):
+    """Copies of one original lead the buckets; pairs that meet the others only there are found as well."""
+    monkeypatch.setattr(simhash, "REST_BLOCK", 16)
+    rng = random.Random(12)
+    template = prose(160).split()
+    own = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts, tail = [], own(26)
+    for _ in range(40):  # the leading group: one text with few changes
+        words = template + tail
+        words[rng.randrange(160, 186)] = own(1)[0]
+        texts.append(words)
+    for _ in range(30):  # pairs of near copies, far from all others
+        first = template + own(26)
+        texts += [first, first[:168] + own(18)]
+    rows = [(k, " ".join(x)) for k, x in enumerate(texts)]
+    sets = [{tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in texts]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    want = sorted({find(i) for i in range(len(rows))})
+    assert len(want) == 31
+    got = sorted(r.doc_id for r in simhash.drop_near_duplicates(frame(spark, rows)).collect())
+    assert got == want
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
