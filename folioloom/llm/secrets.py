@@ -16,6 +16,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,12 @@ ASSIGN = re.compile(rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-#: name, operator, then a quoted literal, a bare literal or another name
-PAIR = re.compile(r"""(?<![A-Za-z0-9_.-])["']?([A-Za-z_][A-Za-z0-9_.-]{0,63})["']?[ \t]*(?::=|=>|=|:)[ \t]*(?:"([^"\n]{1,512})"|'([^'\n]{1,512})'|([^\s"',;(){}\[\]]{1,512}))""")
+#: name, operator, then a quoted literal, a bare literal or another name; of any length, as no run is tried twice
+PAIR = re.compile(r"""(?<![A-Za-z0-9_.-])["']?([A-Za-z_][A-Za-z0-9_.-]*+)["']?[ \t]*+(?::=|=>|=|:)[ \t]*+(?:"([^"\n]++)"|'([^'\n]++)'|([^\s"',;(){}\[\]]++))""")
+#: name and operator inside a long bare literal, which ends with the literal
+HEAD = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z_][A-Za-z0-9_.-]*+)(?::=|=>|=|:)")
+NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*+")
+NESTED = 512  # a longer literal (prose, a query string) is itself read for pairs too
 SENSITIVE = ("password", "passwd", "passphrase", "pwd", "secret", "token", "apikey", "accesskey", "privatekey", "credential", "authkey", "clientkey", "signingkey", "encryptionkey")
 BENIGN = ("public", "count", "length", "size", "type", "name", "file", "path", "url", "limit", "max", "min")
 MIN_LITERAL, MIN_SCORE = 8, 0.5
@@ -64,22 +69,33 @@ def literal_weight(value: str) -> float:
     return min(1.0, entropy / 4) * min(1.0, n / 12) * (0.5 + 0.25 * min(classes, 3) if classes > 1 else 0.4)
 
 
+def _pairs(text: str, start: int, end: int) -> Iterator[tuple[str, int, int, bool]]:
+    """(name, start and end of its value, whether the value is bare), in order of the values' starts."""
+    for m in PAIR.finditer(text, start, end):
+        group = m.lastindex
+        a, b = m.span(group)
+        yield m.group(1), a, b, group == 4
+        if b - a > NESTED:
+            if group == 4:
+                yield from ((h.group(1), h.end(), b, True) for h in HEAD.finditer(text, a, b) if h.end() < b)
+            else:  # holds no quote of its own kind, so this goes two levels deep at most
+                yield from _pairs(text, a, b)
+
+
 def lexed(text: str) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name, directly or through other names."""
-    literal: dict[str, tuple[int, int, str]] = {}  # the last literal that a name was given
+    literal: dict[str, tuple[int, int]] = {}  # the last literal that a name was given
     alias: list[tuple[str, str]] = []
     found = set()
-    for m in PAIR.finditer(text):
-        name = m.group(1)
-        group = next(g for g in (2, 3, 4) if m.group(g) is not None)
-        value = m.group(group)
-        if group == 4 and re.fullmatch(r"[A-Za-z_][A-Za-z0-9_.]*", value) and not re.search(r"\d", value):
-            alias.append((name, value))
+    reach = 0  # end of the reported spans
+    for name, a, b, bare in _pairs(text, 0, len(text)):
+        if bare and NAME.fullmatch(text, a, b) and not re.search(r"\d", text[a:b]):
+            alias.append((name, text[a:b]))
             continue
-        span = (m.start(group), m.end(group), value)
-        literal[name] = span
-        if name_weight(name) * literal_weight(value) >= MIN_SCORE:
-            found.add(span[:2])
+        literal[name] = (a, b)
+        if b > reach and (weight := name_weight(name)) and weight * literal_weight(text[a:b]) >= MIN_SCORE:
+            found.add((a, b))
+            reach = b
     for _ in range(PROPAGATION_ROUNDS):
         changed = False
         for name, other in alias:
@@ -88,8 +104,8 @@ def lexed(text: str) -> list[tuple[int, int]]:
                 continue
             if literal.get(name) != span:
                 literal[name], changed = span, True
-            if name_weight(name) * literal_weight(span[2]) >= MIN_SCORE:
-                found.add(span[:2])
+            if name_weight(name) * literal_weight(text[span[0] : span[1]]) >= MIN_SCORE:
+                found.add(span)
         if not changed:
             break
     return sorted(found)

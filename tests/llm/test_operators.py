@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -207,6 +208,27 @@ def test_secrets_base_matches_brute_force():
         assert [s for s in secrets.scan(text) if s[1] < 3] == base_spans(text), text
 
 
+def test_secrets_of_any_length(spark):
+    rng = random.Random(13)
+    key = "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(900))
+    name = "a_" * 50 + "private_key"
+    texts = [f'private_key = "{key}"', f'"signing_key": \'{key}\' end', f"access_key={key}", f'{name} = "{key[:40]}"']
+    for text, size in zip(texts, (900, 900, 900, 40), strict=True):
+        at = text.index(key[:size])
+        assert (at, 3, at + size) in secrets.scan(text), text
+    clean = secrets.redact(frame(spark, list(enumerate(texts)))).collect()
+    assert not any(key[20:40] in r.text or key[-20:] in r.text for r in clean)
+    inner = "S3cr3t!pass99"
+    for text in (f'note = "{"words " * 120}password=\'{inner}\' {"words " * 9}"', f"note=?{'page&' * 120}token={inner}"):
+        at = text.index(inner)
+        assert secrets.joined(secrets.scan(text)).endswith(f"literal:{at}:{at + len(inner)}")
+    long = ["token=" * 30_000, "a" * 300_000, "a=" * 100_000, "key=\"" * 60_000, "x" + " " * 300_000 + "token", "'a':'" * 60_000]
+    began = time.perf_counter()
+    for text in long:
+        secrets.lexed(text)
+    assert time.perf_counter() - began < 20
+
+
 def test_secrets_method_and_edge_cases(spark):
     assert secrets.joined(secrets.scan('x = "S3cr3t!pass99"\ndb_password = x\n')) == "literal:5:18"
     assert secrets.joined(secrets.scan('db_pwd="S3cr3t!pass"')) == "literal:8:19"
