@@ -48,7 +48,6 @@ NESTED = 512  # a longer literal (prose, a query string) is itself read for pair
 SENSITIVE = ("password", "passwd", "passphrase", "pwd", "secret", "token", "apikey", "accesskey", "privatekey", "credential", "authkey", "clientkey", "signingkey", "encryptionkey")
 BENIGN = ("public", "count", "length", "size", "type", "name", "file", "path", "url", "limit", "max", "min")
 MIN_LITERAL, MIN_SCORE = 8, 0.5
-PROPAGATION_ROUNDS = 8
 
 
 def name_weight(name: str) -> float:
@@ -83,31 +82,38 @@ def _pairs(text: str, start: int, end: int) -> Iterator[tuple[str, int, int, boo
 
 
 def lexed(text: str) -> list[tuple[int, int]]:
-    """Spans of literals that reach a sensitive name, directly or through other names."""
-    literal: dict[str, tuple[int, int]] = {}  # the last literal that a name was given
-    alias: list[tuple[str, str]] = []
+    """Spans of literals that reach a sensitive name, directly or through other names.
+
+    A bare value is another name where some pair of the text defines it, or where it looks like one without digits.
+    A name stands for all literals that it was given, and for those of all names that it was given.
+    """
+    pairs = list(_pairs(text, 0, len(text)))
+    defined = {name for name, *_ in pairs}
+    longest = max(map(len, defined), default=0)
+    literals: dict[str, list[tuple[int, int]]] = {}
+    others: dict[str, set[str]] = {}
     found = set()
     reach = 0  # end of the reported spans
-    for name, a, b, bare in _pairs(text, 0, len(text)):
-        if bare and NAME.fullmatch(text, a, b) and not re.search(r"\d", text[a:b]):
-            alias.append((name, text[a:b]))
+    for name, a, b, bare in pairs:
+        if bare and ((b - a <= longest and text[a:b] in defined) or (NAME.fullmatch(text, a, b) and not re.search(r"\d", text[a:b]))):
+            others.setdefault(name, set()).add(text[a:b])
             continue
-        literal[name] = (a, b)
+        literals.setdefault(name, []).append((a, b))
         if b > reach and (weight := name_weight(name)) and weight * literal_weight(text[a:b]) >= MIN_SCORE:
             found.add((a, b))
             reach = b
-    for _ in range(PROPAGATION_ROUNDS):
-        changed = False
-        for name, other in alias:
-            span = literal.get(other)
-            if span is None:
-                continue
-            if literal.get(name) != span:
-                literal[name], changed = span, True
-            if name_weight(name) * literal_weight(text[span[0] : span[1]]) >= MIN_SCORE:
-                found.add(span)
-        if not changed:
-            break
+    if not others:
+        return sorted(found)
+    weights = {name: name_weight(name) for name in others}
+    for weight in set(weights.values()) - {0.0}:
+        front = [name for name in others if weights[name] == weight]
+        seen = set(front)
+        while front:
+            name = front.pop()
+            found.update((a, b) for a, b in literals.get(name, ()) if weight * literal_weight(text[a:b]) >= MIN_SCORE)
+            new = others.get(name, set()) - seen
+            seen |= new
+            front += new
     return sorted(found)
 
 

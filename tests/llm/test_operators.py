@@ -229,6 +229,22 @@ def test_secrets_of_any_length(spark):
     assert time.perf_counter() - began < 20
 
 
+def test_secrets_follow_names_to_all_their_literals():
+    one, two = "S3cr3t!pass99", "0ther!Key#77"
+    texts = {
+        f'k2 = "{one}"\npassword = k2\n': [one],
+        f'db_v2: "{one}"\ndb_password: db_v2\n': [one],
+        f'k = "{one}"\npassword = k\nk = "{two}"\n': [one, two],
+        f'k-2 = "{one}"\ntoken = k-2\n': [one],
+        "password = n0\n" + "".join(f"n{i} = n{i + 1}\n" for i in range(40)) + f'n40 = "{one}"\n': [one],
+        f'a = b\nb = a\npassword = a\nb = "{one}"\n': [one],
+        f'k = "{one}"\nother = k\n': [],
+        f"password = {one}\n": [one],
+    }
+    for text, want in texts.items():
+        assert sorted(text[a:b] for a, b in secrets.lexed(text)) == sorted(want), text
+
+
 def test_secrets_method_and_edge_cases(spark):
     assert secrets.joined(secrets.scan('x = "S3cr3t!pass99"\ndb_password = x\n')) == "literal:5:18"
     assert secrets.joined(secrets.scan('db_pwd="S3cr3t!pass"')) == "literal:8:19"
