@@ -1,7 +1,11 @@
 """Queries that read whole tables, against SQL without bounds on ids, where the tables reach beyond those bounds."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
+from folioloom.operators import matching
 from folioloom.plans import registry
 from harness import differences
 
@@ -22,3 +26,24 @@ def test_all_units_count(spark, name):
 
 def test_all_names_are_matched(spark):
     assert differences(spark, registry.QUERIES["name_match_tiers"], unbounded("name_match_tiers", "p_partkey <= 300"), SF) == ""
+
+
+def test_all_orders_have_their_best_counterpart(spark):
+    query = registry.QUERIES["best_counterpart"]
+    assert differences(spark, query, unbounded("best_counterpart", "l_orderkey < 400"), "/root/testdata/sf0.001") == ""
+
+
+def test_best_counterparts_in_many_blocks(spark):
+    rng = random.Random(3)
+    sets = {d: {rng.randrange(30) for _ in range(rng.randint(1, 6))} for d in range(120)}
+    rows = spark.createDataFrame([(d, i) for d, s in sets.items() for i in s], "d long, i long")
+    want = set()
+    for a in range(0, 120, 2):
+        j, b = min((-len(sets[a] & sets[b]) / len(sets[a] | sets[b]), b) for b in range(1, 120, 2))
+        want |= {(a, b, -j)} if j else set()
+    got = matching.best_counterparts(rows, "d", "i", F.col("d") % 2 == 0, F.col("d") % 2 == 1, block=16)
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_all_units_have_a_row(spark):
+    assert differences(spark, registry.QUERIES["run_grid"], unbounded("run_grid", "event_id // 3 < 500"), SF) == ""
