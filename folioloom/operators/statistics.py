@@ -26,21 +26,33 @@ def alpha_nominal(df: DataFrame, unit: str, value: str) -> DataFrame:
     )
 
 
+TEXT_BLOCK = 128  # texts of a block, on average, that alpha_text compares at once
+
+
 def alpha_text(df: DataFrame, run: str, position: str, text: str) -> DataFrame:
     """Alpha with squared normalised Levenshtein distance on the positions that all runs have; 1 where there is none.
 
-    Pairs within a position, and pairs over all values of the kept positions (a document's items: bounded).
+    Pairs within a position, and pairs over all values of the kept positions: each pair of distinct texts is compared
+    once and counts as often as its texts occur. The pairs are dealt in blocks of texts.
     """
     from .matching import distance
 
     sizes = df.groupBy(run).agg(F.count("*").alias("k"))
     least = sizes.agg(F.min("k").alias("k"), F.count("*").alias("r"))
-    kept = df.crossJoin(least).where(F.col(position) < F.col("k")).select(run, position, F.coalesce(text, F.lit("")).alias("t"), "r")
-    a, b = kept.select(F.col(run).alias("ra"), F.col(position).alias("pa"), F.col("t").alias("ta"), "r"), kept.select(F.col(run).alias("rb"), F.col(position).alias("pb"), F.col("t").alias("tb"))
-    pairs = a.join(b, (F.col("ra") != F.col("rb")) | (F.col("pa") != F.col("pb"))).withColumn("d", F.pow(distance(F.col("ta"), F.col("tb")), 2.0))
+    kept = df.crossJoin(least).where(F.col(position) < F.col("k")).select(F.col(position).alias("p"), F.coalesce(text, F.lit("")).alias("t"))
+    places = kept.groupBy("t", "p").agg(F.count("*").alias("c"))
+    texts = places.groupBy("t").agg(F.sum("c").alias("c"), F.map_from_entries(F.collect_list(F.struct("p", "c"))).alias("at"))
+    blocks = max(1, -(-texts.count() // TEXT_BLOCK))
+    dealt = texts.withColumn("block", F.pmod(F.xxhash64("t"), F.lit(blocks)).cast("int"))
+    a = dealt.select(F.col("t").alias("ta"), F.col("c").alias("ca"), F.col("at").alias("aa"), F.col("block").alias("i"), F.explode(F.sequence("block", F.lit(blocks - 1))).alias("j"))
+    b = dealt.select(F.col("t").alias("tb"), F.col("c").alias("cb"), F.col("at").alias("ab"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
+    once = (F.col("i") < F.col("j")) | (F.col("ta") < F.col("tb"))
+    pairs = a.join(b, ["i", "j"]).where(once).withColumn("d", 2 * F.pow(distance(F.col("ta"), F.col("tb")), 2.0))
+    together = F.aggregate(F.map_keys("aa"), F.lit(0).cast("long"), lambda s, p: s + F.col("aa")[p] * F.coalesce(F.try_element_at("ab", p), F.lit(0)))
+    sums = pairs.agg(F.sum(F.col("d") * together).alias("obs"), F.sum(F.col("d") * F.col("ca") * F.col("cb")).alias("all"))
     total = kept.agg(F.count("*").alias("n"))
-    sums = pairs.agg(F.sum(F.when(F.col("pa") == F.col("pb"), F.col("d") / (F.col("r") - 1))).alias("obs"), F.sum("d").alias("all"))
-    return sums.crossJoin(total).select(F.when(F.coalesce("all", F.lit(0.0)) == 0, F.lit(1.0)).otherwise(1 - F.col("obs") * (F.col("n") - 1) / F.col("all")).alias("alpha"))
+    alpha = 1 - F.col("obs") / F.nullif(F.col("r") - 1, F.lit(0)) * (F.col("n") - 1) / F.col("all")
+    return sums.crossJoin(total).crossJoin(least).select(F.when(F.coalesce("all", F.lit(0.0)) == 0, F.lit(1.0)).otherwise(alpha).alias("alpha"))
 
 
 def reverse_agreement(df: DataFrame, pair: list[str], reverse: str) -> DataFrame:

@@ -216,7 +216,7 @@ def partial_window(spark, sf):
 
 @query("text_clusters")
 def text_clusters(spark, sf):
-    rows = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), "role", "turn", F.substring("text", 1, 60).alias("text"))
+    rows = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), "role", "turn", "text")
     return matching.clustered(rows, ["doc", "role"], "text", "turn").select("doc", "role", "turn", "cluster")
 
 
@@ -261,7 +261,7 @@ def alpha_nominal(spark, sf):
 
 @query("alpha_text")
 def alpha_text(spark, sf):
-    rows = table(spark, sf, "conversations").where("conv_id < 3").select(F.col("conv_id").alias("run"), F.col("turn").alias("pos"), F.substring("text", 1, 80).alias("t"))
+    rows = table(spark, sf, "conversations").select(F.col("conv_id").alias("run"), F.col("turn").alias("pos"), F.col("text").alias("t"))
     return statistics.alpha_text(rows, "run", "pos", "t").withColumn("alpha", F.round("alpha", 6))
 
 

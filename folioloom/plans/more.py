@@ -350,8 +350,8 @@ def streamed_counts(spark, sf):
 @query("item_assignment")
 def item_assignment(spark, sf):
     """The turns of a conversation matched one to one with their own shortened texts."""
-    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("item"), F.substring("text", 1, 60).alias("text"))
-    return matching.matched_items(c, c.withColumn("text", F.substring("text", 1, 50)), "doc", "item", "text")
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("item"), "text")
+    return matching.matched_items(c, c.withColumn("text", F.expr("substring(text, 1, greatest(length(text) - 10, 0))")), "doc", "item", "text")
 
 
 @query("tree_validity")

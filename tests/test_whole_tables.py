@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioloom.operators import matching
+from folioloom.operators import matching, statistics
 from folioloom.plans import registry
 from harness import differences
 
@@ -47,3 +47,51 @@ def test_best_counterparts_in_many_blocks(spark):
 
 def test_all_units_have_a_row(spark):
     assert differences(spark, registry.QUERIES["run_grid"], unbounded("run_grid", "event_id // 3 < 500"), SF) == ""
+
+
+def slow_levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+    return row[-1]
+
+
+def test_levenshtein_matches_the_table():
+    rng = random.Random(1)
+    for _ in range(800):
+        a, b = ("".join(rng.choice("abé ") for _ in range(rng.randint(0, 80))) for _ in range(2))
+        assert matching.levenshtein(a, b) == slow_levenshtein(a, b)
+
+
+def slow_alpha(runs):
+    k = min(map(len, runs))
+    cells = [(r, p, t) for r, x in enumerate(runs) for p, t in enumerate(x[:k])]
+    obs = every = 0.0
+    for r, p, t in cells:
+        for s, q, u in cells:
+            d = (slow_levenshtein(t, u) / (max(len(t), len(u)) or 1)) ** 2
+            every += d
+            obs += d / (len(runs) - 1) if p == q and r != s else 0
+    return 1 - obs * (len(cells) - 1) / every
+
+
+def test_alpha_of_whole_texts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(statistics, "TEXT_BLOCK", 3, raising=False)
+    rng = random.Random(2)
+    pool = ["x" * 80 + "".join(rng.choice("abc") for _ in range(20)) for _ in range(6)]
+    runs = [[rng.choice(pool) for _ in range(rng.randint(2, 4))] for _ in range(7)]
+    rows = [(r, p, "user", t) for r, x in enumerate(runs) for p, t in enumerate(x)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    out = registry.QUERIES["alpha_text"](spark, str(tmp_path)).first().alpha
+    assert abs(out - slow_alpha(runs)) < 1e-6
+
+
+def test_texts_that_differ_behind_a_prefix(spark, tmp_path):
+    rows = [(0, 0, "user", "x" * 70 + "abc" * 50), (0, 1, "user", "x" * 70 + "def" * 50)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    out = registry.QUERIES["text_clusters"](spark, str(tmp_path)).collect()
+    assert sorted((r.turn, r.cluster) for r in out) == [(0, 1), (1, 2)]
+    got = registry.QUERIES["item_assignment"](spark, str(tmp_path)).collect()
+    assert sorted((r.a, r.b) for r in got) == [(0, 0), (1, 1)]
