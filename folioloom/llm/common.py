@@ -49,6 +49,16 @@ def map_slices(
     return df.mapInArrow(run, schema)
 
 
+def beside(key: str, *names: str) -> list[str]:
+    """Names of output columns; one that is the key's gets leading underscores until it differs."""
+    out = []
+    for name in names:
+        while name == key or name in out:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def remainder(column: str, mod: int):
     """crc32 of the id's decimal text modulo ``mod``; null ids give null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(mod)

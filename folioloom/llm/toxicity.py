@@ -1,26 +1,31 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text: one on words of ordinary documents, one on excerpts
-of toxic documents. Every window of a text (a word with its borders) is compressed twice, with the ordinary
-dictionary alone and with the ordinary dictionary followed by the toxic one; the share of its length that the toxic text
-saves is the window's distance. The two largest distances of a document go through thresholds calibrated (a
-logistic curve) on labelled documents that trained no dictionary.
-
-Toxic documents are mostly ordinary text, so the toxic dictionary is trained on excerpts: words, and forms of
-word stems, that stand in many different contexts of toxic documents and hardly in ordinary ones (copies repeat
-a context, so they support nothing). A fixed lead and tail around each window, which both dictionaries hold,
-keep the compressor from storing short windows as they are and anchor matches at a word's beginning.
+Two zstandard dictionaries, one of ordinary and one of toxic text, compress every window of a text (WINDOW words,
+a new one every STRIDE words, so the windows overlap); the difference of the two compressed lengths is the
+window's distance. What a document's distances say is calibrated on labelled documents that trained no
+dictionary: a logistic curve over the three largest distances, the number of windows (more windows, larger chance
+maxima) and the sum of all distances.
+
+*Dictionaries.* Toxic documents are mostly ordinary text, so two dictionaries of whole texts differ by chance
+more than by toxicity. Both therefore begin with the same base, trained by zstandard on windows of ordinary
+documents, and end with a part of their own, trained by zstandard in the same way on excerpts of their class:
+words, and forms of word stems, that stand in many different contexts of one class and hardly in the other (copies
+repeat a context, so they support nothing). A fixed lead and tail around each window, which both dictionaries hold,
+keep the compressor from storing short windows as they are.
 
 The classifier is fitted on a bounded sample of labelled rows (ORDINARY_SAMPLE, TOXIC_SAMPLE rows in
-expectation, drawn by a hash of the id); every document is scored over its whole text.
+expectation, drawn by a hash of the id, MAX_ROWS at most); every document is scored over its whole text.
 
-Defined results: null or empty text has no window and gets the curve's value at distance zero; without
-labels of both kinds every score is the share of toxic labels (0 without any); repeated rows are scored one
-by one; an id with both labels counts as toxic; null ids are carried with held_out null and never train.
+Defined results: null or empty text has no window and gets the curve's value without distances; a text of any
+length is scored in memory of its own size, window by window; without labels of both kinds every score is the
+share of toxic labels (0 without any); repeated rows are scored one by one; an id with both labels counts as toxic;
+of equal distances each counts; null ids are carried and never train; an empty table gives no rows.
+Extra columns are not read, and output columns that would be named like the key get a leading underscore.
 """
 
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -29,25 +34,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keyed_share, map_slices, remainder, table, utf8
+from .common import beside, keyed_share, map_slices, remainder, table, utf8
 
 ORDINARY_SAMPLE, TOXIC_SAMPLE = 3000, 1500  # labelled rows, in expectation
-ORDINARY_BYTES, TOXIC_BYTES = 2048, 6144  # dictionary sizes
-ORDINARY_WORDS = 200_000  # words that train the ordinary dictionary
+MAX_ROWS = 2 * (ORDINARY_SAMPLE + TOXIC_SAMPLE)  # labelled rows at most, should ids have several texts
 CALIBRATION_SHARE = 0.4  # of the sample: calibrates the thresholds, trains no dictionary
-MIN_LIFT, MIN_CONTEXTS, CONTEXT_SHARE = 20.0, 4, 0.03  # stems: ratio of rates, contexts, contexts a toxic document
+WINDOW, STRIDE = 6, 3  # words
+BASE_BYTES, OWN_BYTES = 8192, 3072  # of a dictionary: the base, and the part of its class
+BASE_WINDOWS, OWN_SAMPLES = 60_000, 3000  # samples that train the base; samples that train a part, repeated to so many
+SEGMENT, DMER = 24, 6  # zstandard's training: bytes of a segment, bytes that are counted
+MIN_LIFT, MIN_CONTEXTS, CONTEXT_SHARE = 20.0, 4, 0.03  # stems: ratio of rates, contexts, contexts a document
 STEM = (3, 10)  # characters
 LEAD, TAIL = b"~0A~", b"!?=|{}[]^#"
-MATCH_BYTES = 3  # what a match costs
 #: Lazy matching from three bytes on finds short stems; the tables fit the small dictionaries.
-MATCHING = {"window_log": 14, "chain_log": 14, "hash_log": 14, "search_log": 7, "min_match": 3, "target_length": 64}
-CACHE_WORDS = 300_000  # words whose distance a task keeps
+MATCHING = {"window_log": 15, "chain_log": 14, "hash_log": 14, "search_log": 7, "min_match": 3, "target_length": 64}
 EDGE = ".,;:!?|*#$%&<>()[]{}\"'-_/=+~"
 
 
-def windows(text: bytes) -> list[bytes]:
-    """The text's words in lower case."""
-    return text.decode("utf-8", "replace").lower().encode().split()
+def windows(text: bytes, stride: int = STRIDE) -> list[bytes]:
+    """WINDOW words in lower case each, a window every ``stride`` words; one window for a shorter text, none without words."""
+    words = text.decode("utf-8", "replace").lower().encode().split()
+    return [b" " + b" ".join(words[i : i + WINDOW]) + b" " for i in range(0, max(1, len(words) - WINDOW + stride), stride)] if words else []
 
 
 def bare_words(text: bytes) -> list[str]:
@@ -59,13 +66,19 @@ def stems_of(word: str) -> list[str]:
     return [word[:n] for n in range(STEM[0], min(len(word), STEM[1]) + 1)]
 
 
-class Distances(dict):
-    """window -> share of its compressed length that the toxic dictionary saves, kept for CACHE_WORDS windows."""
+@dataclass
+class Model:
+    ordinary: bytes  # contents of the two dictionaries
+    toxic: bytes
+    weights: tuple[float, ...]  # of FEATURES, and the constant
+
+    #: the three largest distances, the logarithm of the number of windows, the sum of distances over its root
+    FEATURES = 5
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
+    def distances(self):
+        """text -> the distances of its windows."""
         import zstandard as zstd
 
-        super().__init__()
         params = zstd.ZstdCompressionParameters(strategy=zstd.STRATEGY_LAZY2, **MATCHING, write_checksum=False, write_content_size=False, write_dict_id=False)
 
         def packed(content: bytes):
@@ -73,60 +86,39 @@ class Distances(dict):
             known.precompute_compress(compression_params=params)
             return zstd.ZstdCompressor(dict_data=known, compression_params=params).compress
 
-        self.plain, self.both = packed(ordinary), packed(ordinary + toxic)
-        self.least = len(self.plain(LEAD + TAIL)) + MATCH_BYTES  # of a window that one match explains
-
-    def __missing__(self, window: bytes) -> float:
-        framed = LEAD + b" " + (window.strip(EDGE.encode()) or window) + b" " + TAIL
-        plain = len(self.plain(framed))
-        saved = (plain - len(self.both(framed))) / max(3, plain - self.least)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        if len(window) <= 64:
-            self[window] = saved
-        return saved
+        ordinary, toxic = packed(self.ordinary), packed(self.toxic)
 
-
-@dataclass
-class Model:
-    ordinary: bytes
-    toxic: bytes
-    weights: tuple[float, float, float]  # of the largest distance, the second largest, and the constant
-
-    def distances(self):
-        """text -> the two largest distances of its windows, 0 at least."""
-        get = Distances(self.ordinary, self.toxic).__getitem__
-
-        def measure(text: bytes) -> tuple[float, float]:
-            found = list(map(get, windows(text)))
-            first = max(found, default=0)
-            if first <= 0:
-                return 0.0, 0.0
-            found.remove(first)
-            return first, max(max(found, default=0.0), 0.0)
+        def measure(text: bytes) -> list[int]:
+            return [len(ordinary(x)) - len(toxic(x)) for w in windows(text) for x in (LEAD + w + TAIL,)]
 
         return measure
 
-    def score(self, first, second):
-        a, b, c = self.weights
-        return 1 / (1 + np.exp(-np.clip(a * np.asarray(first, float) + b * np.asarray(second, float) + c, -500, 500)))
+    @staticmethod
+    def features(found: list[int]) -> list[float]:
+        top = sorted(found, reverse=True)[:3]
+        return [*top, *[0] * (3 - len(top)), float(np.log1p(len(found))), sum(found) / max(1, len(found)) ** 0.5]
+
+    def score(self, features) -> np.ndarray:
+        """Scores of rows of features, 0 to 1."""
+        x = np.asarray(features, float).reshape(-1, self.FEATURES)
+        return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights[:-1]) + self.weights[-1], -500, 500)))
 
 
-def excerpts(toxic: list[bytes], ordinary: list[bytes]) -> list[str]:
-    """Toxic words, best supported first: words, and forms of stems, that stand in many contexts of toxic
-    documents and hardly in ordinary ones."""
-    common = Counter(p for x in ordinary for p in {p for w in set(bare_words(x)) for p in (w + " ", *stems_of(w))})
+def excerpts(texts: list[bytes], others: list[bytes]) -> list[str]:
+    """Words of ``texts``, best supported first: words, and forms of stems, that stand in many contexts of them
+    and hardly in ``others``."""
+    common = Counter(p for x in others for p in {p for w in set(bare_words(x)) for p in (w + " ", *stems_of(w))})
     contexts: dict[str, set] = defaultdict(set)
-    usual = len(ordinary) // 200  # a stem of more ordinary documents is no candidate
-    for x in toxic:
+    usual = len(others) // 200  # a stem of more of the others is no candidate
+    for x in texts:
         words = ["", *bare_words(x), ""]
         for before, word, after in zip(words, words[1:], words[2:], strict=False):
             for p in (word + " ", *stems_of(word)):
                 if common[p] <= usual:
                     contexts[p].add((before, after))
-    scale = (len(ordinary) + 1) / (len(toxic) + 1)
+    scale = (len(others) + 1) / (len(texts) + 1)
     support = {p: n for p, c in contexts.items() if (n := len(c)) >= MIN_CONTEXTS and (n + 0.5) / (common[p] + 0.5) * scale >= MIN_LIFT}
-    stems = {p for p, n in support.items() if p[-1] != " " and n >= CONTEXT_SHARE * len(toxic)}
+    stems = {p for p, n in support.items() if p[-1] != " " and n >= CONTEXT_SHARE * len(texts)}
     forms = {p: len(contexts[p]) for p in contexts if p[-1] == " " and not common[p] and (p in support or stems.intersection(stems_of(p[:-1])))}
     forms.update({p: n for p, n in support.items() if p[-1] == " "})
     return sorted(forms, key=lambda p: (-forms[p], p))
@@ -136,14 +128,24 @@ def dictionary(samples: list[bytes], size: int) -> bytes:
     """The content of a dictionary trained on the samples; the samples themselves where they are too few to train."""
     import zstandard as zstd
 
+    if not samples:
+        return b""
     try:
-        raw = zstd.train_dictionary(size, samples).as_bytes()
+        raw = zstd.train_dictionary(size, samples, k=SEGMENT, d=DMER).as_bytes()
     except zstd.ZstdError:
         return b"".join(dict.fromkeys(samples))[-size:]
     marks = b"\x01\0\0\0\x04\0\0\0\x08\0\0\0"  # the three start offsets end a trained dictionary's head
     return raw[raw.find(marks) + len(marks) :] if marks in raw else raw
 
 
+def own_part(forms: list[str]) -> bytes:
+    """The part of a class: trained on its excerpts, repeated to OWN_SAMPLES and mixed."""
+    samples = [b" " + p.encode() for p in forms][: OWN_BYTES // 8]
+    samples = samples * max(1, OWN_SAMPLES // max(1, len(samples)))
+    random.Random(1).shuffle(samples)
+    return dictionary(samples, OWN_BYTES)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Weights (constant last) by Newton steps with a small ridge."""
     x = np.column_stack([x, np.ones(len(x))])
@@ -165,21 +167,15 @@ def fit(rows: list[tuple[bytes, int, bool]]) -> Model:
     ordinary = [t for t, y, c in seen if not y and not c]
     held = [(t, y) for t, y, c in seen if c] or [(t, y) for t, y, _ in seen]
     share = sum(y for _, y, _ in rows) / len(rows) if rows else 0.0
-    flat = Model(b"", b"", (0.0, 0.0, float(np.log(share / (1 - share))) if 0 < share < 1 else (500.0 if share else -500.0)))
-    stems = excerpts(toxic, ordinary) if toxic and ordinary else []
-    if not stems:
+    constant = float(np.log(share / (1 - share))) if 0 < share < 1 else (500.0 if share else -500.0)
+    flat = Model(b"", b"", (0.0,) * Model.FEATURES + (constant,))
+    if not toxic or not ordinary:
         return flat
-    words = [w for t in ordinary for w in windows(t)]
-    words = words[:: max(1, len(words) // ORDINARY_WORDS)]
-    usual = dictionary([b" " + b" ".join(words[i : i + 4]) + b" " for i in range(0, len(words), 4)], ORDINARY_BYTES) or b" "
-    samples = [LEAD + b" " + p.encode() for p in stems][: TOXIC_BYTES // 8]  # the lead anchors a stem at a word's beginning
-    trained, missing = dictionary(samples * max(1, 2000 // len(samples)), TOXIC_BYTES // 3), b""
-    for p in samples:  # what training left out goes in front
-        if p not in trained and len(trained) + len(missing) + len(p) <= TOXIC_BYTES:
-            missing = p + missing
-    model = Model(usual, missing + trained, flat.weights)
+    usual = [w for t in ordinary for w in windows(t, WINDOW)]
+    base = dictionary(usual[:: max(1, len(usual) // BASE_WINDOWS)], BASE_BYTES) or b" "
+    model = Model(base + own_part(excerpts(ordinary, toxic)), base + own_part(excerpts(toxic, ordinary)), flat.weights)
     measure = model.distances()
-    x, y = np.array([measure(t) for t, _ in held], float), np.array([v for _, v in held], float)
+    x, y = np.array([model.features(measure(t)) for t, _ in held], float), np.array([v for _, v in held], float)
     if 0 < y.sum() < len(y):
         model.weights = tuple(logistic(x, y).tolist())
     return model
@@ -194,28 +190,31 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         if counts.get(value):
             draw = draw | ((F.col("label") == value) & (keyed_share("key", "toxicity") < bound / counts[value]))
     sample = known.where(draw).withColumn("calibrates", keyed_share("key", "calibration") < CALIBRATION_SHARE)
-    # The sample is bounded by its parameters, so broadcasting it is too.
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(sample), "key").select("key", "text", "label", "calibrates").collect()
+    # The sample is bounded by its parameters, so broadcasting it is too; MAX_ROWS bounds ids with many texts.
+    picked = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "key").select("key", "text", "label", "calibrates")
+    rows = picked.dropDuplicates(["key", "text"]).orderBy(F.xxhash64("key", "text"), "key", "text").limit(MAX_ROWS).collect()
     rows.sort(key=lambda r: (r["key"], r["text"] or ""))
     return fit([((r["text"] or "").encode(), r["label"], r["calibrates"]) for r in rows])
 
 
 def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score, distance, distance_2) of every row."""
+    """(key, score, distance, distance_2, n_windows) of every row."""
     kind = docs.schema[key].dataType.simpleString()
+    names = [key, *beside(key, "score", "distance", "distance_2", "n_windows")]
 
     def make():
-        measure = model.distances() if model.toxic else lambda _: (0.0, 0.0)
+        measure = model.distances() if model.toxic else lambda _: []
 
         def handle(part: pa.RecordBatch) -> pa.RecordBatch:
-            found = np.array([measure(x) for x in utf8(part.column(1))], dtype=float).reshape(-1, 2)
-            columns = [pa.array(model.score(found[:, 0], found[:, 1])), pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())]
-            return pa.RecordBatch.from_arrays([part.column(0), *columns], names=[key, "score", "distance", "distance_2"])
+            found = [measure(x) for x in utf8(part.column(1))]
+            rows = np.array([model.features(x) for x in found], dtype=float).reshape(-1, model.FEATURES)
+            columns = [pa.array(model.score(rows)), pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array([len(x) for x in found], pa.int64())]
+            return pa.RecordBatch.from_arrays([part.column(0), *columns], names=names)
 
         return handle
 
-    picked = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text"))
-    return map_slices(picked, make, f"{key} {kind}, score double, distance double, distance_2 double")
+    picked = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("_text"))
+    return map_slices(picked, make, f"`{key}` {kind}, " + ", ".join(f"`{n}` {k}" for n, k in zip(names[1:], ("double", "double", "double", "long"), strict=True)))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,4 +222,4 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(remainder("doc_id", 5) != 0)
     scored = score_documents(docs, train(docs, labels))
-    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "distance", "distance_2")
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "distance", "distance_2", "n_windows")

@@ -47,7 +47,7 @@ def test_toxicity_tells_held_out_documents_apart(spark, prose):
     rows = toxic_rows(prose)
     model = toxicity.fit([(t.encode(), y, i % 5 < 2) for i, t, y in rows[:160]])
     measure = model.distances()
-    right = sum((model.score(*measure(t.encode())) >= 0.5) == bool(y) for _, t, y in rows[160:])
+    right = sum((model.score(model.features(measure(t.encode())))[0] >= 0.5) == bool(y) for _, t, y in rows[160:])
     assert right >= 0.95 * len(rows[160:])
 
 
@@ -57,7 +57,7 @@ def test_toxicity_edge_cases(spark, prose):
     out = toxicity.score_documents(docs, toxicity.train(docs, labels)).collect()
     assert len(out) == 240 + len(ODD) and all(0 <= r.score <= 1 for r in out)
     empty = toxicity.train(docs, labels.limit(0))
-    assert {r.score for r in toxicity.score_documents(docs, empty).collect()} == {toxicity.fit([]).score(0, 0)}
+    assert {r.score for r in toxicity.score_documents(docs, empty).collect()} == set(toxicity.fit([]).score(toxicity.Model.features([])).tolist())
     assert toxicity.score_documents(docs.limit(0), empty).count() == 0
 
 
