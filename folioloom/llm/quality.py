@@ -1,13 +1,15 @@
 """Quality rules with host-level verdicts.
 
-Every whole text is measured once (words, symbols, repeated lines, repeated three-word windows).
-Rule failures are summed by host with map-side partial sums, host rates are shrunk towards the corpus
-by a beta prior fitted to the hosts themselves (method of moments), and the hosts' verdicts are joined
-back to the documents. A bad host never rejects a clean document: it only takes away the benefit of the
-doubt from documents that fail a soft rule.
-
-Defined results: null text counts as empty; a null host is the host ``''``; an empty table gives an
-empty result; repeated rows are measured one by one and all count for their host.
+Whole texts are measured (words, symbols, repeated lines, repeated three-word windows). Rule failures are summed by
+host with map-side partial sums, host rates are shrunk towards the corpus by a beta prior fitted to the hosts
+themselves (method of moments), and the hosts' verdicts are joined back to the documents. A bad host never rejects
+a clean document: it only takes away the benefit of the doubt from documents that fail a soft rule. A host is the
+domain of a URL (lower case, without user, port and ``www.``), or else the value as it stands.
+
+Defined results: null text counts as empty; a null host is the host ``''``; a text of any length is measured whole, in
+memory of its own size; an empty table gives an empty result; repeated rows are measured one by one and all count for
+their host; a rate that equals a bound does not exceed it; null ids are carried; extra columns are not read by
+``verdicts`` and stay in ``keep_good``; output columns that would be named like the key get a leading underscore.
 """
 
 from __future__ import annotations
@@ -15,12 +17,12 @@ from __future__ import annotations
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import ensure_checkpoint_dir
-from .common import map_slices, table, utf8
+from .common import beside, map_slices, table, utf8
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -44,6 +46,13 @@ NOT_UPPER = bytes(sorted(set(range(256)) - set(UPPER)))
 NOT_LETTER = bytes(sorted(set(range(256)) - set(UPPER) - set(range(97, 123))))
 
 
+def host_of(value: Column) -> Column:
+    """The domain of a URL, any other value as it stands, '' for null."""
+    plain = F.coalesce(value.cast("string"), F.lit(""))
+    domain = F.regexp_replace(F.lower(F.regexp_extract(plain, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), r"^www\.", "")
+    return F.when(domain != "", domain).otherwise(plain)
+
+
 def measure(text: bytes) -> tuple[int, int, int, int, int, int, int, int]:
     """The counts of FEATURES for one whole text given as UTF-8."""
     words = text.split()
@@ -78,7 +87,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
 
         return handle
 
-    picked = docs.select(F.col(key).alias("key"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col(text).alias("text"))
+    picked = docs.select(F.col(key).alias("key"), host_of(F.col(host)).alias("host"), F.col(text).cast("string").alias("text"))
     return map_slices(picked, make, f"key {kind}, host string, {FEATURES}")
 
 
@@ -87,7 +96,7 @@ def measured_rows(docs: DataFrame, text: str = "text", host: str = "source") ->
     names = [x.split()[0] for x in FEATURES.split(", ")]
     renamed = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     at = docs.columns.index(text)
-    named = renamed.withColumn("host", F.coalesce(F.col(f"c{docs.columns.index(host)}").cast("string"), F.lit("")))
+    named = renamed.withColumn("host", host_of(F.col(f"c{docs.columns.index(host)}")))
 
     def make():
         def handle(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -120,13 +129,15 @@ def with_rules(measured: DataFrame) -> DataFrame:
 
 
 def host_rates(ruled: DataFrame) -> DataFrame:
-    """host, host_docs, host_failed, host_rate: failure rates shrunk by a beta prior fitted to all hosts.
+    """host, host_docs, host_failed, host_rate: failure rates shrunk by a beta prior fitted to all hosts; written
+    once to the shared folder, so ``ruled`` is worked out once for them.
 
     Moments: with host rates p_i over n_i documents, mean m and variance v of p_i, the sampling part
     m(1-m) * mean(1/n_i) is taken off v; the prior's weight is m(1-m)/v' - 1, kept within [1, 1e6].
     """
     failed = (F.col("base_failed") | (F.col("n_soft") > 0)).cast("long")
-    hosts = ruled.groupBy("host").agg(F.count("*").alias("host_docs"), F.sum(failed).alias("host_failed"))
+    ensure_checkpoint_dir(ruled.sparkSession)
+    hosts = ruled.groupBy("host").agg(F.count("*").alias("host_docs"), F.sum(failed).alias("host_failed")).checkpoint()
     rate = F.col("host_failed") / F.col("host_docs")
     moments = hosts.agg(
         (F.sum("host_failed") / F.sum("host_docs")).alias("m"),
@@ -164,7 +175,9 @@ def verdicts(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
     ensure_checkpoint_dir(docs.sparkSession)
     # Written once to the shared folder: both branches below read it, the texts are measured once.
     ruled = with_rules(features(docs, key, text, host)).checkpoint()
-    return judged(ruled, host_rates(ruled), "key").withColumnRenamed("key", key)
+    out = judged(ruled, host_rates(ruled), "key")
+    names = [c for c in out.columns if c != "key"]
+    return out.select(F.col("key").alias(key), *(F.col(a).alias(b) for a, b in zip(names, beside(key, *names), strict=True)))
 
 
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
