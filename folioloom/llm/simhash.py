@@ -10,8 +10,10 @@ fingerprints are verified and reduced to a spanning forest, and buckets beyond B
 over sub-buckets by the same argument applied to the other segment (see ``_split``), again without loss.
 
 Defined results: null, empty and blank texts have the fingerprint zero, which links like any other; texts
-of one or two words have one shingle; repeated rows and rows of one doc_id with several texts belong to the
-smallest doc_id reachable; null ids never become a component's id unless nothing else is in it.
+of one or two words have one shingle; a text of any length is read whole, its bits summed in pieces; repeated rows and
+rows of one doc_id with several texts belong to the smallest doc_id reachable; null ids never become a component's
+id unless nothing else is in it; an empty table gives no rows; extra columns are not read by ``near_duplicates`` and
+stay in ``drop_near_duplicates``; output columns that would be named like the key get a leading underscore.
 """
 
 from __future__ import annotations
@@ -24,13 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import map_slices, slices, table, utf8
+from .common import beside, map_slices, slices, table, utf8
 from .components import components
 
 SHINGLE = 3
 BITS = 3
 SEED = 42
 BLOCK = 2048  # members of a bucket compared in one go
+HOT = 1000  # a fingerprint of one row in so many is hot: there are at most that many
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -137,10 +140,10 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     dealt = _signatures(fps).repartition("sig").sortWithinPartitions("sig")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep_s, keep_f = np.empty(0, np.int64), np.empty(0, np.uint64)
-
         def reduce(sig: np.ndarray, fp: np.ndarray) -> pa.RecordBatch | None:
             cut = np.flatnonzero(np.diff(sig)) + 1
+            if not len(sig):
+                return None
             starts, stops = np.concatenate([[0], cut]), np.concatenate([cut, [len(sig)]])
             edges = []
             size = stops - starts
@@ -156,16 +159,25 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
             pairs = np.unique(np.array(edges, dtype=np.uint64).view(np.int64).reshape(-1, 2), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
 
+        # The last bucket of a batch may go on in the next ones: its parts are joined once, when it ends.
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def joined() -> pa.RecordBatch | None:
+            sig, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            return reduce(sig, fp)
+
         for batch in batches:
-            sig = np.concatenate([keep_s, batch.column(0).to_numpy(zero_copy_only=False)])
-            fp = np.concatenate([keep_f, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+            sig, fp = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
             if not len(sig):
                 continue
-            last = int(np.searchsorted(sig, sig[-1]))  # the last bucket may go on in the next batch
-            keep_s, keep_f = sig[last:].copy(), fp[last:].copy()
-            if last and (out := reduce(sig[:last], fp[:last])) is not None:
-                yield out
-        if len(keep_s) and (out := reduce(keep_s, keep_f)) is not None:
+            last = int(np.searchsorted(sig, sig[-1]))
+            if last or (held and held[-1][0][-1] != sig[0]):
+                held.append((sig[:last], fp[:last]))
+                if (out := joined()) is not None:
+                    yield out
+            held.append((sig[last:].copy(), fp[last:].copy()))
+        if held and (out := joined()) is not None:
             yield out
 
     return dealt.mapInArrow(run, "u long, v long").distinct()
@@ -175,13 +187,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """(key, fp, component): the smallest key reachable over links, itself included."""
     ensure_checkpoint_dir(docs.sparkSession)
     marked = fingerprints(docs, key, text, shingle).checkpoint()  # read three times below
-    classes = marked.groupBy("fp").agg(F.min("key").alias("least"))
+    classes = marked.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n"))
     found = components(links(classes.select("fp")))
     # Least key of every component: from the classes' least keys, not from the fingerprints' order.
     rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     best = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    named = rooted.select("fp", "root").join(best, "root").select("fp", "component")
-    return marked.join(named, "fp").select(F.col("key").alias(key), "fp", "component")
+    named = rooted.select("fp", "root", "n").join(best, "root").select("fp", "component", "n")
+    # A fingerprint may be a third of all rows: HOT rows or more are few fingerprints, and those are broadcast.
+    hot = F.broadcast(named.where(F.col("n") * HOT >= marked.count()).select("fp", F.col("component").alias("hot")))
+    told = marked.join(hot, "fp", "left")
+    many = told.where("hot is not null").select("key", "fp", F.col("hot").alias("component"))
+    few = told.where("hot is null").select("key", "fp").join(named.select("fp", "component"), "fp")
+    output = beside(key, "fp", "component")
+    return many.unionByName(few.select("key", "fp", "component")).toDF(key, *output)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
