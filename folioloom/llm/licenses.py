@@ -1,12 +1,15 @@
 """Licence scans by canonical digests, with DataFrame functions only.
 
-A text is brought to canonical form: lower case, copyright lines dropped, equivalent spellings made one
-(licence/license, version/v., "(c)"), everything but letters and digits turned to single spaces. The SHA-256 of
-the form is joined by hash with the digests of known licence texts. Whole texts are looked up, and, as documents
-carry licences inside, so is each of their lines; the known texts are a fixed, small table that is broadcast.
-
-Defined results: null text counts as empty, whose digest is known to no licence; repeated rows are looked up
-one by one; an empty table gives an empty result.
+A text is brought to canonical form: copyright lines dropped, lower case, equivalent spellings made one
+(licence/license, version/v.), everything but letters and digits turned to single spaces. The SHA-256 of the form is
+joined by hash with the digests of known licence texts. Whole texts are looked up, and, as documents carry licences
+inside, so is each of their lines, in the task that reads the text; the known texts are a fixed, small table
+(KNOWN_ROWS at most), which is broadcast. Nothing is shuffled.
+
+Defined results: null text counts as empty, whose digest is known to no licence; a text of any length is read whole;
+lines end at a line feed; of known texts with one digest the last one names it; licences of lines are in order of their
+names, each once; repeated rows are looked up one by one; null ids are carried; an empty table gives an empty
+result; extra columns are not read, and output columns that would be named like the key get a leading underscore.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import beside, table
 
 #: Equivalent spellings, in order: pattern (the same in Java, Python and RE2) and replacement. A fixed list.
 SPELLINGS = (
@@ -30,8 +33,17 @@ SPELLINGS = (
     ("and/or", "and or"),
     ("per cent", "percent"),
 )
-#: Lines that name a holder; they differ from copy to copy.
-COPYRIGHT_LINE = "(?m)^[^\\n]*(?:copyright[ \\t]+(?:\\(c\\)|[0-9]{4})|\\(c\\)[ \\t]*[0-9]{4}|all rights reserved)[^\\n]*$"
+#: Lines that name a holder or a year; they differ from copy to copy. The same in Java, Python and RE2. A fixed pattern.
+COPYRIGHT_LINE = (
+    "(?m)^(?:"
+    "[^\\n]*(?i:copyright)[ \\t]*:?[ \\t]*(?:\\((?i:c)\\)|©|&copy;|[0-9]{4})"
+    "|[^\\n]*(?:\\((?i:c)\\)|©)[ \\t]*[0-9]{4}"
+    "|[^\\n]*(?i:all rights reserved)"
+    "|[^A-Za-z0-9\\n]*(?:[Cc]opyright|COPYRIGHT)[ \\t]*:?[ \\t]+(?:by[ \\t]+)?[A-ZÀ-ÞΑ-ΩА-Я][a-zß-ÿα-ωа-я]"
+    "|[^A-Za-z0-9\\n]*©"
+    ")[^\\n]*$"
+)
+KNOWN_ROWS = 10_000  # digests at most that a scan takes: they are broadcast
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -70,41 +82,67 @@ KNOWN = (
 )
 
 
+#: (licence id, digest of the canonical form): whole texts of long public licences. A fixed list.
+KNOWN_DIGESTS = (
+    ("Apache-2.0", "95f35d79ea3bab75c250549d6a03cef242e0547d78c99e26fcede49936fb0184"),
+    ("Artistic-1.0-Perl", "6bb0017b4aa6003fd6d889cea9321e8284517a4f11d44d05cfaf198b80bd6ce6"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "dd21c1489470df7f8763c8da9d6ebad250b28e79589984a28a57cf60ae7a41be"),
+    ("GFDL-1.3", "ac48f9c5ac6627cac07c42464e71743898508f6d8718a6dc0e1259a25f0c6b68"),
+    ("GPL-1.0", "d283f63d5faed9cfd35bf6ea3bec3025bf3d73167689d1c936e42ccc1a589819"),
+    ("GPL-2.0", "0c323dc3f9ea6cffb72eebd0059899ec9e452630c11f7a77a4d3486f9ff5ab36"),
+    ("GPL-3.0", "a910f88a2fc56eaa93056f52be7f12291447b5c7608d0847eba28629a384ad1a"),
+    ("LGPL-2.0", "87c83ddf13b8d772a493615bbfb7368fb6c87b179e064f6b4573dd9008cbd283"),
+    ("LGPL-2.1", "4b7fd8442d92b28972b9aee4eb75166ac0ea6267095bdcdbe488d5f54b725b71"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "27d164b52dfaff4b5a631cd4eebfbb7683fe882e3057f2f2e01d54692688d985"),
+    ("MPL-2.0", "9672a697b80e59f5b1b0201e64d65dee8762b193cdd934dc5bcf2b57350a2ead"),
+)
+
+
 def canonical_text(text: str) -> str:
     """The canonical form, in Python: for the table of known digests."""
-    out = re.sub(COPYRIGHT_LINE, "", text.lower())
+    out = re.sub(COPYRIGHT_LINE, "", text).lower()
     for pattern, new in SPELLINGS:
         out = re.sub(pattern, new.replace("$", "\\"), out)
     return re.sub("[^a-z0-9]+", " ", out).strip(" ")
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form as a column."""
-    out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+def canonical_lines(text: Column) -> Column:
+    """The canonical form of every line, line feeds kept between them, each with a space at most at its ends."""
+    out = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, ""))
     for pattern, new in SPELLINGS:
         out = F.regexp_replace(out, pattern, new)
-    return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
+    return F.regexp_replace(out, "[^a-z0-9\n]+", " ")
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license): one row a digest."""
-    rows = {hashlib.sha256(canonical_text(text).encode()).hexdigest(): name for name, text in known}
-    return spark.createDataFrame(sorted(rows.items()), "digest string, license string")
+def known_forms(known=None) -> dict[str, str]:
+    """digest -> licence id of known texts (KNOWN and KNOWN_DIGESTS by default)."""
+    out = {hashlib.sha256(canonical_text(text).encode()).hexdigest(): name for name, text in (KNOWN if known is None else known)}
+    return out if known is not None else {**{digest: name for name, digest in KNOWN_DIGESTS}, **out}
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=KNOWN) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", known=None) -> DataFrame:
     """(key, digest, license, notices) of every row: the whole text's digest and licence, and the licences of
-    its lines, sorted and joined by commas ('' without any)."""
-    digests = F.broadcast(known_digests(docs.sparkSession, known))  # bounded: the fixed list above
-    whole = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("_text"))
-    whole = whole.withColumn("digest", F.sha2(canonical(F.col("_text")), 256)).withColumn("_lines", F.xxhash64(F.coalesce("_text", F.lit(""))))
-    # Lines that can be a notice at all are few, so this shuffle is small.
-    hint = F.filter(F.split(F.coalesce("_text", F.lit("")), "\n"), lambda x: F.lower(x).rlike("licen[cs]e|permission|redistribution|released under|distributed under|available under|provided"))
-    lines = whole.select(key, "_lines", F.explode(hint).alias("_line")).select(key, "_lines", F.sha2(canonical(F.col("_line")), 256).alias("digest"))
-    found = lines.join(digests, "digest").groupBy(key, "_lines").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"))
-    left, right = whole.drop("_text").join(digests, "digest", "left").alias("a"), found.alias("b")
-    same = F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("a._lines") == F.col("b._lines"))
-    return left.join(right, same, "left").select(F.col(f"a.{key}").alias(key), "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"))
+    its lines, sorted and joined by commas ('' without any). ``known`` are (licence id, text) pairs of the caller's."""
+    forms = known_forms(known)
+    if len(forms) > KNOWN_ROWS:
+        raise ValueError(f"{len(forms)} known texts, {KNOWN_ROWS} allowed")
+    names = [key, *beside(key, "digest", "license", "notices")]
+    table_ = F.broadcast(docs.sparkSession.createDataFrame(sorted(forms.items()), "_digest string, _license string"))
+    lined = docs.select(F.col(key).alias("_key"), canonical_lines(F.col(text).cast("string")).alias("_lines"))
+    whole = F.sha2(F.trim(F.regexp_replace("_lines", "[ \n]+", " ")), 256)
+    if forms:
+        # Lines are looked up in the same digests, a hash set in the plan; the few that are known get their names.
+        digests = F.transform(F.split("_lines", "\n"), lambda x: F.sha2(F.trim(x), 256))
+        hits = F.array_distinct(F.filter(digests, lambda d: d.isin(*forms)))
+        ids = F.create_map(*(F.lit(x) for row in sorted(forms.items()) for x in row))
+        notices = F.when(F.size("_hits") > 0, F.array_join(F.array_sort(F.array_distinct(F.transform("_hits", lambda d: F.element_at(ids, d)))), ",")).otherwise("")
+    else:
+        hits, notices = F.array().cast("array<string>"), F.lit("")
+    found = lined.select("_key", whole.alias("_whole"), hits.alias("_hits"))
+    joined = found.join(table_, F.col("_whole") == F.col("_digest"), "left")
+    return joined.select(F.col("_key").alias(names[0]), F.col("_whole").alias(names[1]), F.col("_license").alias(names[2]), notices.alias(names[3]))
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,13 +154,12 @@ def _oracle() -> str:
     """The same in DuckDB's SQL."""
 
     def form(x: str) -> str:
-        out = f"regexp_replace(lower(coalesce({x}, '')), '{COPYRIGHT_LINE}', '', 'g')"
+        out = f"lower(regexp_replace(coalesce({x}, ''), '{COPYRIGHT_LINE}', '', 'g'))"
         for pattern, new in SPELLINGS:
             out = f"regexp_replace({out}, '{pattern}', '{new.replace('$', chr(92))}', 'g')"
         return f"sha256(trim(regexp_replace({out}, '[^a-z0-9]+', ' ', 'g'), ' '))"
 
-    rows = {hashlib.sha256(canonical_text(text).encode()).hexdigest(): name for name, text in KNOWN}
-    known = ", ".join(f"('{d}', '{n}')" for d, n in sorted(rows.items()))
+    known = ", ".join(f"('{d}', '{n}')" for d, n in sorted(known_forms().items()))
     return f"""
 WITH known(digest, license) AS (VALUES {known}),
 lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
