@@ -218,7 +218,7 @@ STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
 BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
 FIRST_SHARE = 4  # one bucket in so many is read in the first round, which only spares the second one work
-REST_BLOCK = 1024  # classes of a block, on average, where all pairs are compared
+REST_BLOCK = 1024  # classes of a block, on average, that meet under one shingle
 CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -247,39 +247,52 @@ def _variants(sketches: np.ndarray) -> np.ndarray:
     return ((keys ^ (keys >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + label).reshape(rows, -1)
 
 
-def rest_links(cell: pa.Table, similarity: float) -> pa.Table:
-    """Of rows (cell, second, root, class, set) of one block, or of two that ``second`` tells apart: links (u, v) that
-    connect the roots as all pairs of the block, or between the two, at ``similarity`` or more do.
-
-    One class at a time is compared with all others at once, through an index from shingles to the classes that
-    hold them; of the near ones, only those of a root that no link reached yet give a link.
+def cell_pairs(batches: Iterator[pa.RecordBatch], similarity: float, every: bool) -> Iterator[pa.RecordBatch]:
+    """Candidates (u, v) of rows (cell, second, class, root, n, place) in order of cells: pairs of different roots whose
+    sets can still reach the similarity, as this is the first shingle that both hold at their places. ``second`` parts
+    the two sides of a cell of two blocks. Without ``every``, one candidate a row.
     """
-    second = cell.column("second").to_numpy()
-    roots, names = (cell.column(x).to_numpy() for x in ("root", "class"))
-    sets = [np.frombuffer(x, dtype=np.uint32) for x in cell.column("set").to_pylist()]
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
-    edges: list[tuple[int, int]] = []
-    if len(np.unique(roots)) > 1:
-        label = np.unique(roots, return_inverse=True)[1]
-        inside = not second.any()
-        right = np.arange(len(sets)) if inside else np.flatnonzero(second)
-        values = np.concatenate([sets[i] for i in right])
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], np.repeat(np.arange(len(right)), sizes[right])[order]
-        for i in np.arange(len(sets)) if inside else np.flatnonzero(~second):
-            if (label[right] == label[i]).all():
-                continue
-            start, stop = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
-            many = stop - start
-            hits = np.repeat(start - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()) if len(many) else np.zeros(0, np.int64)
-            shared = np.bincount(owner[hits], minlength=len(right))
-            near = shared >= similarity * (sizes[i] + sizes[right] - shared)
-            for k in right[near & (label[right] != label[i])]:
-                if label[k] != label[i]:
-                    edges.append((int(names[i]), int(names[k])))
-                    label[label == label[k]] = label[i]
-    found = np.array(edges, dtype=np.int64).reshape(-1, 2)
-    return pa.table({"u": found[:, 0].copy(), "v": found[:, 1].copy()})
+    least = similarity / (1 + similarity)
+
+    def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        cell, second, name, root, n, place = (np.concatenate([x.column(k).to_numpy(zero_copy_only=False) for x in rows]) for k in range(6))
+        sided = np.isin(cell, cell[second])  # cells of two blocks: only pairs between them
+        found: list[np.ndarray] = []
+        open_ = np.ones(len(cell), dtype=bool)
+        step = 1
+        while step < len(cell):
+            i = np.flatnonzero(cell[step:] == cell[:-step])
+            if not len(i):
+                break
+            j = i + step
+            left = np.minimum(n[i] - place[i], n[j] - place[j]) + 1
+            fits = (root[i] != root[j]) & (left >= least * (n[i] + n[j]) - 1e-9) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
+            fits &= ~sided[i] | (second[i] != second[j])
+            if not every:
+                fits &= open_[j]
+                open_[j[fits]] = False
+            found.append(np.column_stack([name[i[fits]], name[j[fits]]]))
+            step += 1
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *found])
+        if not len(pairs):
+            return None
+        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["u", "v"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = batch.column(0).to_numpy(zero_copy_only=False)
+        last = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on in the next batch
+        if last or (held and held[-1].column(0)[-1].as_py() != cell[0]):
+            held.append(batch.slice(0, last))
+            if (out := solve(held)) is not None:
+                yield out
+            held = []
+        held.append(batch.slice(last))
+    if held and (out := solve(held)) is not None:
+        yield out
 
 
 def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY, shingle: int = STAGE_SHINGLE) -> DataFrame:
@@ -289,9 +302,15 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
     Texts with the same sketch are one class; a bucket holds the classes of one variant. A first round compares the
     classes of some buckets with the one that meets most others in all buckets (of an original with many copies
     that is the original): sketches settle the clear cases, and where they agree within CLOSE of the threshold the
-    texts' whole sets of shingles are compared. The second round reads every bucket that still holds more than one
-    group. Groups that such buckets connect are taken together and all their pairs are decided on whole sets, in
-    blocks, each inside one task that returns a spanning forest of the near pairs: no pair of a bucket is left out.
+    texts' whole sets of shingles are compared.
+
+    The rest is decided without loss among all classes that share a bucket with another group. In an order of all
+    shingles, rare ones first, two sets of the similarity share one of their first ones (prefixes), and from the first
+    that they share on enough must be left of both. So classes meet under the shingles of their prefixes, pairs that
+    can't reach the similarity any more are passed over where they meet, and the others are compared on whole sets.
+    Copies of a common template meet under nothing, as what makes them differ comes first. A shingle that more than
+    REST_BLOCK classes meet under is dealt over cells of two blocks each. One candidate a class and shingle is compared
+    first; that joins most groups, and all pairs of groups that are left follow.
     """
     ensure_checkpoint_dir(docs.sparkSession)
 
@@ -379,30 +398,53 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
         sets = sets_of(ends[0].union(ends[1]).distinct())
         return judged.where("clear").select("u", "v").unionByName(paired(unclear, sets, "set").mapInArrow(exact, "u long, v long")).checkpoint()
 
-    def rest(shared: DataFrame, labels: DataFrame) -> DataFrame:
-        """Links among all classes that meet in a bucket and have different roots in ``labels`` (class, root)."""
+    def rooted_by(edges: DataFrame) -> DataFrame:
+        """(class, root) of all classes."""
+        nodes = components(edges).withColumnRenamed("node", "class")
+        return classes.select("class").join(nodes, "class", "left").select("class", F.coalesce("root", "class").alias("root")).checkpoint()
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(class, n, token) of the sets' shingles."""
+        for batch in slices(batches):
+            sets = [np.frombuffer(x, dtype=np.uint32) for x in batch.column(1).to_pylist()]
+            sizes = [len(x) for x in sets]
+            names = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.uint32), *sets]).view(np.int32))], names=["class", "n", "token"])
+
+    def rest(shared: DataFrame, edges: DataFrame) -> DataFrame:
+        """``edges`` and what joins the groups that are left."""
+        labels = rooted_by(edges)
         rows = shared.select("v", "class").join(labels, "class")
-        open_ = rows.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("v", "low")
-        rows = rows.join(open_, "v").select("class", "root", "low").distinct().checkpoint()
-        group = components(rows.select(F.col("root").alias("u"), F.col("low").alias("v")).distinct()).select(F.col("node").alias("root"), F.col("root").alias("high"))
-        # A group's least root has no row of its own among the components' nodes.
-        members = rows.select("class", "root").distinct().join(group, "root", "left").withColumn("high", F.coalesce("high", "root"))
-        members = members.checkpoint()
-        sizes = members.groupBy("high").agg(F.ceil(F.count("*") / REST_BLOCK).cast("long").alias("blocks"))
-        at = members.join(sizes, "high").withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "class"), "blocks"))
-        at = at.join(sets_of(members.select("class")), "class")
-        other = at.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        low, high = F.least("block", "other"), F.greatest("block", "other")
-        cells = other.select(F.xxhash64("high", low, high).alias("cell"), (F.col("block") != low).alias("second"), "root", "class", "set")
-        return cells.groupBy("cell").applyInArrow(lambda cell: rest_links(cell, similarity), "u long, v long").checkpoint()
+        open_ = rows.groupBy("v").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("v")
+        wanted = rows.join(open_, "v", "left_semi").select("class").distinct().checkpoint()
+        if wanted.isEmpty():
+            return edges
+        sets = sets_of(wanted).checkpoint()
+        every = sets.mapInArrow(tokens, "class long, n int, token int")
+        common = every.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+        own = Window.partitionBy("class")
+        ranked = every.join(common, "token").withColumn("k", F.row_number().over(own.orderBy("f", "token"))).withColumn("m", F.count("*").over(own))
+        # Shingles of one class alone come first and join nothing; prefixes hold n - ceil(t n) + 1 shingles.
+        placed = ranked.withColumn("place", (F.col("n") - F.col("m") + F.col("k")).cast("int"))
+        prefix = placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).select("token", "class", "n", "place").checkpoint()
+        for all_pairs in (False, True):
+            named = prefix.join(labels, "class")
+            several = named.groupBy("token").agg(F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+            met = named.join(several.select("token", F.ceil(F.col("f") / REST_BLOCK).cast("int").alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "class"), "blocks").cast("int"))
+            other = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            low, high = F.least("block", "other"), F.greatest("block", "other")
+            cells = other.select(F.xxhash64("token", low, high).alias("cell"), (F.col("block") != low).alias("second"), "class", "root", "n", "place")
+            dealt = cells.repartition("cell").sortWithinPartitions("cell", "class")
+            candidates = dealt.mapInArrow(lambda x, y=all_pairs: cell_pairs(x, similarity, y), "u long, v long").distinct()
+            joined = paired(candidates, sets, "set").mapInArrow(exact, "u long, v long").checkpoint()
+            if not joined.isEmpty():
+                edges = edges.unionByName(joined)
+                labels = rooted_by(edges)
+        return edges
 
     shared = counted(variants).checkpoint()
-    links = linked(shared.where(F.pmod(F.xxhash64("v"), F.lit(FIRST_SHARE)) == 0))
+    links = rest(shared, linked(shared.where(F.pmod(F.xxhash64("v"), F.lit(FIRST_SHARE)) == 0)))
     found = components(links)
-    labels = classes.select("class").join(found.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("root", "class").alias("root")).checkpoint()
-    again = rest(shared, labels)
-    if not again.isEmpty():
-        found = components(links.unionByName(again))
     rooted = classes.select("class", "least").join(found.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     best = rooted.groupBy("root").agg(F.min("least").alias("best"))
     return best.select("best.r1", "best.r2")
