@@ -6,19 +6,24 @@ the same document. Texts are UTF-8 bytes; matches never cross documents; strings
 1. *Sampling.* Every SPAN-byte window has an anchor: its least K-byte gram by a hash, the leftmost of equals.
    Equal windows have equal anchors at equal offsets, so only anchor suffixes (about 3 in 100 positions) need
    sorting. An anchor serves a run of neighbouring windows, all inside the context of CONTEXT bytes around it.
-2. *Candidates.* Anchors are dealt by the gram. Where a whole context repeats, the later anchors' runs are
-   repeated and marked at once (copies that one task reads are marked there, before the shuffle). Grams with
-   several contexts are the edges of repeats: only these go on.
-3. *Suffix array.* Their contexts are range-partitioned by the suffix's leading bytes, with splitters that
-   Spark samples. A bucket sorts suffixes (and reversed left contexts) by multikey quicksort, eight bytes a
-   key; the common-prefix lengths of neighbours give, for every offset, the classes of equal windows, of which
-   the first in order stays. A splitter falls between different leading bytes, so neighbours across a boundary
-   share under eight bytes and never a window; a gram is never split.
-4. *Removal.* Marked windows are joined to the documents by key and cut out.
+2. *Candidates.* Copies are collapsed before the shuffle: a task sends a whole context once, by its first document, and
+   marks the later ones itself. What is sent is dealt by the gram; there, too, whole contexts that repeat are marked. A
+   gram with one context needs nothing more. Grams with several contexts are the edges of repeats: their suffixes
+   are sorted. A task that has sent two contexts of a gram knows as much and sends all further ones straight to
+   the sort, so no gram, however common, costs the shuffle more than a few rows a task.
+3. *Suffix array.* The suffixes at these anchors (SPAN bytes, then what stands before them) are range-partitioned by
+   all of their bytes, with splitters that Spark samples; a splitter may cut a run of suffixes with equal openings
+   anywhere, so a common gram fills as many buckets as it needs. A bucket sorts suffixes (and reversed left
+   contexts) by multikey quicksort, eight bytes a key; the common-prefix lengths of neighbours give, for every offset,
+   the classes of equal windows, of which the first in order stays.
+4. *Boundaries.* A class that the bucket's first or last suffix belongs to may go on in the neighbour. The windows that
+   stay of such classes are compared across buckets by 128-bit digests; a bucket sends each of them once.
+5. *Removal.* Marked windows are joined to the documents by key and cut out.
 
 Defined results: null text is empty (no bytes, nothing removed); rows that agree in doc_id and text are one
 document, and each gets its result; rows of one doc_id with different texts are documents in the order of a
-hash of the text; null ids come first. Texts have up to 2**31 bytes.
+64-bit hash of the text; null ids come first and are null in the result; texts have up to 2**31 bytes and are read in
+blocks; an empty table gives no rows; extra columns are not read, and the key's name is the result's.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import slices, table, utf8
+from .common import beside, slices, table, utf8
 
 SPAN = 100
 K = 32
@@ -40,7 +45,8 @@ WIDTH = SPAN - K + 1  # grams in a window
 BEFORE = WIDTH - 1  # context before an anchor; SPAN bytes follow from it
 CONTEXT = BEFORE + SPAN
 BLOCK = 1 << 20  # bytes handled at a time
-TIE_BITS, AT_BITS, RUN_BITS = 18, 31, 7
+AT_BITS, RUN_BITS = 31, 7
+STATE = 2_000_000  # contexts that a task remembers to have sent; beyond, it begins anew
 GROUP_ROWS = 20_000  # contexts that a bucket sorts at a time, by whole grams
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -138,13 +144,13 @@ def anchors(hasher: Hasher, block: list[Segment]) -> tuple[np.ndarray, ...]:
     return grams[a], context, seg, a + shift[seg], lo + shift[seg], hi + shift[seg]
 
 
-def _pack(tie: np.ndarray, a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    return (((tie << AT_BITS) | a) << (2 * RUN_BITS)) | ((a - lo) << RUN_BITS) | (a - hi)
+def _pack(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    return (a << (2 * RUN_BITS)) | ((a - lo) << RUN_BITS) | (a - hi)
 
 
 def _unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, first window, last window)."""
-    a = (packed >> (2 * RUN_BITS)) & ((1 << AT_BITS) - 1)
+    a = packed >> (2 * RUN_BITS)
     return a, a - ((packed >> RUN_BITS) & ((1 << RUN_BITS) - 1)), a - (packed & ((1 << RUN_BITS) - 1))
 
 
@@ -158,37 +164,76 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[np.concatenate([[0], cut])], top[np.concatenate([cut - 1, [len(top) - 1]])]
 
 
+class Sent:
+    """What a task has sent: contexts with their first row, and the grams of one or more contexts."""
+
+    def __init__(self) -> None:
+        self.rows = np.zeros((0, 5), dtype=np.int64)  # context's number, gram, key, tie, packed; by number
+        self.grams = np.zeros(0, dtype=np.uint64)  # of one context or more, in order
+        self.mixed = np.zeros(0, dtype=np.uint64)  # of two or more
+
+    def judge(self, gram: np.ndarray, context: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(late, again, direct) for distinct contexts with their first rows (key, tie, packed): whether an earlier row
+        of the context was sent, whether the very row was, and whether it can go straight to the sort."""
+        full = np.column_stack([(context ^ (gram * _MULT)).view(np.int64), gram.view(np.int64), row])
+        if len(self.rows):
+            at = np.minimum(np.searchsorted(self.rows[:, 0], full[:, 0]), len(self.rows) - 1)
+            old = self.rows[at]
+            again = known = (old[:, :2] == full[:, :2]).all(axis=1)
+            late = np.zeros(len(full), dtype=bool)
+            for k in range(2, 5):
+                late |= again & (old[:, k] < full[:, k])
+                again = again & (old[:, k] == full[:, k])
+            self.rows[at[known & ~late]] = full[known & ~late]
+        else:
+            late = again = known = np.zeros(len(full), dtype=bool)
+        direct = ~late & ~again & np.isin(gram, self.mixed)
+        # A gram becomes mixed where a second context of it comes, here or in an earlier block.
+        fresh = gram[~known]
+        ordered = np.sort(fresh)
+        self.mixed = np.union1d(self.mixed, np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], fresh[np.isin(fresh, self.grams)]]))
+        self.grams = np.union1d(self.grams, fresh)
+        every = np.concatenate([self.rows, full[~known]])
+        self.rows = every[np.argsort(every[:, 0], kind="stable")]
+        if len(self.rows) > STATE:
+            self.__init__()
+        return late, again, direct
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, g, f, key, packed): kind 0 is an anchor; kind 1 is an interval g..f marked here, packed has the tie."""
-    hasher = Hasher()
+    """(kind, g, f, key, tie, packed): kind 0 is an anchor to judge by its gram, kind 1 an interval g..f marked here,
+    kind 2 an anchor for the sort."""
+    hasher, sent = Hasher(), Sent()
 
     def emit(block: list[Segment]) -> pa.RecordBatch:
         block.sort(key=lambda s: (s.key, s.tie, s.first))
         gram, context, seg, a, lo, hi = anchors(hasher, block)
-        key, tie = np.array([s.key for s in block])[seg], np.array([s.tie for s in block])[seg]
-        packed = _pack(tie, a, lo, hi)
+        key, tie = np.array([s.key for s in block], dtype=np.int64)[seg], np.array([s.tie for s in block], dtype=np.int64)[seg]
+        packed = _pack(a, lo, hi)
         # Rows are in order of (key, tie, anchor); equal contexts behind the first are repeats.
         order = np.lexsort((context, gram))
         g, f = gram[order], context[order]
         same = np.concatenate([[False], (g[1:] == g[:-1]) & (f[1:] == f[:-1])])
         leader = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
-        clone = (key[leader] == key[order]) & (packed[leader] == packed[order])  # the same row twice
-        late = order[same & ~clone]
+        clone = (key[leader] == key[order]) & (tie[leader] == tie[order]) & (packed[leader] == packed[order])  # the same row twice
         keep = order[~same]
+        behind, again, direct = sent.judge(gram[keep], context[keep], np.column_stack([key[keep], tie[keep], packed[keep]]))
+        late = np.concatenate([order[same & ~clone], keep[behind]])
         marks = []
         if len(late):
-            doc = seg[np.sort(late)]
             late = np.sort(late)
-            for part in np.split(late, np.flatnonzero(np.diff(doc)) + 1):
+            for part in np.split(late, np.flatnonzero(np.diff(seg[late])) + 1):
                 s = block[seg[part[0]]]
                 x, y = merged(lo[part], hi[part] + SPAN)
                 marks.append((x, y, np.full(len(x), s.key), np.full(len(x), s.tie)))
-        kind = np.zeros(len(keep), dtype=np.int8)
-        columns = [kind, gram[keep].view(np.int64), context[keep].view(np.int64), key[keep], packed[keep]]
+        stay = ~behind & ~again
+        kept = keep[stay]
+        kind = np.where(direct[stay], 2, 0).astype(np.int8)
+        columns = [kind, gram[kept].view(np.int64), context[kept].view(np.int64), key[kept], tie[kept], packed[kept]]
         if marks:
             x, y, k, t = (np.concatenate(c) for c in zip(*marks, strict=True))
-            columns = [np.concatenate(c) for c in zip(columns, [np.ones(len(x), np.int8), x, y, k, t], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "g", "f", "key", "packed"])
+            columns = [np.concatenate(c) for c in zip(columns, [np.ones(len(x), np.int8), x, y, k, t, np.zeros(len(x), np.int64)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "g", "f", "key", "tie", "packed"])
 
     block, size = [], 0
     for batch in slices(batches):
@@ -267,63 +312,86 @@ def repeated_windows(contexts: np.ndarray, gram: np.ndarray, first: np.ndarray,
 
 
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts in order of (lead, g, key, packed) -> intervals (key, tie, start, end)."""
-    held: list[pa.RecordBatch] = []
-
-    def solve(part: pa.Table) -> pa.RecordBatch | None:
-        gram, key, packed = (part.column(c).to_numpy() for c in ("g", "key", "packed"))
-        texts = part.column("context").to_pylist()
-        contexts = np.frombuffer(b"".join(texts), dtype=np.uint8).reshape(len(texts), CONTEXT)
+    """Rows (suffix, before, key, tie, packed) in order of suffix and before -> (key, tie, start, end, h1, h2): an interval
+    that is repeated within the bucket, or, with a digest, a window that a neighbour may hold too."""
+    names = ["key", "tie", "start", "end", "h1", "h2"]
+
+    def solve(rows: list[pa.RecordBatch], edges: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """``edges``: the bucket's first and last suffix, where the rows hold one."""
+        part = pa.Table.from_batches(rows).combine_chunks()
+        n = part.num_rows
+        suffix = np.frombuffer(b"".join(part.column("suffix").to_pylist()), dtype=np.uint8).reshape(n, SPAN)
+        before = np.frombuffer(b"".join(part.column("before").to_pylist()), dtype=np.uint8).reshape(n, BEFORE)
+        key, tie, packed = (part.column(c).to_numpy() for c in ("key", "tie", "packed"))
+        gram = np.cumsum(np.concatenate([[0], (suffix[1:, :K] != suffix[:-1, :K]).any(axis=1)]))
+        # Rows in order of their documents within a gram; a repeated row is the same document and is compared once.
+        order = np.lexsort((packed, tie, key, gram))
+        gram, key, tie, packed = gram[order], key[order], tie[order], packed[order]
+        fresh = np.concatenate([[True], (gram[1:] != gram[:-1]) | (key[1:] != key[:-1]) | (tie[1:] != tie[:-1]) | (packed[1:] != packed[:-1])])
+        order, gram, key, tie, packed = order[fresh], gram[fresh], key[fresh], tie[fresh], packed[fresh]
+        contexts = np.concatenate([before[order][:, ::-1], suffix[order]], axis=1)
         a, lo, hi = _unpack(packed)
-        # A repeated row is the same document: only its first copy is compared.
-        fresh = np.concatenate([[True], (gram[1:] != gram[:-1]) | (key[1:] != key[:-1]) | (packed[1:] != packed[:-1])])
-        at = np.flatnonzero(fresh)
-        row, offset = repeated_windows(contexts[at], gram[at], (lo - a + BEFORE)[at], (hi - a + BEFORE)[at])
-        if not len(row):
-            return None
-        row = at[row]
-        start = a[row] - BEFORE + offset
-        order = np.lexsort((start, row))
-        row, start = row[order], start[order]
-        cut = np.flatnonzero((row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)) + 1
-        x, y = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(row) - 1]])
-        columns = [key[row[x]], packed[row[x]] >> (AT_BITS + 2 * RUN_BITS), start[x], start[y] + SPAN]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "tie", "start", "end"])
-
+        first, last = lo - a + BEFORE, hi - a + BEFORE
+        row, offset = repeated_windows(contexts, gram, first, last)
+        if len(row):
+            start = a[row] - BEFORE + offset
+            by = np.lexsort((start, row))
+            x, starts = row[by], start[by]
+            cut = np.flatnonzero((x[1:] != x[:-1]) | (starts[1:] != starts[:-1] + 1)) + 1
+            i, j = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(x) - 1]])
+            none = pa.nulls(len(i), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(key[x[i]]), pa.array(tie[x[i]]), pa.array(starts[i]), pa.array(starts[j] + SPAN), none, none], names=names)
+        if not edges:
+            return
+        # Bytes that a suffix shares with the bucket's first or last one.
+        reach = np.max([np.where((d := contexts[:, BEFORE:] != e).any(axis=1), d.argmax(axis=1), SPAN) for e in edges], axis=0)
+        repeated = np.zeros((len(contexts), BEFORE + 1), dtype=bool)
+        repeated[row, offset] = True
+        at = np.arange(BEFORE + 1)
+        touching = ~repeated & (at >= first[:, None]) & (at <= last[:, None]) & (reach[:, None] >= SPAN - BEFORE + at)
+        i, o = np.nonzero(touching)
+        for k in range(0, len(i), GROUP_ROWS):
+            r, s = i[k : k + GROUP_ROWS], o[k : k + GROUP_ROWS]
+            digests = np.frombuffer(b"".join(hashlib.blake2b(contexts[x, y : y + SPAN].tobytes(), digest_size=16).digest() for x, y in zip(r.tolist(), s.tolist(), strict=True)), dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(key[r]), pa.array(tie[r]), pa.array(a[r] - BEFORE + s), pa.nulls(len(r), pa.int64()), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())], names=names)
+
+    opening = None  # the bucket's first suffix
+    held: list[pa.RecordBatch] = []  # whole grams, but for the last one
+    count, starts = 0, True
     for batch in slices(batches, GROUP_ROWS):
-        held.append(batch)
-        if sum(b.num_rows for b in held) < GROUP_ROWS:
+        if not batch.num_rows:
             continue
-        whole = pa.Table.from_batches(held).combine_chunks()
-        gram = whole.column("g").to_numpy()
-        cut = len(gram) - int(np.argmax(gram[::-1] != gram[-1])) if (gram != gram[-1]).any() else 0
-        if cut and (out := solve(whole.slice(0, cut))) is not None:
-            yield out
-        held = whole.slice(cut).combine_chunks().to_batches()
-    if held and (whole := pa.Table.from_batches(held).combine_chunks()).num_rows and (out := solve(whole)) is not None:
-        yield out
+        column = batch.column(0).to_pylist()
+        opening = column[0] if opening is None else opening
+        cut = next((i for i in range(len(column) - 1, 0, -1) if column[i][:K] != column[i - 1][:K]), 0)
+        if not cut and held and held[-1].column(0)[-1].as_py()[:K] != column[0][:K]:
+            cut = -1  # the gram in hand has ended with the batch before
+        if cut and count + max(cut, 0) >= GROUP_ROWS:
+            yield from solve(held + ([batch.slice(0, cut)] if cut > 0 else []), [np.frombuffer(opening, dtype=np.uint8)] if starts else [])
+            held, count, starts = [], 0, False
+            batch = batch.slice(max(cut, 0))
+        held.append(batch)
+        count += batch.num_rows
+    if held:
+        closing = held[-1].column(0)[-1].as_py()
+        yield from solve(held, [np.frombuffer(x, dtype=np.uint8) for x in ([opening] if starts else []) + [closing]])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, text, wanted) -> a row (lead, g, key, packed, context) for every wanted anchor."""
-    hasher = Hasher()
+    """(key, tie, text, wanted) -> a row (suffix, before, key, tie, packed) for every wanted anchor; ``before`` goes backwards."""
     for batch in slices(batches, 64):
         out: list[list] = [[], [], [], [], []]
-        for key, text, wanted in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+        for key, tie, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), batch.column(3).to_pylist(), strict=True):
             packed = np.array(wanted, dtype=np.int64)
-            a, _, _ = _unpack(packed)
             framed = b"\0" * BEFORE + text + b"\0" * SPAN  # filler is never part of a window
-            data = np.frombuffer(framed, dtype=np.uint8)
-            view = np.lib.stride_tricks.sliding_window_view(data, CONTEXT)[a]
-            hasher.load(np.ascontiguousarray(view[:, BEFORE : BEFORE + K]).ravel())
-            start = np.arange(len(a)) * K
-            out[0].append(np.ascontiguousarray(view[:, BEFORE : BEFORE + 8]).view(">u8").ravel().astype(np.uint64).view(np.int64) ^ np.int64(-(1 << 63)))
-            out[1].append(hasher.between(start, start + K).view(np.int64))
-            out[2].append(np.full(len(a), key))
-            out[3].append(packed)
-            out[4] += [x.tobytes() for x in view]
-        if out[4]:
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in out[:4]), pa.array(out[4], pa.binary())], names=["lead", "g", "key", "packed", "context"])
+            for at in _unpack(packed)[0].tolist():
+                out[0].append(framed[at + BEFORE : at + CONTEXT])
+                out[1].append(framed[at : at + BEFORE][::-1])
+            out[2].append(np.full(len(packed), key))
+            out[3].append(np.full(len(packed), tie))
+            out[4].append(packed)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), *(pa.array(np.concatenate(c)) for c in out[2:])], names=["suffix", "before", "key", "tie", "packed"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,42 +413,53 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; key must be integral."""
+    """(key, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row; key must be integral."""
     whole = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    tie = F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 64 - TIE_BITS + 1)
-    keyed = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("tie", tie)
-    rows = keyed.select("key", "tie", "text").mapInArrow(_anchor_rows, "kind byte, g long, f long, key long, packed long")
-
-    by_gram = Window.partitionBy("g", "kind").orderBy("f", "key", "packed").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    by_context = Window.partitionBy("g", "kind", "f").orderBy("key", "packed").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    keyed = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = keyed.select("key", "tie", "text").mapInArrow(_anchor_rows, "kind byte, g long, f long, key long, tie long, packed long")
+
+    # A gram has a few rows a task here, see Sent; what is late or of several contexts is told in one pass over them.
+    everything = (Window.unboundedPreceding, Window.unboundedFollowing)
+    deal = F.when(F.col("kind") == 0, F.col("g")).otherwise(F.xxhash64("key", "tie", "g", "packed"))  # the others need no company
+    by_gram = Window.partitionBy("deal", "kind").orderBy("f", "key", "tie", "packed").rowsBetween(*everything)
+    by_context = Window.partitionBy("deal", "kind", "f").orderBy("key", "tie", "packed").rowsBetween(*everything)
+    leader = F.first(F.struct("key", "tie", "packed")).over(by_context)
     judged = (
-        rows.repartition("g")
-        .withColumn("mixed", F.first("f").over(by_gram) != F.last("f").over(by_gram))
-        .withColumn("late", (F.first("key").over(by_context) != F.col("key")) | (F.first("packed").over(by_context) != F.col("packed")))
+        rows.withColumn("deal", deal)
+        .repartition("deal")
+        .withColumn("mixed", (F.col("kind") == 0) & (F.first("f").over(by_gram) != F.last("f").over(by_gram)))
+        .withColumn("late", (F.col("kind") == 0) & (leader != F.struct("key", "tie", "packed")))
     )
-    at = F.shiftrightunsigned("packed", 2 * RUN_BITS).bitwiseAND(F.lit((1 << AT_BITS) - 1))
+    at = F.shiftrightunsigned("packed", 2 * RUN_BITS)
     run = lambda bits: F.shiftrightunsigned("packed", bits).bitwiseAND(F.lit((1 << RUN_BITS) - 1))
-    anchor, direct = F.col("kind") == 0, F.col("kind") == 1
-    # One list a document: marked intervals (start, end), and wanted anchors (packed, -1).
+    marked, sorted_ = F.col("kind") == 1, (F.col("kind") == 2) | F.col("mixed")
+    # One list a document: marked intervals (start, end), and anchors for the sort (packed, -1).
     mark = F.struct(
-        F.when(direct, F.col("g")).when(F.col("late"), at - run(RUN_BITS)).otherwise(F.col("packed")).alias("start"),
-        F.when(direct, F.col("f")).when(F.col("late"), at - run(0) + SPAN).otherwise(F.lit(-1)).alias("end"),
+        F.when(marked, F.col("g")).when(F.col("late"), at - run(RUN_BITS)).otherwise(F.col("packed")).alias("start"),
+        F.when(marked, F.col("f")).when(F.col("late"), at - run(0) + SPAN).otherwise(F.lit(-1)).alias("end"),
     )
-    tie_of = F.when(direct, F.col("packed")).otherwise(F.shiftrightunsigned("packed", AT_BITS + 2 * RUN_BITS))
-    marks = judged.where(direct | F.col("late") | F.col("mixed")).select("key", tie_of.alias("tie"), mark.alias("m")).groupBy("key", "tie").agg(F.collect_list("m").alias("marks"))
+    marks = judged.where(marked | F.col("late") | sorted_).select("key", "tie", mark.alias("m")).groupBy("key", "tie").agg(F.collect_list("m").alias("marks"))
 
     # The documents are dealt by key once; both joins read that exchange, so both take all its columns.
     dealt = keyed.repartition("key", "tie")
     wanted = F.transform(F.filter("marks", lambda m: m["end"] < 0), lambda m: m["start"])
     edges = marks.select("key", "tie", wanted.alias("wanted")).where(F.size("wanted") > 0)
     once = dealt.join(edges, ["key", "tie"])
-    contexts = once.select("key", "text", "wanted", "doc_id").mapInArrow(_contexts, "lead long, g long, key long, packed long, context binary")
-    found = contexts.repartitionByRange("lead").sortWithinPartitions("lead", "g", "key", "packed").mapInArrow(_bucket, "key long, tie long, start long, end long")
-    more = found.groupBy("key", "tie").agg(F.collect_list(F.struct("start", "end")).alias("more"))
+    contexts = once.select("key", "tie", "text", "wanted", "doc_id").mapInArrow(_contexts, "suffix binary, before binary, key long, tie long, packed long")
+    buckets = contexts.repartitionByRange("suffix", "before").sortWithinPartitions("suffix", "before")
+    found = buckets.mapInArrow(_bucket, "key long, tie long, start long, end long, h1 long, h2 long")
+    # Windows that several buckets hold: all but the first are repeats. What a bucket has decided goes by itself.
+    alone = F.coalesce("h1", F.xxhash64("key", "tie", "start"))
+    place = Window.partitionBy(alone, "h2").orderBy("key", "tie", "start").rowsBetween(*everything)
+    first = F.first(F.struct("key", "tie", "start")).over(place)
+    across = found.withColumn("again", F.col("h2").isNotNull() & (first != F.struct("key", "tie", "start")))
+    repeated = across.where(F.col("h2").isNull() | F.col("again")).select("key", "tie", F.struct("start", F.coalesce("end", F.col("start") + SPAN).alias("end")).alias("m"))
+    more = repeated.groupBy("key", "tie").agg(F.collect_list("m").alias("more"))
     own = F.filter(F.coalesce("marks", F.expr("array()")), lambda m: m["end"] >= 0)
     joined = dealt.join(marks, ["key", "tie"], "left").join(more, ["key", "tie"], "left")
     spans = F.concat(own, F.coalesce("more", F.filter(own, lambda _: F.lit(False))))
-    return joined.select("doc_id", "text", spans.alias("spans")).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = joined.select("doc_id", "text", spans.alias("spans")).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return out.toDF(key, *beside(key, *out.columns[1:]))
 
 
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
