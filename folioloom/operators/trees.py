@@ -54,15 +54,31 @@ def explode_trees(docs: DataFrame, key: str, tree: str, item: str, depth: int =
 
 
 def rebuild(rows: DataFrame, key: str, ids: str, names: str, item: str, order: str) -> DataFrame:
-    """(key, scales): two-level trees from placements, items in order, nodes by their first row."""
-    leaf = rows.where(F.size(ids) == 2).groupBy(key, F.col(ids)[0].alias("_top"), F.col(names)[0].alias("_top_name"), F.col(ids)[1].alias("_id"), F.col(names)[1].alias("_name")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct(order, item))), lambda s: s[item]).alias("items"), F.min(order).alias("_first")
-    )
-    subs = leaf.groupBy(key, "_top", "_top_name").agg(F.transform(F.sort_array(F.collect_list(F.struct("_first", F.struct(F.col("_id").alias("id"), F.col("_name").alias("scale_name"), "items").alias("n")))), lambda s: s["n"]).alias("subscales"), F.min("_first").alias("_first"))
-    own = rows.where(F.size(ids) == 1).groupBy(key, F.col(ids)[0].alias("_top")).agg(F.transform(F.sort_array(F.collect_list(F.struct(order, item))), lambda s: s[item]).alias("items"))
-    tops = subs.join(own, [key, "_top"], "left")
-    node = F.struct(F.col("_top").alias("id"), F.col("_top_name").alias("scale_name"), F.coalesce("items", F.array().cast(rows.select(F.array(item)).schema[0].dataType)).alias("items"), "subscales")
-    return tops.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_first", node.alias("n")))), lambda s: s["n"]).alias("scales"))
+    """(key, scales): trees of any depth from placements, items in order, nodes by their first row.
+
+    A node is struct(id, scale_name, items, subscales); nodes of the deepest level have no subscales. Levels are
+    gathered from the deepest up, each by one aggregate; how many there are is the one number the driver reads.
+    """
+    deepest = rows.agg(F.max(F.size(ids))).first()[0] or 0
+    none = F.array().cast(rows.select(F.array(item)).schema[0].dataType)
+    sorted_ = lambda value, alias: F.transform(F.array_sort(F.collect_list(F.struct("_first", value.alias("v")))), lambda s: s["v"]).alias(alias)
+    below = None
+    for depth in range(deepest, 0, -1):
+        here = rows.where(F.size(ids) >= depth)
+        path = F.slice(ids, 1, depth).alias("_path")
+        own = F.size(ids) == depth
+        items = F.transform(F.array_sort(F.collect_list(F.when(own, F.struct(F.col(order).alias("o"), F.col(item).alias("v"))))), lambda s: s["v"])
+        nodes = here.groupBy(key, path).agg(F.min_by(F.col(names)[depth - 1], order).alias("_name"), F.min(order).alias("_first"), F.coalesce(items, none).alias("_items"))
+        fields = [F.element_at("_path", depth).alias("id"), F.col("_name").alias("scale_name"), F.col("_items").alias("items")]
+        if below is not None:
+            kind = below.schema["_node"].dataType.simpleString()
+            under = below.groupBy(key, F.slice("_path", 1, depth).alias("_path")).agg(sorted_(F.col("_node"), "_subs"))
+            nodes = nodes.join(under, [key, "_path"], "left")
+            fields.append(F.coalesce("_subs", F.array().cast(f"array<{kind}>")).alias("subscales"))
+        below = nodes.select(key, "_path", "_first", F.struct(*fields).alias("_node"))
+    if below is None:
+        return rows.select(key, F.array().cast("array<string>").alias("scales")).limit(0)
+    return below.groupBy(key).agg(sorted_(F.col("_node"), "scales"))
 
 
 def resolve_mappings(mappings: DataFrame, items: DataFrame, scales: DataFrame, key: str, item: str, scale: str, order: str) -> DataFrame:

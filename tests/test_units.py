@@ -51,8 +51,8 @@ def test_text_functions(spark):
     ("value", "want"),
     [("X Scale--Short Form", ("X Scale", "Short Form")), ("X Scale (Revised)", ("X Scale", "Revised")), ("DSM–IV", ("DSM–IV", None)), ("Survey--X Behavior Scale Revised", ("Survey--X Behavior Scale Revised", None)), ("Xyz - Child Version (Form A)", ("Xyz", "Child Version; Form A")), ("X (Revised)", ("X (Revised)", None)), (None, (None, None)), ("X Scale, 2nd Edition", ("X Scale", "2nd Edition"))],
 )
-def test_versions(value, want):
-    assert versions.split_version(value) == want
+def test_versions(spark, value, want):
+    assert tuple(one(spark, value, versions.split_version)) == want
 
 
 def test_relocate_keeps_an_occupied_version(spark):
