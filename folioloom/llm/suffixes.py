@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ BEFORE = WIDTH - 1  # context before an anchor; SPAN bytes follow from it
 CONTEXT = BEFORE + SPAN
 BLOCK = 1 << 20  # bytes handled at a time
 AT_BITS, RUN_BITS = 31, 7
-STATE = 2_000_000  # contexts that a task remembers to have sent; beyond, it begins anew
+STATE = 500_000  # contexts that a task remembers to have sent; beyond, it begins anew
 GROUP_ROWS = 20_000  # contexts that a bucket sorts at a time, by whole grams
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -168,36 +169,36 @@ class Sent:
     """What a task has sent: contexts with their first row, and the grams of one or more contexts."""
 
     def __init__(self) -> None:
-        self.rows = np.zeros((0, 5), dtype=np.int64)  # context's number, gram, key, tie, packed; by number
-        self.grams = np.zeros(0, dtype=np.uint64)  # of one context or more, in order
-        self.mixed = np.zeros(0, dtype=np.uint64)  # of two or more
+        self.place: dict[int, int] = {}  # context's number -> its row below
+        self.rows = np.zeros((STATE, 4), dtype=np.int64)  # gram, key, tie, packed
+        self.grams: dict[int, bool] = {}  # gram -> whether it has several contexts
 
     def judge(self, gram: np.ndarray, context: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(late, again, direct) for distinct contexts with their first rows (key, tie, packed): whether an earlier row
         of the context was sent, whether the very row was, and whether it can go straight to the sort."""
-        full = np.column_stack([(context ^ (gram * _MULT)).view(np.int64), gram.view(np.int64), row])
-        if len(self.rows):
-            at = np.minimum(np.searchsorted(self.rows[:, 0], full[:, 0]), len(self.rows) - 1)
-            old = self.rows[at]
-            again = known = (old[:, :2] == full[:, :2]).all(axis=1)
-            late = np.zeros(len(full), dtype=bool)
-            for k in range(2, 5):
-                late |= again & (old[:, k] < full[:, k])
-                again = again & (old[:, k] == full[:, k])
-            self.rows[at[known & ~late]] = full[known & ~late]
-        else:
-            late = again = known = np.zeros(len(full), dtype=bool)
-        direct = ~late & ~again & np.isin(gram, self.mixed)
-        # A gram becomes mixed where a second context of it comes, here or in an earlier block.
-        fresh = gram[~known]
-        ordered = np.sort(fresh)
-        self.mixed = np.union1d(self.mixed, np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], fresh[np.isin(fresh, self.grams)]]))
-        self.grams = np.union1d(self.grams, fresh)
-        every = np.concatenate([self.rows, full[~known]])
-        self.rows = every[np.argsort(every[:, 0], kind="stable")]
-        if len(self.rows) > STATE:
+        if len(self.place) + len(gram) > STATE:
             self.__init__()
-        return late, again, direct
+            if len(gram) > STATE:  # more than is remembered: all are sent and nothing is known of them
+                return np.zeros((3, len(gram)), dtype=bool)
+        numbers, grams = (context ^ (gram * _MULT)).tolist(), gram.tolist()
+        at = np.fromiter(map(self.place.get, numbers, repeat(-1)), np.int64, len(numbers))
+        mixed = np.fromiter(map(self.grams.get, grams, repeat(False)), bool, len(grams))
+        full = np.column_stack([gram.view(np.int64), row])
+        old = self.rows[at]
+        known = (at >= 0) & (old[:, 0] == full[:, 0])
+        again, late = known, np.zeros(len(full), dtype=bool)
+        for k in range(1, 4):
+            late |= again & (old[:, k] < full[:, k])
+            again = again & (old[:, k] == full[:, k])
+        first = known & ~late
+        self.rows[at[first]] = full[first]
+        fresh = np.flatnonzero(at < 0)
+        self.rows[len(self.place) : len(self.place) + len(fresh)] = full[fresh]
+        self.place.update(zip([numbers[k] for k in fresh.tolist()], range(len(self.place), len(self.place) + len(fresh)), strict=True))
+        # A gram becomes mixed where a second context of it comes, here or in an earlier block.
+        for k in np.flatnonzero(~known).tolist():
+            self.grams[grams[k]] = grams[k] in self.grams
+        return late, again, ~late & ~again & mixed
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

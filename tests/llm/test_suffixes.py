@@ -20,7 +20,7 @@ def many_buckets(spark):
         spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize(("state", "block", "group"), [(2_000_000, 1 << 20, 20_000), (50, 1500, 7), (5000, 4000, 60)])
+@pytest.mark.parametrize(("state", "block", "group"), [(500_000, 1 << 20, 20_000), (50, 1500, 7), (5000, 4000, 60)])
 def test_common_passages_in_many_buckets(spark, many_buckets, monkeypatch, state, block, group):
     monkeypatch.setattr(suffixes, "STATE", state)
     monkeypatch.setattr(suffixes, "BLOCK", block)
