@@ -43,7 +43,7 @@ HOT = 1000  # an entity of one mention in so many is hot: there are at most that
 SALTS = 16
 MAX_ROUNDS = 60
 
-EMAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9])?@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})++"
+EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,254}[A-Za-z0-9])?@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})++"
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9A-Za-z+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
@@ -66,15 +66,15 @@ CASED = r"\p{Lu}[\p{L}\p{M}'’-]+"
 #: A word of a name: capitalised, or in a script without capitals.
 WORD = rf"(?:{CASED}|\p{{IsHan}}{{2,4}}|\p{{IsHangul}}{{2,4}}|[\p{{IsKatakana}}\p{{IsHiragana}}ー]{{2,12}}|[\p{{IsArabic}}]{{2,24}}|[\p{{IsHebrew}}]{{2,24}}|[\p{{IsDevanagari}}]{{2,24}})"
 NAME = (
-    rf"(?<!\p{{L}})(?:{_TITLE}){{1,3}}(?:\p{{Lu}}\.{GAP}?){{0,2}}{WORD}(?:{GAP}{CASED}){{0,2}}"
-    rf"|(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{'|'.join(LABELS)}): ){CASED}(?: {CASED}){{1,2}}"
-    rf"|(?<!\p{{L}}){CASED}(?: {CASED}){{1,2}}(?= <[A-Za-z0-9._%+-]{{1,64}}@)"
+    rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE}){{1,3}}(?:\p{{Lu}}\.{GAP}?){{0,2}}{WORD}(?:{GAP}{CASED}){{0,2}}"
+    rf"|(?<=(?<!\p{{L}})(?:{'|'.join(LABELS)}): ){CASED}(?: {CASED}){{1,2}}"
+    rf"|{CASED}(?: {CASED}){{1,2}}(?= <[A-Za-z0-9._%+-]{{1,64}}@))"
 )
 KINDS = {"email": EMAIL, "iban": IBAN, "ip": IP, "ssn": SSN, "card": CARD, "phone": PHONE, "name": NAME}
 ANY = "|".join(KINDS.values())
 #: What a text must have to hold a name, or any entity; spares the others the long patterns.
-NAME_HINT = rf"{_TITLE}[\p{{Lu}}\p{{Lo}}]|(?:{'|'.join(LABELS)}): \p{{Lu}}| <[A-Za-z0-9._%+-]{{1,64}}@"
-HINT = rf"@|[0-9][0-9 .()-]{{6}}|[A-Z][0-9]{{2}}|{NAME_HINT}"
+NAME_HINT = rf"(?=\p{{Lu}})(?:{_TITLE}[\p{{Lu}}\p{{Lo}}]|(?:{'|'.join(LABELS)}): \p{{Lu}})| <[A-Za-z0-9._%+-]{{1,64}}@"
+HINT = rf"(?=[@0-9\p{{Lu}}])(?:@|[0-9][0-9 .()-]{{6}}|[A-Z][0-9]{{2}}|{_TITLE}[\p{{Lu}}\p{{Lo}}]|(?:{'|'.join(LABELS)}): \p{{Lu}})"
 
 #: Syllables and endings of surrogate names by script: the script's class, syllables, endings of women's and men's given names.
 SCRIPTS = {
@@ -138,9 +138,9 @@ def pattern_of(text: Column) -> Column:
 
 
 def mentions_of(text: Column, pattern: Column) -> Column:
-    """array<struct(entity, kind, title, gender, words, full)> of the text's entities in order; each step is a transform of
-    its own, so that what a step works out is read from a field afterwards and never computed twice."""
-    found = F.coalesce(F.when(text.rlike(HINT), F.regexp_extract_all(text, pattern, F.lit(0))), F.array().cast("array<string>"))
+    """array<struct(entity, kind, title, gender, words, full)> of the entities of a text with a HINT, in order; each step is
+    a transform of its own, so that what a step works out is read from a field afterwards and never computed twice."""
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
     kinds = F.transform(found, lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind")))
     title = lambda x: F.when(x["kind"] == "name", F.regexp_extract(x["entity"], rf"^((?:{_TITLE})+)", 1)).otherwise("")
     titled = F.transform(kinds, lambda x: F.struct(x["entity"].alias("entity"), x["kind"].alias("kind"), title(x).alias("title")))
@@ -437,7 +437,9 @@ def with_surrogates(docs: DataFrame, text: str = "text", key: str | None = None)
             made = surrogates(parts_of(mentions_of(x["t"], x["p"]), exception), key)
             return let(one, t=x["t"], p=x["p"], e=made)
 
-        out = df.withColumn(own("made"), let(told, t=F.col(text), p=pattern_of(F.col(text))))
+        # A text without a hint, most are, costs that one look.
+        bare = F.struct(F.col(text).alias("text"), F.lit(0).cast("long").alias("n"))
+        out = df.withColumn(own("made"), F.when(F.col(text).rlike(HINT), let(told, t=F.col(text), p=pattern_of(F.col(text)))).otherwise(bare))
         made = F.col(own("made"))
         count = beside("", *[c for c in docs.columns], "n_entities")[-1]
         return out.select(*[made["text"].alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns], made["n"].alias(count))
