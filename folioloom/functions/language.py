@@ -46,6 +46,22 @@ def language_in_title(x: Column) -> Column:
     return F.when(code != "en", code)
 
 
+def version_in_title(x: Column) -> Column:
+    """``Kurdish Version`` of such a title; null where ``language_in_title`` is."""
+    name = F.lower(F.regexp_extract(x, r"[-–—(]+\s*([A-Za-z]+) [Vv]ersion\b", 1))
+    return F.when(language_in_title(x).isNotNull(), F.concat(F.initcap(name), F.lit(" Version")))
+
+
+#: The permission texts that may lack their full stop.
+PERMISSIONS = ("Contact Corresponding Author.", "Contact Publisher.", "Contact Publisher and Corresponding Author.", "Not Specified.", "May use for Research/Teaching.")
+
+
+def with_full_stop(x: Column) -> Column:
+    """A known permission text with its full stop; others stay."""
+    stopped = F.concat(trimmed(x), F.lit("."))
+    return F.when(stopped.isin(*PERMISSIONS), stopped).otherwise(x)
+
+
 def permission_category(x: Column) -> Column:
     low = F.lower(collapsed(x))
     out = F.when(low.startswith(REPRODUCTION), F.when(low.contains("public domain"), "public_domain").otherwise("free_reproduction"))

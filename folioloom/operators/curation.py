@@ -13,17 +13,20 @@ LAYER_CHARS, LAYER_CHARS_A_PAGE = 200, 500  # a text layer with fewer can't be c
 MAIN_SOURCE = "apa-psyctests"  # fixed value: the source whose empty fields drop a row
 
 
+def attrition_counts(filters: dict[str, Column]) -> list[Column]:
+    """Aggregates i0, n0, i1, ...: what each filter alone hits, and what it adds to those before it. Null masks don't hit."""
+    masks = [F.coalesce(mask, F.lit(False)) for mask in filters.values()]
+    hit = F.coalesce(*[F.when(m, i) for i, m in enumerate(masks)])
+    return [c for i, m in enumerate(masks) for c in (F.count_if(m).alias(f"i{i}"), F.count_if(hit.eqNullSafe(F.lit(i))).alias(f"n{i}"))]
+
+
 def attrition(df: DataFrame, filters: dict[str, Column]) -> DataFrame:
     """(step, name, isolated, new, cumulative): what each filter alone hits, adds to those before it, and all so far.
 
     One pass: all masks are counted in one aggregate; null masks don't hit.
     """
-    masks = {name: F.coalesce(mask, F.lit(False)) for name, mask in filters.items()}
-    hit = F.coalesce(*[F.when(m, i) for i, m in enumerate(masks.values())])
-    counts = df.select(*[m.alias(f"_m{i}") for i, m in enumerate(masks.values())], hit.alias("_hit")).agg(
-        *[F.count_if(f"_m{i}").alias(f"_i{i}") for i in range(len(masks))], *[F.count_if(F.col("_hit") == i).alias(f"_n{i}") for i in range(len(masks))]
-    )
-    rows = F.array(*[F.struct(F.lit(i).cast("long").alias("step"), F.lit(name).alias("name"), F.col(f"_i{i}").alias("isolated"), F.col(f"_n{i}").alias("new"), sum(F.col(f"_n{j}") for j in range(i + 1)).alias("cumulative")) for i, name in enumerate(masks)])
+    counts = df.agg(*attrition_counts(filters))
+    rows = F.array(*[F.struct(F.lit(i).cast("long").alias("step"), F.lit(name).alias("name"), F.col(f"i{i}").alias("isolated"), F.col(f"n{i}").alias("new"), sum((F.col(f"n{j}") for j in range(i + 1)), F.lit(0).cast("long")).alias("cumulative")) for i, name in enumerate(filters)])
     return counts.select(F.inline(rows))
 
 
@@ -99,15 +102,24 @@ def propagate(df: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def null_constants(df: DataFrame, source: str, constants: list[tuple[str, str, object]]) -> DataFrame:
-    """Nulls (source, column, constant) fills, but only where the source's column holds that constant alone."""
-    for name, column, constant in constants:
-        seen = df.where(F.col(source) == name).agg(F.countDistinct(column).alias("_n"), F.min(column).alias("_v"))
-        guard = seen.select((F.col("_n") == 1) & (F.col("_v") == F.lit(constant))).first()[0]
-        if guard:
+    """Nulls (source, column, constant) fills, but only where the source's column holds that constant alone. All are
+    looked at in one aggregate."""
+    known = [(n, c, v) for n, c, v in constants if c in df.columns]
+    if not known:
+        return df
+    own = [F.when(F.col(source).eqNullSafe(n), F.col(c)) for n, c, _ in known]
+    seen = df.agg(*[F.coalesce((F.min(x) == F.lit(v)) & (F.max(x) == F.lit(v)), F.lit(False)).alias(f"c{i}") for i, (x, (_, _, v)) in enumerate(zip(own, known, strict=True))]).first()
+    for i, (name, column, _) in enumerate(known):
+        if seen[f"c{i}"]:
             df = df.withColumn(column, F.when(~F.col(source).eqNullSafe(name), F.col(column)))
     return df
 
 
+def empty_to_null(x: Column) -> Column:
+    """An empty list as null."""
+    return F.when(F.size(x) > 0, x)
+
+
 def renumbered(df: DataFrame, doc: str, item: str, cluster: str, order: str, out: str = "new_id") -> DataFrame:
     """New ids 1, 2, ... by first appearance of (id, cluster) in documents where an id has several clusters."""
     conflicts = df.where(F.col(item).isNotNull()).groupBy(doc, item).agg(F.countDistinct(cluster).alias("_n"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import keyed, unit
 
+GROUPS = 10_000  # groups whose sums are broadcast at most
+
 
 def elementwise_mean(df: DataFrame, keys: list[str], vector: str, out: str = "centroid") -> DataFrame:
     """Mean by position within groups: positions are averaged with partial sums, then put in order again.
@@ -29,14 +31,19 @@ def keying_disagreement(df: DataFrame, keys: list[str], vector: str, reverse: Co
     """keys, n_items, n_disagree: rows whose signed vector points away from the mean of the others.
 
     With the group's sum S, k.(S - k) = k.S - k.k decides; groups of one row disagree with nothing. Sums are
-    aggregated by position first, so a large group costs a row a position, not a row an item.
+    aggregated by position with partial sums and put together as one vector a group; the rows meet them where they lie,
+    with a broadcast of at most GROUPS groups, and beyond that by a join on the keys. No row is shuffled by position.
     """
-    rows = df.where(F.col(vector).isNotNull()).withColumn("_k", keyed(F.col(vector), reverse)).withColumn("_id", F.monotonically_increasing_id())
-    flat = rows.select(*keys, "_id", F.posexplode("_k").alias("_pos", "_x"))
-    sums = flat.groupBy(*keys, "_pos").agg(F.sum("_x").alias("_s"))
-    dots = flat.join(sums, [*keys, "_pos"]).groupBy(*keys, "_id").agg(F.sum(F.col("_x") * F.col("_s")).alias("_ks"), F.sum(F.col("_x") * F.col("_x")).alias("_kk"))
-    away = ((F.col("_ks") - F.col("_kk")) < 0).cast("long")
-    counted = dots.groupBy(*keys).agg(F.count("*").alias("n_items"), F.sum(away).alias("_away"))
+    rows = df.where(F.col(vector).isNotNull()).withColumn("_k", keyed(F.col(vector), reverse))
+    flat = rows.select(*keys, F.posexplode("_k").alias("_pos", "_x")).groupBy(*keys, "_pos").agg(F.sum("_x").alias("_x"))
+    sums = flat.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_x"))), lambda s: s["_x"]).alias("_s"))
+    few = sums.limit(GROUPS + 1).count() <= GROUPS
+    sums = sums.select(*[F.col(k).alias(f"_sum_{k}") for k in keys], "_s")
+    same = [F.col(k).eqNullSafe(F.col(f"_sum_{k}")) for k in keys]
+    met = rows.join(F.broadcast(sums) if few else sums, same).select(*keys, "_k", "_s")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+    away = ((dot(F.col("_k"), F.col("_s")) - dot(F.col("_k"), F.col("_k"))) < 0).cast("long")
+    counted = met.groupBy(*keys).agg(F.count("*").alias("n_items"), F.sum(away).alias("_away"))
     return counted.select(*keys, "n_items", F.when(F.col("n_items") >= 2, F.col("_away")).otherwise(F.lit(0).cast("long")).alias("n_disagree"))
 
 

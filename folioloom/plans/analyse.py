@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import match_key
 from ..functions.vectors import cosine, doubles, literal_vector
-from ..operators import matching, pooling, report, search, statistics
+from ..operators import matching, pooling, records, report, search, statistics
 from .base import query, table
 
 _UNIT = """u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n FROM embeddings),
@@ -151,21 +151,8 @@ def encode_distinct(spark, sf):
 
 @query("verbatim_exact", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def verbatim_exact(spark, sf):
-    """Items that stand word for word in a document: a hash join on the items' first
-    40 characters with the windows that begin at a document's words, then the whole text. What a document costs
-    follows its words, however many items there are.
-    """
-    lead = lambda x: F.substring(x, 1, 40)
-    items = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("item"), lead(F.col("text")).alias("lead"), F.length(lead(F.col("text"))).alias("size"))
-    sizes = [r["size"] for r in items.select("size").distinct().limit(64).collect()]
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    words = docs.select("doc_id", "text", F.explode(F.array_distinct(F.flatten(F.array(*[_windows(F.col("text"), n) for n in sizes])))).alias("lead"))
-    return words.join(items, "lead").where(F.contains("text", F.col("item"))).select("doc_id", "item_id").distinct()
-
-
-def _windows(text, size: int):
-    """The texts of ``size`` characters that begin where a word does."""
-    return F.regexp_extract_all(text, F.lit(r"(?s)(?:^|(?<=\s))(?=(.{%d}))" % size), F.lit(1))
+    """Items that stand word for word in a document, wherever they begin."""
+    return matching.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "text", "item_id", "text")
 
 
 @query("verbatim_status", """WITH i AS (SELECT b.item_id, b.item_id % 5 AS grp, max(contains(d.text, b.text)::INT) AS hit FROM benchmark b, documents d GROUP BY 1, 2)
@@ -220,19 +207,14 @@ def text_clusters(spark, sf):
     return matching.clustered(rows, ["doc", "role"], "text", "turn").select("doc", "role", "turn", "cluster")
 
 
-@query("name_match_tiers", """WITH p AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' ') AS k FROM part), q AS (SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN k WHEN 1 THEN k || ' scale' ELSE 'none ' || p_partkey END AS k FROM p WHERE p_partkey <= 300),
+@query("name_match_tiers", """WITH p AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' ') AS k FROM part), q AS (SELECT p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN k WHEN 1 THEN k || ' scale' ELSE 'none ' || p_partkey END AS k FROM p),
 f AS (SELECT k, min(p_partkey) AS m FROM p GROUP BY 1)
 SELECT q.id, coalesce(a.m, b.m) AS matched, CASE WHEN a.m IS NOT NULL THEN 'exact' WHEN b.m IS NOT NULL THEN 'core' ELSE 'none' END AS tier FROM q LEFT JOIN f a ON a.k = q.k LEFT JOIN f b ON b.k = regexp_replace(q.k, ' scale$', '')""")
 def name_match_tiers(spark, sf):
-    from ..functions.text import core_name
-
     p = table(spark, sf, "part").select("p_partkey", match_key(F.col("p_name")).alias("k"))
     k = F.col("p_partkey") % 3
-    q = p.select(F.col("p_partkey").alias("id"), F.when(k == 0, F.col("k")).when(k == 1, F.concat("k", F.lit(" scale"))).otherwise(F.concat(F.lit("none "), F.col("p_partkey").cast("string"))).alias("q"))
-    known = p.groupBy("k").agg(F.min("p_partkey").alias("m"))
-    core = known.select(core_name(F.col("k"), ("scale",)).alias("c"), F.col("m").alias("m2"))
-    joined = q.join(known, q.q == known.k, "left").withColumn("c", core_name(F.col("q"), ("scale",))).join(core.groupBy("c").agg(F.min("m2").alias("m2")), "c", "left")
-    return joined.select("id", F.coalesce("m", "m2").alias("matched"), F.when(F.col("m").isNotNull(), "exact").when(F.col("m2").isNotNull(), "core").otherwise("none").alias("tier"))
+    asked = p.select(F.col("p_partkey").alias("id"), F.when(k == 0, F.col("k")).when(k == 1, F.concat("k", F.lit(" scale"))).otherwise(F.concat(F.lit("none "), F.col("p_partkey").cast("string"))).alias("k"))
+    return records.name_tiers(asked, p, "id", "k", "p_partkey", ("scale",))
 
 
 @query("best_match", "SELECT p_brand, p_partkey, p_retailprice FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_size, p_partkey) AS n FROM part) WHERE n = 1")
@@ -244,7 +226,7 @@ def _runs(spark, sf):
     return table(spark, sf, "events").select((F.col("event_id") % 3).alias("run"), F.floor(F.col("event_id") / 3).alias("unit"), "event_type", "value")
 
 
-_RUNS = "r AS (SELECT event_id % 3 AS run, event_id // 3 AS unit, event_type, value FROM events WHERE event_id // 3 < 3000)"
+_RUNS = "r AS (SELECT event_id % 3 AS run, event_id // 3 AS unit, event_type, value FROM events)"
 
 
 @query("agreement", f"WITH {_RUNS} SELECT a.run AS run_a, b.run AS run_b, avg((a.event_type IS NOT DISTINCT FROM b.event_type)::INT)::DOUBLE AS agreement, count(*) AS n FROM r a JOIN r b ON a.unit = b.unit AND a.run < b.run GROUP BY 1, 2")

@@ -38,14 +38,15 @@ def explode_tree(spark, sf):
 
 
 @query("rebuild_tree", """
-SELECT r.r_regionkey AS doc, count(DISTINCT n.n_nationkey) AS n_subscales, count(c.c_custkey) AS n_items FROM region r JOIN nation n ON n.n_regionkey = r.r_regionkey JOIN customer c ON c.c_nationkey = n.n_nationkey GROUP BY 1""")
+WITH i AS (SELECT n.n_regionkey AS doc, n.n_nationkey AS id, n.n_name AS name, min(c.c_custkey) AS first, string_agg(c.c_custkey::VARCHAR, ',' ORDER BY c.c_custkey) AS items FROM nation n JOIN customer c ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2, 3)
+SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY first) AS place, id, name, items FROM i""")
 def rebuild_tree(spark, sf):
+    """Trees of regions, nations and a level of customers' segments; a row a nation, with all its items in their order."""
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
     rows = c.join(n, c.c_nationkey == n.n_nationkey).select(F.col("n_regionkey").alias("doc"), F.array("n_regionkey", "n_nationkey").alias("ids"), F.array(F.lit("r"), F.col("n_name")).alias("names"), F.col("c_custkey").alias("item"), F.col("c_custkey").alias("ord"))
     built = trees.rebuild(rows, "doc", "ids", "names", "item", "ord")
-    subs = F.flatten(F.transform("scales", lambda s: s["subscales"]))
-    items = F.aggregate(F.transform(subs, lambda s: F.size(s["items"])), F.lit(0), lambda a, x: a + x)
-    return built.select("doc", F.size(subs).cast("long").alias("n_subscales"), items.cast("long").alias("n_items"))
+    nodes = built.select("doc", F.posexplode(F.flatten(F.transform("scales", lambda s: s["subscales"]))).alias("at", "s"))
+    return nodes.select("doc", (F.col("at") + 1).cast("long").alias("place"), F.col("s.id").alias("id"), F.col("s.scale_name").alias("name"), F.array_join("s.items", ",").alias("items"))
 
 
 @query("union_sources", """

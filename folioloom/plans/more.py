@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import biblio, vectors
-from ..operators import matching, names, pooling, report, search, statistics, trees
+from ..operators import matching, names, pooling, records, report, search, statistics, trees
 from .base import query, table
 
 
+#: Every form of a translated record's name, around a language.
+_FORMS = ("{} version", "x--{}", "({})", "for {} adults", "{} scale", "x {} short 12-item adaptations", "the {}-speaking translated", "plain")
+
+
+@query("translated_names", "WITH l AS (SELECT unnest([" + ", ".join(f"'{w}'" for w in names.LANGUAGE_WORDS) + "]) AS w), f AS (SELECT unnest([" + ", ".join(f"{{'f': '{f}', 't': {str(f != 'plain').lower()}}}" for f in _FORMS) + "]) AS r) SELECT r_regionkey, w || '|' || r.f AS form, r.t AS translated FROM region, l, f")
+def translated_names(spark, sf):
+    """The predicate on every language in every form, beside the regions' names."""
+    p = table(spark, sf, "region").select("r_regionkey", "r_name")
+    languages = F.explode(F.array(*map(F.lit, names.LANGUAGE_WORDS)))
+    made = p.withColumn("w", languages).withColumn("f", F.explode(F.array(*map(F.lit, _FORMS))))
+    told = F.replace(F.col("f"), F.lit("{}"), F.initcap("w"))
+    whole = F.when(F.col("f").startswith("{}"), F.concat(told, F.when(F.col("f") == "{} version", "").otherwise(F.concat(F.lit(" of "), "r_name")))).otherwise(F.concat("r_name", F.lit(" "), told))
+    return made.select("r_regionkey", F.concat_ws("|", "w", "f").alias("form"), names.is_translation(whole).alias("translated"))
+
+
 @query("instrument_names", """
 WITH n AS (SELECT p_partkey, p_name || CASE p_partkey % 5 WHEN 0 THEN ' Scale' WHEN 1 THEN ' Testimony' WHEN 2 THEN ' test' WHEN 3 THEN ' (French Version)' ELSE ': German adaptation' END AS x FROM part)
 SELECT p_partkey, p_partkey % 5 IN (0, 2) AS instrument, p_partkey % 5 IN (3, 4) AS translation FROM n""")
@@ -39,8 +53,8 @@ def threshold_status(spark, sf):
 SELECT d.doc_id, coalesce('page' || l.quality, d.source) AS value FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def override_join(spark, sf):
     """The looked-up value wins where there is one."""
-    joined = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    return joined.select("doc_id", F.coalesce(F.concat(F.lit("page"), F.col("quality").cast("string")), "source").alias("value"))
+    d = table(spark, sf, "documents").select("doc_id", F.col("source").alias("value"))
+    return records.overridden(d, table(spark, sf, "labels"), "doc_id", "value", F.concat(F.lit("page"), F.col("quality").cast("string"))).select("doc_id", "value")
 
 
 @query("alias_remap", """
@@ -48,15 +62,13 @@ WITH a AS (SELECT c_custkey AS dropped, c_custkey - 1 AS kept FROM customer WHER
 SELECT c.c_custkey AS k, s.k IS NOT NULL AS covered FROM customer c LEFT JOIN a ON c.c_custkey = a.dropped LEFT JOIN s ON s.k = coalesce(a.kept, c.c_custkey)""")
 def alias_remap(spark, sf):
     """A dropped record counts as covered where its kept sibling is."""
-    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
-    alias = c.where("c_custkey % 10 = 5").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") - 1).alias("kept"))
-    covered = o.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("seen")).distinct()
-    joined = c.select(F.col("c_custkey").alias("k")).join(alias, "k", "left").withColumn("own", F.coalesce("kept", "k"))
-    return joined.join(covered, F.col("own") == F.col("seen"), "left").select("k", F.col("seen").isNotNull().alias("covered"))
+    c, o = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf, "orders")
+    aliases = c.where("k % 10 = 5").select("k", (F.col("k") - 1).alias("kept"))
+    return records.covered_through_aliases(c, aliases, o.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")), "k", "kept")
 
 
 @query("best_counterpart", """
-WITH s AS (SELECT DISTINCT l_orderkey AS d, l_suppkey AS i FROM lineitem WHERE l_orderkey < 400), n AS (SELECT d, count(*) AS n FROM s GROUP BY 1),
+WITH s AS (SELECT DISTINCT l_orderkey AS d, l_suppkey AS i FROM lineitem), n AS (SELECT d, count(*) AS n FROM s GROUP BY 1),
 p AS (SELECT a.d AS a, b.d AS b, count(*) AS shared FROM s a JOIN s b ON a.i = b.i AND a.d % 2 = 0 AND b.d % 2 = 1 GROUP BY 1, 2), j AS (SELECT a, b, shared::DOUBLE / (x.n + y.n - shared) AS j FROM p JOIN n x ON x.d = a JOIN n y ON y.d = b)
 SELECT a, b, round(j, 6) AS jaccard FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY j DESC, b) AS rn FROM j) WHERE rn = 1""")
 def best_counterpart(spark, sf):
@@ -68,20 +80,18 @@ def best_counterpart(spark, sf):
 SELECT s_nationkey AS record, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS item_id, s_name AS item FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey <> 0""")
 def fill_items(spark, sf):
     """Items of gated records, numbered within the record."""
-    gated = table(spark, sf, "nation").where("n_regionkey <> 0").select(F.col("n_nationkey").alias("s_nationkey"))
-    number = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey")).cast("long")
-    return table(spark, sf, "supplier").join(gated, "s_nationkey", "left_semi").select(F.col("s_nationkey").alias("record"), number.alias("item_id"), F.col("s_name").alias("item"))
+    gate = table(spark, sf, "nation").where("n_regionkey <> 0").select(F.col("n_nationkey").alias("s_nationkey"))
+    return records.numbered_items(table(spark, sf, "supplier"), gate, "s_nationkey", "s_suppkey", "s_name")
 
 
 @query("node_vectors", """
 SELECT n.n_nationkey AS node, CASE WHEN n.n_nationkey % 3 = 0 THEN 'direct' WHEN e.vec_id IS NULL THEN NULL ELSE 'sidecar' END AS origin FROM nation n LEFT JOIN embeddings e ON e.vec_id = n.n_nationkey AND n.n_nationkey % 3 = 1""")
 def node_vectors(spark, sf):
     """A node's own vector, else that of its name in the sidecar."""
-    e, n = table(spark, sf, "embeddings"), table(spark, sf, "nation")
-    own = e.where("vec_id % 3 = 0").select(F.col("vec_id").alias("node"), F.col("embedding").alias("own"))
-    side = n.join(e, n.n_nationkey == e.vec_id).where("n_nationkey % 3 = 1").select("n_name", F.col("embedding").alias("side"))
-    joined = n.select(F.col("n_nationkey").alias("node"), "n_name").join(own, "node", "left").join(F.broadcast(side), "n_name", "left")
-    return joined.select("node", F.when(F.col("own").isNotNull(), "direct").when(F.col("side").isNotNull(), "sidecar").alias("origin"))
+    e, n = table(spark, sf, "embeddings"), table(spark, sf, "nation").select(F.col("n_nationkey").alias("node"), "n_name")
+    own = e.where("vec_id % 3 = 0").select(F.col("vec_id").alias("node"), F.col("embedding").alias("v"))
+    side = n.join(e, n.node == e.vec_id).where("node % 3 = 1").select("n_name", F.col("embedding").alias("v"))
+    return records.vector_or_name(n, own, side, "node", "n_name", "v").select("node", "origin")
 
 
 @query("verdict_lookup", """
@@ -90,7 +100,7 @@ def verdict_lookup(spark, sf):
     """Accepted verdicts fill documents that have no value at all; rejected ones fill nothing."""
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("doc"), F.when(F.col("c_custkey") % 4 == 0, "own").alias("doi"))
     cache = c.select("doc").where("doc % 4 = 1").select("doc", F.lit("cached").alias("found"), (F.col("doc") % 20 == 1).alias("accepted"))
-    return c.join(cache.where("accepted"), "doc", "left").select("doc", F.coalesce("doi", "found").alias("doi"))
+    return records.filled(c, cache, "doc", "doi", "found", "accepted")
 
 
 @query("candidate_check", """
@@ -129,18 +139,16 @@ def fidelity_block(spark, sf):
     """Similarities once an item, then by document: means and least."""
     sim = F.lit(1.0) - (F.col("l_partkey") % 50) / F.lit(100.0)
     items = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("item")).agg(F.min(sim).alias("sim"))
-    by_item = items.agg(F.count("*").alias("items"), F.count_if(F.round("sim", 9) < 0.95).alias("items_below"), F.round(F.percentile("sim", 0.05), 6).alias("p05"))
-    docs = items.groupBy("doc").agg(F.round(F.avg("sim"), 9).alias("m"), F.round(F.min("sim"), 9).alias("lo")).agg(F.count("*").alias("docs"), F.count_if(F.col("m") < 0.95).alias("docs_below_mean"), F.count_if(F.col("lo") < 0.95).alias("docs_below_min"))
-    return by_item.crossJoin(docs)  # two single rows
+    return records.fidelity(items, "doc", "sim", 0.95).withColumn("p05", F.round("p05", 6))
 
 
 @query("coverage_by_group", """
 WITH c AS (SELECT c_mktsegment AS grp, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') AS covered, c_acctbal AS u FROM customer)
 SELECT grp, covered, count(*) AS n, round(sum(u) / sum(sum(u)) OVER (PARTITION BY grp), 6) AS usage_share FROM c GROUP BY 1, 2""")
 def coverage_by_group(spark, sf):
-    seen = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("hit", F.lit(True))
-    c = table(spark, sf, "customer").join(seen, "c_custkey", "left").groupBy(F.col("c_mktsegment").alias("grp"), F.col("hit").isNotNull().alias("covered")).agg(F.count("*").alias("n"), F.sum("c_acctbal").alias("u"))
-    return c.select("grp", "covered", "n", F.round(F.col("u") / F.sum("u").over(Window.partitionBy("grp")), 6).alias("usage_share"))
+    seen = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    out = records.coverage_by(table(spark, sf, "customer"), seen, "c_custkey", "c_mktsegment", "c_acctbal")
+    return out.select(F.col("c_mktsegment").alias("grp"), "covered", "n", F.round("usage_share", 6).alias("usage_share"))
 
 
 @query("tier_descriptives", """
@@ -148,10 +156,9 @@ WITH n AS (SELECT o_orderstatus AS tier, count(*) AS n FROM orders JOIN lineitem
 SELECT tier, count(*) AS docs, round(avg(n), 6) AS mean, quantile_cont(n, 0.1) AS q10, quantile_cont(n, 0.9) AS q90, round(avg((n = 1)::INT), 6) AS single, round(avg((n <= 3)::INT), 6) AS short FROM b GROUP BY 1""")
 def tier_descriptives(spark, sf):
     o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    n = o.join(li, o.o_orderkey == li.l_orderkey).groupBy("o_orderkey", "o_orderstatus").agg(F.count("*").alias("n"))
-    q = F.percentile("n", F.array(F.lit(0.1), F.lit(0.9)))
-    out = n.rollup("o_orderstatus").agg(F.count("*").alias("docs"), F.round(F.avg("n"), 6).alias("mean"), q.alias("q"), F.round(F.avg((F.col("n") == 1).cast("int")), 6).alias("single"), F.round(F.avg((F.col("n") <= 3).cast("int")), 6).alias("short"))
-    return out.select(F.coalesce("o_orderstatus", F.lit("(all)")).alias("tier"), "docs", "mean", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q90"), "single", "short")
+    n = o.join(li, o.o_orderkey == li.l_orderkey).groupBy("o_orderkey", F.col("o_orderstatus").alias("tier")).agg(F.count("*").alias("size"))
+    out = records.descriptives_by(n, "tier", "size", 3).withColumnRenamed("n", "docs")
+    return out.select("tier", "docs", "q10", "q90", *[F.round(c, 6).alias(c) for c in ("mean", "single", "short")])
 
 
 @query("text_lengths", """
@@ -165,23 +172,21 @@ def text_lengths(spark, sf):
 SELECT kind, id, similarity FROM (SELECT CASE WHEN p_partkey % 4 = 0 THEN 'scale' ELSE 'item' END AS kind, p_partkey AS id, p_size / 50.0 AS similarity FROM part) ORDER BY kind <> 'scale', similarity, id LIMIT 25""")
 def worst_first(spark, sf):
     p = table(spark, sf, "part").select(F.when(F.col("p_partkey") % 4 == 0, "scale").otherwise("item").alias("kind"), F.col("p_partkey").alias("id"), (F.col("p_size") / 50.0).alias("similarity"))
-    return p.orderBy(F.col("kind") != "scale", "similarity", "id").limit(25)
+    return records.worst_first(p, "kind", "scale", "similarity", "id", 25)
 
 
 @query("newest_kept", """
 SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS n FROM events) WHERE n > 3""")
 def newest_kept(spark, sf):
     """What a retention of three newest a user lets go."""
-    n = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), "event_id"))
-    return table(spark, sf, "events").select("user_id", "event_id", n.alias("n")).where("n > 3").select("user_id", "event_id")
+    return records.beyond_newest(table(spark, sf, "events").select("user_id", "event_id", "ts"), "user_id", "ts", "event_id", 3).select("user_id", "event_id")
 
 
 @query("seeded_order", """
 SELECT c_custkey, row_number() OVER (ORDER BY md5('42|' || c_custkey), c_custkey) AS place FROM customer ORDER BY place LIMIT 100""")
 def seeded_order(spark, sf):
     """The first hundred in an order drawn by a seed; the same in any engine."""
-    top = table(spark, sf, "customer").select("c_custkey", F.md5(F.concat(F.lit("42|"), F.col("c_custkey").cast("string"))).alias("h")).orderBy("h", "c_custkey").limit(100)
-    return top.select("c_custkey", F.row_number().over(Window.orderBy("h", "c_custkey")).cast("long").alias("place"))
+    return records.seeded(table(spark, sf, "customer").select("c_custkey"), "c_custkey", 42, 100)
 
 
 @query("set_diff", """
@@ -189,9 +194,8 @@ SELECT side, count(*) AS n FROM (SELECT 'old' AS side, * FROM (SELECT text FROM
 UNION ALL SELECT 'new', * FROM (SELECT text FROM documents WHERE doc_id % 3 <> 1 EXCEPT ALL SELECT text FROM documents WHERE doc_id % 3 <> 0)) GROUP BY 1""")
 def set_diff(spark, sf):
     d = table(spark, sf, "documents")
-    old, new = d.where("doc_id % 3 <> 0").select("text"), d.where("doc_id % 3 <> 1").select("text")
-    both = old.exceptAll(new).select(F.lit("old").alias("side")).unionByName(new.exceptAll(old).select(F.lit("new").alias("side")))
-    return both.groupBy("side").agg(F.count("*").alias("n"))
+    changes = records.multiset_changes(d.where("doc_id % 3 <> 0").select("text"), d.where("doc_id % 3 <> 1").select("text"))
+    return changes.groupBy("side").agg(F.count("*").alias("n"))
 
 
 @query("set_jaccard", """
@@ -217,8 +221,8 @@ def page_fields(spark, sf):
 @query("telemetry", """
 SELECT event_id, round(value / 1000, 6) AS seconds, round(event_id / nullif(value / 1000, 0), 4) AS rate FROM events""")
 def telemetry(spark, sf):
-    seconds = F.col("value") * 1e6 / 1e9
-    return table(spark, sf, "events").select("event_id", F.round(seconds, 6).alias("seconds"), F.round(F.col("event_id") / F.nullif(seconds, F.lit(0.0)), 4).alias("rate"))
+    made = records.throughput(F.col("value") * 1e6, F.col("event_id"))
+    return table(spark, sf, "events").select("event_id", F.round(made["seconds"], 6).alias("seconds"), F.round(made["rate"], 4).alias("rate"))
 
 
 @query("subtree_rows", """
@@ -237,20 +241,20 @@ def derived_items(spark, sf):
 
 
 @query("run_grid", """
-WITH r AS (SELECT event_id // 3 AS unit, event_id % 3 AS run, event_type AS t FROM events WHERE event_id // 3 < 500)
+WITH r AS (SELECT event_id // 3 AS unit, event_id % 3 AS run, event_type AS t FROM events)
 SELECT unit, max(CASE WHEN run = 0 THEN t END) AS r0, max(CASE WHEN run = 1 THEN t END) AS r1, max(CASE WHEN run = 2 THEN t END) AS r2, count(DISTINCT t) > 1 AS deviates FROM r GROUP BY 1""")
 def run_grid(spark, sf):
     r = table(spark, sf, "events").select(F.floor(F.col("event_id") / 3).alias("unit"), F.concat(F.lit("r"), (F.col("event_id") % 3).cast("string")).alias("run"), F.col("event_type").alias("t"))
-    grid = r.groupBy("unit").pivot("run", ["r0", "r1", "r2"]).agg(F.max("t"))
-    return grid.withColumn("deviates", F.size(F.array_distinct(F.array_compact(F.array("r0", "r1", "r2")))) > 1)
+    return records.grid(r, "unit", "run", ["r0", "r1", "r2"], "t")
 
 
 @query("keyed_means", """
 SELECT user_id, round(avg(CASE WHEN event_id % 2 = 0 THEN 100 - value ELSE value END), 6) AS m FROM events WHERE event_id % 11 <> 0 GROUP BY 1""")
 def keyed_means(spark, sf):
     """Means of responses with reversed ones turned round; missing responses are passed over."""
-    x = F.when(F.col("event_id") % 11 != 0, F.when(F.col("event_id") % 2 == 0, 100 - F.col("value")).otherwise(F.col("value")))
-    return table(spark, sf, "events").groupBy("user_id").agg(F.round(F.avg(x), 6).alias("m")).where("m is not null")
+    given = F.when(F.col("event_id") % 11 != 0, F.col("value"))
+    out = records.keyed_means(table(spark, sf, "events"), "user_id", given, F.col("event_id") % 2 == 0, 100)
+    return out.select("user_id", F.round("mean", 6).alias("m"))
 
 
 @query("inferred_keys", """
@@ -258,8 +262,7 @@ WITH d AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), e AS (SELEC
 SELECT a.pos::BIGINT AS item, corr(b.x, a.x) < 0 AS reversed FROM e a JOIN e b ON a.vec_id = b.vec_id AND b.pos = 1 WHERE a.pos > 1 GROUP BY 1""")
 def inferred_keys(spark, sf):
     """Items that correlate negatively with the first one."""
-    e = table(spark, sf, "embeddings").select(F.col("embedding")[0].cast("double").alias("first"), F.posexplode("embedding").alias("pos", "x")).where("pos > 0")
-    return e.groupBy((F.col("pos") + 1).cast("long").alias("item")).agg((F.corr("first", F.col("x").cast("double")) < 0).alias("reversed"))
+    return records.inferred_keys(table(spark, sf, "embeddings"), "embedding")
 
 
 @query("partial_keys", """
@@ -301,8 +304,7 @@ def assembled(spark, sf):
 @query("report_attrition", """
 SELECT lang, count(*) AS before, count_if(length(text) > 200) AS after FROM documents GROUP BY 1""")
 def report_attrition(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.groupBy("lang").agg(F.count("*").alias("before"), F.count_if(~F.coalesce(F.length("text") <= 200, F.lit(False))).alias("after"))
+    return records.remaining_by(table(spark, sf, "documents"), "lang", F.length("text") <= 200)
 
 
 @query("first_observed", """
@@ -326,7 +328,7 @@ def value_guards(spark, sf):
     """Defaults by source, only where the value is null."""
     s = F.col("source")
     d = table(spark, sf, "documents").select("doc_id", "source", F.when(F.col("doc_id") % 3 == 0, None).when(s == "src1", "open").otherwise("choice").alias("item_type"))
-    return d.select("doc_id", F.coalesce("item_type", F.when(s.isin("src1", "src2"), "rating_scale")).alias("item_type"))
+    return d.select("doc_id", records.with_default(F.col("item_type"), F.when(s.isin("src1", "src2"), "rating_scale")).alias("item_type"))
 
 
 @query("flagged_documents", """
@@ -334,7 +336,7 @@ SELECT source, bool_or(CASE WHEN quality IS NOT NULL THEN toxic = 1 END) AS flag
 def flagged_documents(spark, sf):
     """Three-valued or: true wins, null only where nothing could be checked."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    return d.groupBy("source").agg(F.bool_or(F.when(F.col("quality").isNotNull(), F.col("toxic") == 1)).alias("flagged"), F.count("quality").alias("checked"))
+    return records.any_flag(d, "source", F.when(F.col("quality").isNotNull(), F.col("toxic") == 1), "quality")
 
 
 @query("streamed_counts", """

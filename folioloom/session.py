@@ -35,7 +35,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured is None:
-        # Only a session without any setting (tests, one machine) comes here.
+        # Only a session on one machine may do without the setting: others' executors don't see this folder.
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = "file:///tmp/checkpoints/folioloom"
     context.setCheckpointDir(configured)
     return configured

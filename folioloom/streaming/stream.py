@@ -43,7 +43,10 @@ def counts_of(spark: SparkSession, sf_dir: str, name: str, by: str, value: str)
     reader = spark.readStream.schema(schema)
     source = reader.parquet(path) if is_folder else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
     counts = source.groupBy(by).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
-    sink = f"counts_{uuid.uuid4().hex}"
-    query = counts.writeStream.outputMode("complete").format("memory").queryName(sink).option("checkpointLocation", folder).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(sink)
+    sink = f"{folder}-counts"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(sink)  # all groups so far: a batch that runs again writes the same
+
+    counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", folder).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(sink)

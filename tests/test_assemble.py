@@ -26,8 +26,8 @@ def test_build(spark):
     out, ctx = assemble.build(df)
     rows = {(r.path, r.item_item_id): r for r in out.collect()}
     assert set(rows) == {("a", 1), (None, 1)}
-    assert rows["a", 1].item_item_text == "I worry < much" and rows["a", 1].flag_item_translated is False and rows["a", 1].observed_items == 2
-    assert rows[None, 1].flag_item_translated is True and rows[None, 1].observed_items is None
+    assert rows["a", 1].item_item_text == "I worry &amp;lt; much" and rows["a", 1].flag_item_translated is False and rows["a", 1].observed_item_count == 2
+    assert rows[None, 1].flag_item_translated is True and rows[None, 1].observed_item_count is None
     assert "x_extractor_ttft" not in out.columns and ctx.stats["filter.empty_item_text.new"] == 2
 
 
