@@ -218,7 +218,8 @@ STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
 BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
 FIRST_SHARE = 4  # one bucket in so many is read in the first round, which only spares the second one work
-REST_BLOCK = 1024  # classes of a block, on average, that meet under one shingle
+REST_BLOCK = 512  # classes of a block, on average, that meet under one shingle
+BUCKETS = 1 << 16  # of shingles, whose counts order them
 CLOSE = 0.12  # over three standard errors of a sketch's similarity
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCH, 2), dtype=np.uint64) | np.uint64(1)
 
@@ -403,13 +404,26 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
         nodes = components(edges).withColumnRenamed("node", "class")
         return classes.select("class").join(nodes, "class", "left").select("class", F.coalesce("root", "class").alias("root")).checkpoint()
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(class, n, token) of the sets' shingles."""
+    def counted_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(bucket, n): how many of a task's shingles fall into every one of BUCKETS buckets."""
+        counts = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in slices(batches):
+            held = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint32)
+            counts += np.bincount(held % BUCKETS, minlength=BUCKETS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["bucket", "n"])
+
+    def prefixes(batches: Iterator[pa.RecordBatch], often: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """(token, class, n, place) of the first n - ceil(t n) + 1 shingles of every set, those of rare buckets first."""
         for batch in slices(batches):
             sets = [np.frombuffer(x, dtype=np.uint32) for x in batch.column(1).to_pylist()]
-            sizes = [len(x) for x in sets]
-            names = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.uint32), *sets]).view(np.int32))], names=["class", "n", "token"])
+            first = [x[np.lexsort((x, often[x % BUCKETS]))[: len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1]] for x in sets]
+            many = [len(x) for x in first]
+            names = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), many)
+            sizes = np.repeat(np.array([len(x) for x in sets], dtype=np.int32), many)
+            place = np.concatenate([np.zeros(0, np.int32), *(np.arange(1, k + 1, dtype=np.int32) for k in many)])
+            tokens = np.concatenate([np.zeros(0, np.uint32), *first]).view(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(names), pa.array(sizes), pa.array(place)], names=["token", "class", "n", "place"])
 
     def rest(shared: DataFrame, edges: DataFrame) -> DataFrame:
         """``edges`` and what joins the groups that are left."""
@@ -420,13 +434,12 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
         if wanted.isEmpty():
             return edges
         sets = sets_of(wanted).checkpoint()
-        every = sets.mapInArrow(tokens, "class long, n int, token int")
-        common = every.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
-        own = Window.partitionBy("class")
-        ranked = every.join(common, "token").withColumn("k", F.row_number().over(own.orderBy("f", "token"))).withColumn("m", F.count("*").over(own))
-        # Shingles of one class alone come first and join nothing; prefixes hold n - ceil(t n) + 1 shingles.
-        placed = ranked.withColumn("place", (F.col("n") - F.col("m") + F.col("k")).cast("int"))
-        prefix = placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).select("token", "class", "n", "place").checkpoint()
+        # Any one order of all shingles loses nothing; counts of buckets suffice to put the frequent ones last.
+        found = sets.select("set").mapInArrow(counted_shingles, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+        often = np.zeros(BUCKETS, dtype=np.int64)
+        for row in found:  # BUCKETS numbers at most, whatever the input
+            often[row["bucket"]] = row["n"]
+        prefix = sets.mapInArrow(lambda x: prefixes(x, often), "token int, class long, n int, place int").checkpoint()
         for all_pairs in (False, True):
             named = prefix.join(labels, "class")
             several = named.groupBy("token").agg(F.count("*").alias("f"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
