@@ -217,6 +217,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
 BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
+BROADCAST_BYTES = 32 << 20  # of sets of shingles that are broadcast at most
 FIRST_SHARE = 4  # one bucket in so many is read in the first round, which only spares the second one work
 REST_BLOCK = 512  # classes of a block, on average, that meet under one shingle
 BUCKETS = 1 << 16  # of shingles, whose counts order them
@@ -325,7 +326,7 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
     kind = docs.schema[key].dataType.simpleString()
     picked = docs.select(*identity(key, text), F.col(text).cast("string").alias("text"), F.col(key).alias("key"))
     marked = map_slices(picked, make, f"r1 long, r2 long, key {kind}, sketch binary").withColumn("class", F.xxhash64("sketch")).checkpoint()
-    classes = marked.groupBy("class").agg(F.first("sketch").alias("sketch"), F.min(F.struct("key", "r1", "r2")).alias("least"))
+    classes = marked.groupBy("class").agg(F.first("sketch").alias("sketch"), F.min(F.struct("key", "r1", "r2")).alias("least")).checkpoint()
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -434,6 +435,7 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
         if wanted.isEmpty():
             return edges
         sets = sets_of(wanted).checkpoint()
+        small = (sets.agg(F.sum(F.length("set"))).first()[0] or 0) <= BROADCAST_BYTES
         # Any one order of all shingles loses nothing; counts of buckets suffice to put the frequent ones last.
         found = sets.select("set").mapInArrow(counted_shingles, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
         often = np.zeros(BUCKETS, dtype=np.int64)
@@ -449,7 +451,7 @@ def standing_for(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
             cells = other.select(F.xxhash64("token", low, high).alias("cell"), (F.col("block") != low).alias("second"), "class", "root", "n", "place")
             dealt = cells.repartition("cell").sortWithinPartitions("cell", "class")
             candidates = dealt.mapInArrow(lambda x, y=all_pairs: cell_pairs(x, similarity, y), "u long, v long").distinct()
-            joined = paired(candidates, sets, "set").mapInArrow(exact, "u long, v long").checkpoint()
+            joined = paired(candidates, F.broadcast(sets) if small else sets, "set").mapInArrow(exact, "u long, v long").checkpoint()
             if not joined.isEmpty():
                 edges = edges.unionByName(joined)
                 labels = rooted_by(edges)
