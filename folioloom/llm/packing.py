@@ -9,14 +9,17 @@ bounded by the pool of one task (POOL_TOKENS, plus the document in hand):
    tiers, best fit first, and where nothing fits the shortest piece is cut to fill the gap exactly;
 3. when a task ends, its last unfilled windows are split into sequences whose lengths are powers of two,
    which need no padding either;
-4. finished sequences are dealt to step groups: a group holds GROUP_TOKENS tokens of one tier, so every
-   step of any tier costs the same.
+4. finished sequences are dealt to step groups of one tier: a group is full when the next sequence would bring it
+   over GROUP_TOKENS, so full groups of any tier cost the same but for less than a window. A task's last group of each
+   tier holds what is left.
 
 Sequence and group ids carry the partition's number in their high bits. They follow from the input's
 partitioning alone, so a recomputed task gives the same rows.
 
-Defined results: null or empty text is a document of one token, the end-of-document id 0; a repeated row
-is packed again; an empty table gives no rows; null ids are carried as they are.
+Defined results: null or empty text is a document of one token, the end-of-document id 0; a text of any length is
+encoded whole; of pieces of one length the one of the earlier document is packed first; a repeated row is packed
+again; an empty table gives no rows; null ids are carried as they are; extra columns are not read, and output columns
+that would be named like the key get a leading underscore.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table, utf8
+from .common import beside, slices, table, utf8
 
 WINDOW = 1024
 TIERS = (128, 256, 512, 1024)
@@ -139,8 +142,9 @@ def in_powers(pieces: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[tu
 def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", paths: tuple[str, str] | None = None) -> DataFrame:
     """One row per piece of a document, with the sequence that holds it (COLUMNS)."""
     kind = docs.schema[key].dataType.simpleString()
-    schema = COLUMNS.format(kind=kind).replace("doc_id", key, 1)
-    names = [x.split()[0] for x in schema.split(", ")]
+    plain = [x.split() for x in COLUMNS.split(", ")[1:]]
+    names = [key, *beside(key, *(n for n, _ in plain))]
+    schema = ", ".join(f"`{n}` {k}" for n, k in zip(names, [kind, *(k for _, k in plain)], strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
@@ -201,7 +205,7 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", pat
             if out is not None:
                 yield out
 
-    return docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,7 +217,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAGE_SHINGLE, SIMILARITY = 5, 0.8
 SEGMENTS, SYMBOLS, SKETCH = 8, 7, 128  # segments of symbols that are indexed; symbols compared to verify
 BROADCAST_ROWS = 50_000  # names of documents (three numbers each) that are broadcast at most
-BROADCAST_BYTES = 32 << 20  # of sets of shingles that are broadcast at most
+BROADCAST_BYTES = 8 << 20  # of sets of shingles that are broadcast at most
 FIRST_SHARE = 4  # one bucket in so many is read in the first round, which only spares the second one work
 REST_BLOCK = 512  # classes of a block, on average, that meet under one shingle
 BUCKETS = 1 << 16  # of shingles, whose counts order them
