@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .clusters import ORACLE as CLUSTERS_SQL
+from .clusters import op13_clusters
 from .decontaminate import op9_decontamination
 from .language import op2_language
 from .licenses import ORACLE as LICENSES_SQL
@@ -25,7 +27,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
+    "op13_clusters": op13_clusters,
 }
 
 #: The others have no SQL form that stays cheap on whole tables; tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {"op7_licenses": LICENSES_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_licenses": LICENSES_SQL, "op13_clusters": CLUSTERS_SQL}
