@@ -15,6 +15,8 @@ from .secrets import op5_secrets
 from .simhash import op8_simhash
 from .suffixes import op3_suffixes
 from .toxicity import op1_toxicity
+from .windows import ORACLE as WINDOWS_SQL
+from .windows import op11_windows
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
@@ -27,8 +29,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
+    "op11_windows": op11_windows,
     "op13_clusters": op13_clusters,
 }
 
 #: The others have no SQL form that stays cheap on whole tables; tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {"op7_licenses": LICENSES_SQL, "op13_clusters": CLUSTERS_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_licenses": LICENSES_SQL, "op11_windows": WINDOWS_SQL, "op13_clusters": CLUSTERS_SQL}
