@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .chat import ORACLE as CHAT_SQL
+from .chat import op12_chat
 from .clusters import ORACLE as CLUSTERS_SQL
 from .clusters import op13_clusters
 from .decontaminate import op9_decontamination
@@ -30,8 +32,9 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
     "op11_windows": op11_windows,
+    "op12_chat": op12_chat,
     "op13_clusters": op13_clusters,
 }
 
 #: The others have no SQL form that stays cheap on whole tables; tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {"op7_licenses": LICENSES_SQL, "op11_windows": WINDOWS_SQL, "op13_clusters": CLUSTERS_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_licenses": LICENSES_SQL, "op11_windows": WINDOWS_SQL, "op12_chat": CHAT_SQL, "op13_clusters": CLUSTERS_SQL}
