@@ -26,33 +26,33 @@ def alpha_nominal(df: DataFrame, unit: str, value: str) -> DataFrame:
     )
 
 
-TEXT_BLOCK = 128  # texts of a block, on average, that alpha_text compares at once
+def alpha_text(df: DataFrame, by: str, run: str, position: str, text: str) -> DataFrame:
+    """(by, alpha, n_runs, n_positions): for each document, alpha of its runs with squared normalised Levenshtein distance.
 
-
-def alpha_text(df: DataFrame, run: str, position: str, text: str) -> DataFrame:
-    """Alpha with squared normalised Levenshtein distance on the positions that all runs have; 1 where there is none.
-
-    Pairs within a position, and pairs over all values of the kept positions: each pair of distinct texts is compared
-    once and counts as often as its texts occur. The pairs are dealt in blocks of texts.
+    Only the positions 0, 1, ... that all runs of the document have are compared. Pairs within a position are what was
+    observed, pairs over all values of the document what was to be expected; a pair of distinct texts is compared once
+    and counts as often as its texts occur, and pairs are made within a document only. Null texts are empty; alpha is 1
+    where nothing differs or no position is shared, and null for a single run.
     """
     from .matching import distance
 
-    sizes = df.groupBy(run).agg(F.count("*").alias("k"))
-    least = sizes.agg(F.min("k").alias("k"), F.count("*").alias("r"))
-    kept = df.crossJoin(least).where(F.col(position) < F.col("k")).select(F.col(position).alias("p"), F.coalesce(text, F.lit("")).alias("t"))
-    places = kept.groupBy("t", "p").agg(F.count("*").alias("c"))
-    texts = places.groupBy("t").agg(F.sum("c").alias("c"), F.map_from_entries(F.collect_list(F.struct("p", "c"))).alias("at"))
-    blocks = max(1, -(-texts.count() // TEXT_BLOCK))
-    dealt = texts.withColumn("block", F.pmod(F.xxhash64("t"), F.lit(blocks)).cast("int"))
-    a = dealt.select(F.col("t").alias("ta"), F.col("c").alias("ca"), F.col("at").alias("aa"), F.col("block").alias("i"), F.explode(F.sequence("block", F.lit(blocks - 1))).alias("j"))
-    b = dealt.select(F.col("t").alias("tb"), F.col("c").alias("cb"), F.col("at").alias("ab"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
-    once = (F.col("i") < F.col("j")) | (F.col("ta") < F.col("tb"))
-    pairs = a.join(b, ["i", "j"]).where(once).withColumn("d", 2 * F.pow(distance(F.col("ta"), F.col("tb")), 2.0))
-    together = F.aggregate(F.map_keys("aa"), F.lit(0).cast("long"), lambda s, p: s + F.col("aa")[p] * F.coalesce(F.try_element_at("ab", p), F.lit(0)))
-    sums = pairs.agg(F.sum(F.col("d") * together).alias("obs"), F.sum(F.col("d") * F.col("ca") * F.col("cb")).alias("all"))
-    total = kept.agg(F.count("*").alias("n"))
-    alpha = 1 - F.col("obs") / F.nullif(F.col("r") - 1, F.lit(0)) * (F.col("n") - 1) / F.col("all")
-    return sums.crossJoin(total).crossJoin(least).select(F.when(F.coalesce("all", F.lit(0.0)) == 0, F.lit(1.0)).otherwise(alpha).alias("alpha"))
+    # As a struct the key is never null. Texts are dealt by number, as few bytes stand for much work here.
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(F.struct(F.col(by).alias("v")).alias("doc"), F.col(run).alias("run"), F.col(position).alias("p"), F.coalesce(text, F.lit("")).alias("t"))
+    sizes = rows.groupBy("doc", "run").agg(F.count("*").alias("k"))
+    least = sizes.groupBy("doc").agg(F.min("k").alias("k"), F.count("*").alias("r"))
+    kept = rows.join(least, "doc").where(F.col("p") < F.col("k"))
+    places = kept.groupBy("doc", "t", "p").agg(F.count("*").alias("c"))
+    texts = places.groupBy("doc", "t").agg(F.sum("c").alias("c"), F.map_from_entries(F.collect_list(F.struct("p", "c"))).alias("at")).repartition(spread, "doc")
+    one, two = (texts.select("doc", *(F.col(x).alias(f"{x}{side}") for x in ("t", "c", "at"))) for side in "ab")
+    pairs = one.join(two, "doc").where(F.col("ta") < F.col("tb"))
+    together = F.aggregate(F.map_keys("ata"), F.lit(0).cast("long"), lambda s, p: s + F.col("ata")[p] * F.coalesce(F.try_element_at("atb", p), F.lit(0)))
+    d = 2 * F.pow(distance(F.col("ta"), F.col("tb")), 2.0)  # either way round
+    sums = pairs.select("doc", d.alias("d"), together.alias("both"), (F.col("ca") * F.col("cb")).alias("all"))
+    sums = sums.groupBy("doc").agg(F.sum(F.col("d") * F.col("both")).alias("obs"), F.sum(F.col("d") * F.col("all")).alias("every"))
+    n = F.col("k") * F.col("r")
+    alpha = F.when(F.coalesce("every", F.lit(0.0)) == 0, F.lit(1.0)).otherwise(1 - F.col("obs") / F.nullif(F.col("r") - 1, F.lit(0)) * (n - 1) / F.col("every"))
+    return least.join(sums, "doc", "left").select(F.col("doc.v").alias(by), F.when(F.col("r") > 1, alpha).alias("alpha"), F.col("r").alias("n_runs"), F.col("k").alias("n_positions"))
 
 
 def reverse_agreement(df: DataFrame, pair: list[str], reverse: str) -> DataFrame:

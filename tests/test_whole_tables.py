@@ -54,18 +54,21 @@ def slow_alpha(runs):
             d = (slow_levenshtein(t, u) / (max(len(t), len(u)) or 1)) ** 2
             every += d
             obs += d / (len(runs) - 1) if p == q and r != s else 0
-    return 1 - obs * (len(cells) - 1) / every
+    return 1 - obs * (len(cells) - 1) / every if every else 1.0
 
 
-def test_alpha_of_whole_texts(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(statistics, "TEXT_BLOCK", 3, raising=False)
+def test_alpha_by_document(spark):
     rng = random.Random(2)
-    pool = ["x" * 80 + "".join(rng.choice("abc") for _ in range(20)) for _ in range(6)]
-    runs = [[rng.choice(pool) for _ in range(rng.randint(2, 4))] for _ in range(7)]
-    rows = [(r, p, "user", t) for r, x in enumerate(runs) for p, t in enumerate(x)]
-    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    out = registry.QUERIES["alpha_text"](spark, str(tmp_path)).first().alpha
-    assert abs(out - slow_alpha(runs)) < 1e-6
+    pool = ["x" * 80 + "".join(rng.choice("abC") for _ in range(20)) for _ in range(6)] + ["", None]
+    runs = {doc: [[rng.choice(pool) for _ in range(rng.randint(1, 4))] for _ in range(rng.randint(1, 5))] for doc in [*range(12), None]}
+    runs[20], runs[21] = [["same"] * 2] * 3, [["a", "b"]]
+    rows = [(doc, r, p, t) for doc, own in runs.items() for r, x in enumerate(own) for p, t in enumerate(x)]
+    out = statistics.alpha_text(spark.createDataFrame(rows, "doc long, run long, pos long, t string").repartition(3), "doc", "run", "pos", "t").collect()
+    assert len(out) == len(runs)
+    for r in out:
+        own = [[(t or "").lower() for t in x] for x in runs[r.doc]]
+        assert (r.n_runs, r.n_positions) == (len(own), min(map(len, own)))
+        assert (r.alpha is None) if len(own) < 2 else abs(r.alpha - slow_alpha(own)) < 1e-9
 
 
 def test_texts_that_differ_behind_a_prefix(spark, tmp_path):
