@@ -4,10 +4,15 @@ Base spans come from three patterns (an assignment to a sensitive name, access k
 strings). The method adds spans. Source and configuration syntax is read into name-literal pairs: targets are bare,
 dotted, quoted or subscripted names (``a.b``, ``"db_pwd":``, ``cfg["db_pwd"] =``), with or without a type
 (``db_pwd: str =``), and XML elements; values are quoted literals (escapes, prefixes, triple quotes, back ticks), several
-of them added or put side by side, indented blocks, bare literals and other names. Constants are propagated
-(``a = "..."`` then ``password = a``; a name stands for all literals it was given, through any number of names), and a
-literal is reported where its target's name is sensitive and its own form (length, alphabet, entropy) scores high
-enough. Literals and names may have any length, and pairs inside a literal are read too.
+of them added or put side by side, indented blocks, bare literals and other names, on the operator's line or, where
+quoted, on a later one. Sensitive names also take every quoted literal of a list, set, tuple, nested object or call
+(``os.environ.get("DB_PWD", "...")``; there, what is letters and underscores only is a name), the entries of an indented
+list, their place of a tuple (``db_pwd, n = "...", 1``), and the ``value`` of a tag that names them
+(``<add key="db_pwd" value="..."/>``). Constants are propagated (``a = "..."`` then ``password = a``; a name stands for all
+literals it was given, through any number of names; lists are not followed through names), and a literal is reported
+where its target's name is sensitive and its own form (length, alphabet, entropy) scores high enough. Literals and names
+may have any length, and pairs inside a literal are read too. No assignments, and so not read: comparisons, arguments
+of calls whose name is sensitive, credentials within addresses, and literals with blanks.
 
 Spans are kind:start:end in code points, end exclusive; a literal in several pieces has a span a piece. Defined results:
 null text counts as empty and has no spans; a very long text is read once from end to end; of spans that start
@@ -69,8 +74,19 @@ BLOCK_MARK = re.compile(r"[|>][+-]?[ \t]*+\n(?=([ \t]++)\S)")
 NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$-]*+")
 PLAIN = re.compile(r"[A-Za-z_.]+")  # a name, even where no pair of the text defines it
 ESCAPE = re.compile(r"\\(.)", re.DOTALL)
+LATER_LINE = re.compile(r"""(?:\\)?\n\s*+(?=[rRbBuUfF]{0,2}["'`])""")
+ENTRY = re.compile(r"\n[ \t]*+-[ \t]++")
+CALL = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$]*+(?=\()")
+IS_KEY = re.compile(r"\s*+(?::(?!:)|=(?!=))")
+INSIDE = re.compile(r"""[^\[\](){}"'`]++""")
+SEVERAL = re.compile(rf"((?<![A-Za-z0-9_.$-]){_WORD}(?:[ \t]*+,[ \t]*+{_WORD})++)[ \t]*+(=(?!=)[ \t]*+)?")
+COMMA = re.compile(r"[ \t]*+,[ \t]*+")
+TAG = re.compile(r"<[A-Za-z][^<>]*+>")
+ATTRIBUTE = re.compile(r"""([A-Za-z_:][A-Za-z0-9_.:-]*+)\s*+=\s*+(?:"([^"<>]*+)"|'([^'<>]*+)')""")
 COUNTED = 4096  # longer literals are counted by numpy
 SENSITIVE = ("password", "passwd", "passphrase", "pwd", "secret", "token", "apikey", "accesskey", "privatekey", "credential", "authkey", "clientkey", "signingkey", "encryptionkey")
+SENSITIVE_BYTES = [x.encode() for x in SENSITIVE]
+NOT_LOWER = bytes(sorted(set(range(256)) - set(range(97, 123))))
 BENIGN = ("public", "count", "length", "size", "type", "name", "file", "path", "url", "limit", "max", "min")
 MIN_LITERAL, MIN_SCORE = 8, 0.5
 
@@ -105,6 +121,7 @@ class Lexer:
         self.open: dict[str, int] = {}  # quote -> the end of the line on which it is known not to be closed
         self.bare = (0, 0)  # the last bare run
         self.block_end = 0  # of the last block; what stands in it is none
+        self.taken = 0  # end of the last bracket whose literals a sensitive name took
 
     def quoted(self, at: int) -> tuple[int, int, int] | None:
         """(start, end, stop) of the content of a quoted literal that begins at ``at`` (its prefix included)."""
@@ -178,6 +195,77 @@ class Lexer:
         self.block_end = end
         return start, max(start, end - self.text.endswith("\n", at, end))
 
+    def bracket(self, at: int) -> Iterator[tuple[int, int]]:
+        """The quoted literals up to the end of the bracket that opens at ``at``, nested ones too, keys left out. What a
+        name has taken is not read again for a name within."""
+        text = self.text
+        if at < self.taken or at >= len(text) or text[at] not in "[({":
+            return
+        depth, call = 0, text[at] == "(" and at and (text[at - 1].isalnum() or text[at - 1] == "_")
+        while at < len(text):
+            if text[at] in "[({":
+                depth += 1
+            elif text[at] in "])}":
+                depth -= 1
+                if not depth:
+                    break
+            elif text[at] in "\"'`":
+                if found := self.quoted(at):
+                    start, end, at = found
+                    if not IS_KEY.match(text, at) and not (call and PLAIN.fullmatch(text, start, end)):
+                        yield start, end
+                    continue
+            elif m := INSIDE.match(text, at):
+                at = m.end()
+                continue
+            at += 1
+        self.taken = at
+
+    def more(self, at: int) -> Iterator[tuple[int, int]]:
+        """Literals of a value at ``at`` that is no single one: on a later line, in brackets or a call, in a list of entries."""
+        text = self.text
+        call = CALL.match(text, at)
+        yield from self.bracket(call.end() if call else at)
+        if m := LATER_LINE.match(text, at):
+            if (found := self.quoted(m.end())) and not IS_KEY.match(text, found[2]):
+                yield found[:2]
+        while m := ENTRY.match(text, at):
+            if found := self.quoted(m.end()):
+                at = found[2]
+                if IS_KEY.match(text, at):
+                    return
+                yield found[:2]
+            elif (at := self.run(m.end())) > m.end():
+                if text.endswith(":", m.end(), at):
+                    return
+                yield m.end(), at
+            else:
+                return
+
+    def others(self) -> Iterator[tuple[str, tuple[int, int]]]:
+        """(name, literal) of tuples and of tags that name what they hold."""
+        text = self.text
+        for m in SEVERAL.finditer(text) if "," in text else ():
+            at = m.end()
+            for name in re.findall(_WORD, m.group(1)) if m.group(2) else ():
+                if found := self.quoted(at):
+                    yield name, found[:2]
+                    at = found[2]
+                else:
+                    end = self.run(at)
+                    if end > at and name_weight(name) and not NAME.fullmatch(text, at, end):
+                        yield name, (at, end)
+                    at = end
+                after = COMMA.match(text, at)
+                if not after:
+                    break
+                at = after.end()
+        for tag in TAG.finditer(text) if "<" in text else ():
+            held = {m.group(1).lower(): (m.span(2) if m.group(2) is not None else m.span(3)) for m in ATTRIBUTE.finditer(text, *tag.span())}
+            named = next((held[k] for k in ("name", "key", "id") if k in held), None)
+            if named and "value" in held:
+                yield text[slice(*named)], held["value"]
+
     def pairs(self) -> Iterator[tuple[str, list[tuple[int, int]], list[tuple[str, int, int]]]]:
         """(name, pieces of its literal, names it was given), in order."""
         text, typed = self.text, 0  # up to ``typed`` there is a type, no target
@@ -192,9 +280,17 @@ class Lexer:
                 continue
             name = (m.group(1) or m.group(2) or m.group(3)).lstrip("$")
             yield name, *self.value(m.end())
+            if name_weight(name):
+                for piece in self.more(m.end()):
+                    yield name, [piece], []
             if m.group(4) == ":" and (kind := ANNOTATION.match(text, m.end())):
                 typed = kind.end()
                 yield name, *self.value(typed)
+                if name_weight(name):
+                    for piece in self.more(typed):
+                        yield name, [piece], []
+        for name, piece in self.others():
+            yield name, [piece], []
 
 
 def lexed(text: str) -> list[tuple[int, int]]:
@@ -247,14 +343,20 @@ def lexed(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def may_name(low: str) -> bool:
+    """Whether a lower-cased text can hold a sensitive name; names are judged by their letters alone."""
+    letters = low.encode("utf-8", "replace").translate(None, NOT_LOWER)
+    return any(x in letters for x in SENSITIVE_BYTES)
+
+
 def scan(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of every span, in order; kind indexes KINDS."""
     spans = []
-    if "=" in text or ":" in text:
+    if "=" in text or ":" in text or "<" in text:
         low = text.lower()
         if any(x in low for x in ("password", "passwd", "secret", "token", "key")):
             spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= MIN_ASSIGN]
-        if any(x in low for x in ("pass", "pwd", "secret", "token", "key", "credential")):
+        if may_name(low):
             spans += [(s, 3, e) for s, e in lexed(text)]
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]

@@ -45,6 +45,34 @@ def test_syntax(text, want):
     assert literals(text) == sorted(want)
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        (f"<password>{ONE}</password>", [ONE]),
+        (f"<a>b</a> <db_pwd>{ONE}</db_pwd>", [ONE]),
+        (f'db_pwd =\n  "{ONE}"', [ONE]),
+        (f'db_pwd = \\\n  "{ONE}"', [ONE]),
+        (f'password:\n  "other": "{ONE}"', []),
+        (f'db_pwd = ["{ONE}", "{TWO}"]', [ONE, TWO]),
+        (f'db_pwd = ("{ONE}", \'{TWO}\')', [ONE, TWO]),
+        (f"db_pwds:\n  - '{ONE}'\n  - {TWO}\nx: 1", [ONE, TWO]),
+        (f'db_pwd, x = "{ONE}", 1', [ONE]),
+        (f'x, db_pwd = 1, "{ONE}"', [ONE]),
+        (f'x, y = "{TWO}", "{ONE}"', []),
+        (f'<add key="db_pwd" value="{ONE}"/>', [ONE]),
+        (f"<property value='{ONE}' name='db.password'/>", [ONE]),
+        (f'"credential": {{"value": "{ONE}", "id": 4}}', [ONE]),
+        (f'credential = {{"a": {{"b": ["{ONE}"]}}, "c": "{TWO}"}}', [ONE, TWO]),
+        (f'db_pwd = os.environ.get("DB_PASSWORD_MAIN", "{ONE}")', [ONE]),
+        (f'k = ["{TWO}"]; db_pwd: list[str] = ["{ONE}"]', [ONE]),
+        (f'p.w.d = "{ONE}"', [ONE]),
+    ],
+)
+def test_syntax_through_the_scan(spark, text, want):
+    found = sorted({text[a:b] for a, k, b in secrets.scan(text) if k == 3})
+    assert found == sorted(want)
+
+
 def test_random_programs_against_an_interpreter():
     """A program of assignments: what reaches a sensitive name through names, sums and subscripts, by a plain fixed point."""
     rng = random.Random(6)
@@ -83,6 +111,7 @@ def test_long_and_odd_texts_take_linear_time():
         "token=" * 30_000, "a" * 300_000, "a=" * 100_000, 'key="' * 60_000, "x" + " " * 300_000 + "token", "'a':'" * 60_000, '"' + '\\"' * 100_000,
         'password="' + '\\"=\\"' * 50_000, "a-" * 100_000, "password:" + " a|" * 100_000, "<password " * 30_000, "'''token='''" * 20_000, 'x="""' * 50_000,
         "password: |\n " * 20_000, 'token="a" + ' * 30_000, "token: (\n" * 30_000, "$" * 200_000, 'x = "a\\\n' * 50_000,
+        "token: [{(" * 30_000, "token," * 50_000, "a, " * 100_000, "token = f(" * 30_000, "token:\n - " * 30_000, "<a token=" * 40_000, 'token=["' * 40_000, "token = \n\n" * 50_000, "<t name='token'" + " a='b'" * 50_000 + ">",
     ]
     began = time.perf_counter()
     for text in long:
