@@ -20,8 +20,13 @@ def norm(v: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """v over its length; a zero vector stays zero."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(doubles(v), lambda x: x / n)).otherwise(doubles(v))
+    return _scaled(v, F.lit(1.0))
+
+
+def _scaled(v: Column, sign: Column) -> Column:
+    # The factor is the variable of an outer function, so it is worked out once a vector, not once a component.
+    factor = F.coalesce(sign / F.nullif(norm(v), F.lit(0.0)), sign)
+    return F.transform(F.array(factor), lambda f: F.transform(doubles(v), lambda x: x * f))[0]
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -33,7 +38,7 @@ def cosine(a: Column, b: Column) -> Column:
 def keyed(v: Column, reverse: Column) -> Column:
     """The unit vector, turned round for reverse-keyed rows; null keying counts as not reversed."""
     sign = F.when(F.coalesce(reverse, F.lit(False)), -1.0).otherwise(1.0)
-    return F.transform(unit(v), lambda x: x * sign)
+    return _scaled(v, sign)
 
 
 def literal_vector(values) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,3 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = "file:///tmp/checkpoints/folioloom"
     context.setCheckpointDir(configured)
     return configured
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written to the shared folder and read again: worked out once, and read by column from then on."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
