@@ -2,55 +2,101 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 5
-
-
-def tree_schema(item: str, depth: int) -> str:
-    """The struct of a tree unrolled to ``depth`` levels and one more that must stay empty."""
-    node = f"struct<id: bigint, scale_name: string, construct_name: string, items: array<struct<{_colons(item)}>>, subscales: array<string>>"
-    for _ in range(depth - 1):
-        node = f"struct<id: bigint, scale_name: string, construct_name: string, items: array<struct<{_colons(item)}>>, subscales: array<{node}>>"
-    return f"struct<scales: array<{node}>, orphan_items: array<struct<{_colons(item)}>>, unscaled_items: array<struct<{_colons(item)}>>>"
-
-
-def _colons(fields: str) -> str:
-    return ", ".join(": ".join(f.split(None, 1)) for f in fields.split(", "))
+from ..functions.model import Model
+
+SCALE_COLUMNS = {"scale_id": "bigint", "scale_name": "string", "scale_construct_name": "string", "scale_depth": "bigint", "scale_id_path": "array<bigint>", "scale_name_path": "array<string>"}
+INNERMOST = "array<string>"  # of the level below the last: must stay empty
+
+
+def tree_schema(item: Model, depth: int, meta: Model | None = None) -> str:
+    """The struct of a tree of ``depth`` levels of scales."""
+    own = f"id: bigint, scale_name: string, construct_name: string, items: array<{item.wire_schema()}>"
+    below = INNERMOST
+    for _ in range(depth):
+        below = f"array<struct<{own}, subscales: {below}>>"
+    more = f", meta: {meta.wire_schema()}" if meta else ""
+    return f"struct<scales: {below}, orphan_items: array<{item.wire_schema()}>, unscaled_items: array<{item.wire_schema()}>{more}>"
+
+
+def tree_depth(docs: DataFrame, tree: str) -> int:
+    """Levels of scales in the deepest tree, from the one schema that all trees share: a single aggregate."""
+    found = docs.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(tree).cast("string"))).alias("s")).first()["s"] or ""
+    open_, levels, deepest = [], 0, 0  # whether each open bracket belongs to a list of scales
+    for name, mark in re.findall(r"(?:([A-Za-z0-9_]+): ARRAY(?=<OBJECT))?(<|>)", found):
+        if mark == "<":
+            open_.append(name in ("scales", "subscales"))
+            levels += open_[-1]
+            deepest = max(deepest, levels)
+        elif open_:
+            levels -= open_.pop()
+    return deepest
+
+
+def _placements(node: Column, item: Model, ids: Column, names: Column, depth: int, left: int) -> Column:
+    """A node's own items, then those of its subscales, as one array; ``left`` levels may follow below."""
+    some = lambda c, kind: F.coalesce(F.filter(c, lambda x: x.isNotNull()), F.array().cast(kind))
+    items = F.filter(node["items"], lambda x: x.isNotNull())
+    own = F.transform(items, lambda x: F.struct(
+        F.lit("scaled").alias("bucket"), node["id"].alias("scale_id"), node["scale_name"].alias("scale_name"), node["construct_name"].alias("scale_construct_name"),
+        F.lit(depth).cast("bigint").alias("scale_depth"), ids.alias("scale_id_path"), names.alias("scale_name_path"), item.resolved(x).alias("item")))
+    own = F.coalesce(own, F.array().cast(_placed(item)))
+    if not left:
+        deeper = F.size(some(node["subscales"], INNERMOST)) > 0
+        return F.when(deeper, F.raise_error(F.lit(f"a tree is deeper than {depth} levels")).cast(_placed(item))).otherwise(own)
+    below = F.transform(F.filter(node["subscales"], lambda x: x.isNotNull()), lambda n: _placements(n, item, F.array_append(ids, n["id"]), F.array_append(names, n["scale_name"]), depth + 1, left - 1))
+    return F.concat(own, F.coalesce(F.flatten(below), F.array().cast(_placed(item))))
+
+
+def _placed(item: Model) -> str:
+    return f"array<struct<bucket: string, {', '.join(f'{k}: {v}' for k, v in SCALE_COLUMNS.items())}, item: {item.schema()}>>"
+
+
+def _all_placements(parsed: Column, item: Model, depth: int) -> Column:
+    """All placements of a document in order: scales in pre-order, then orphans, then unscaled items."""
+    one = lambda n: _placements(n, item, F.array(n["id"]), F.array(n["scale_name"]), 1, depth - 1)
+    loose = lambda bucket: F.transform(F.filter(parsed[f"{bucket}_items"], lambda x: x.isNotNull()), lambda x: F.struct(
+        F.lit(bucket).alias("bucket"), *(F.lit(None).cast(v).alias(k) for k, v in SCALE_COLUMNS.items()), item.resolved(x).alias("item")))
+    parts = [F.flatten(F.transform(F.filter(parsed["scales"], lambda x: x.isNotNull()), one))] if depth else []
+    parts += [loose("orphan"), loose("unscaled")]
+    return F.concat(*(F.coalesce(x, F.array().cast(_placed(item))) for x in parts))
+
+
+def explode_trees(docs: DataFrame, key: str, tree: str, item: str | Model, depth: int | None = None) -> DataFrame:
+    """One row a placement: (key, bucket, the SCALE_COLUMNS, item, ord).
+
+    A node's own items come before its subscales', in pre-order; then orphans, then unscaled items; ``ord`` numbers them
+    within the document. A document without a tree is one shell row; a text that is no JSON has none. Trees may have any
+    depth: the deepest one's is found by one aggregate beforehand, unless ``depth`` says what is allowed (deeper trees
+    then raise an error instead of losing their leaves). Every document is parsed and exploded in one pass, without a join.
+    """
+    item = Model.of(item) if isinstance(item, str) else item
+    depth = tree_depth(docs, tree) if depth is None else depth
+    parsed = docs.withColumn("_t", F.from_json(tree, tree_schema(item, depth)))
+    shell = F.array(F.lit(None).cast(_placed(item).removeprefix("array<")[:-1]))
+    rows = F.when(F.col(tree).isNull(), shell).otherwise(_all_placements(F.col("_t"), item, depth))
+    placed = parsed.select(F.col(key).alias(key), F.posexplode(rows).alias("ord", "_p"))
+    return placed.select(key, "_p.bucket", *(f"_p.{c}" for c in SCALE_COLUMNS), "_p.item", "ord")
 
 
-def explode_trees(docs: DataFrame, key: str, tree: str, item: str, depth: int = MAX_DEPTH) -> DataFrame:
-    """One row a placement: (key, bucket, scale_id, scale_name, scale_depth, scale_id_path, scale_name_path, item, ord).
+def explode_extractions(docs: DataFrame, tree: str, item: Model, meta: Model | None = None, nested: str = "_extractor_content", depth: int | None = None) -> DataFrame:
+    """The whole layout of an exploded store: carried columns (all but the tree and those that end with ``nested``), bucket,
+    the scale columns, ``meta_`` and ``item_`` columns as the models declare them, and ord.
 
-    A node's own items come before its subscales', in pre-order; then orphans, then unscaled items; a document
-    without a tree is one shell row. Trees deeper than ``depth`` raise an error instead of losing their leaves.
+    Every column of the models is there with its type, whatever the documents hold, so batches of a stream agree.
     """
-    parsed = docs.withColumn("_t", F.from_json(tree, tree_schema(item, depth)))
-    none = lambda kind: F.lit(None).cast(kind)
-    level = parsed.select(key, F.posexplode("_t.scales").alias("_p", "_n")).select(key, F.array("_p").alias("_pos"), "_n", F.array("_n.id").alias("_ids"), F.array("_n.scale_name").alias("_names"))
-    parts = []
-    for d in range(1, depth + 1):
-        own = level.select(key, F.lit("scaled").alias("bucket"), F.col("_n.id").alias("scale_id"), F.col("_n.scale_name").alias("scale_name"), F.lit(d).cast("long").alias("scale_depth"),
-                           F.col("_ids").alias("scale_id_path"), F.col("_names").alias("scale_name_path"), "_pos", F.posexplode("_n.items").alias("_at", "item"))
-        parts.append(own.select(key, "bucket", "scale_id", "scale_name", "scale_depth", "scale_id_path", "scale_name_path", "item", F.struct(F.lit(0).alias("b"), F.col("_pos").alias("p"), F.col("_at").alias("i")).alias("ord")))
-        if d < depth:
-            level = level.select(key, "_pos", "_ids", "_names", F.posexplode("_n.subscales").alias("_p", "_n")).select(
-                key, F.concat("_pos", F.array("_p")).alias("_pos"), "_n", F.concat("_ids", F.array("_n.id")).alias("_ids"), F.concat("_names", F.array("_n.scale_name")).alias("_names")
-            )
-        else:
-            too_deep = F.size(F.coalesce("_n.subscales", F.array().cast("array<string>"))) > 0
-            checked = level.where(too_deep).select(F.raise_error(F.lit(f"a tree is deeper than {depth} levels")).cast("string").alias("_error"), key)
-            parts.append(checked.select(key, F.col("_error").alias("bucket"), none("bigint").alias("scale_id"), none("string").alias("scale_name"), none("bigint").alias("scale_depth"), none("array<bigint>").alias("scale_id_path"), none("array<string>").alias("scale_name_path"), none(parts[0].schema["item"].dataType.simpleString()).alias("item"), none(parts[0].schema["ord"].dataType.simpleString()).alias("ord")))
-    loose_ord = lambda rank: F.struct(F.lit(rank).alias("b"), F.array().cast("array<int>").alias("p"), F.col("_at").alias("i")).alias("ord")
-    for rank, (bucket, field) in enumerate((("orphan", "orphan_items"), ("unscaled", "unscaled_items")), 1):
-        loose = parsed.select(key, F.posexplode(f"_t.{field}").alias("_at", "item"))
-        parts.append(loose.select(key, F.lit(bucket).alias("bucket"), none("bigint").alias("scale_id"), none("string").alias("scale_name"), none("bigint").alias("scale_depth"), none("array<bigint>").alias("scale_id_path"), none("array<string>").alias("scale_name_path"), "item", loose_ord(rank)))
-    shells = parsed.where(F.col(tree).isNull()).select(key, none("string").alias("bucket"), none("bigint").alias("scale_id"), none("string").alias("scale_name"), none("bigint").alias("scale_depth"), none("array<bigint>").alias("scale_id_path"), none("array<string>").alias("scale_name_path"), none(parts[0].schema["item"].dataType.simpleString()).alias("item"), none(parts[0].schema["ord"].dataType.simpleString()).alias("ord"))
-    out = parts[0]
-    for p in [*parts[1:], shells]:
-        out = out.unionByName(p)
-    return out
+    depth = tree_depth(docs, tree) if depth is None else depth
+    carried = [c for c in docs.columns if c != tree and not c.endswith(nested)]
+    parsed = docs.select(*carried, F.col(tree).alias("_tree"), F.from_json(tree, tree_schema(item, depth, meta)).alias("_t"))
+    shell = F.array(F.lit(None).cast(_placed(item).removeprefix("array<")[:-1]))
+    rows = F.when(F.col("_tree").isNull(), shell).otherwise(_all_placements(F.col("_t"), item, depth))
+    of_meta = meta.columns(meta.resolved(F.col("_t.meta")), "meta_") if meta else []
+    placed = parsed.select(*carried, *of_meta, F.posexplode(rows).alias("ord", "_p"))
+    return placed.select(*carried, "_p.bucket", *(f"_p.{c}" for c in SCALE_COLUMNS), *(f"meta_{f.name}" for f in (meta.fields if meta else ())), *item.columns(F.col("_p.item"), "item_"), "ord")
 
 
 def rebuild(rows: DataFrame, key: str, ids: str, names: str, item: str, order: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.model import Field, Model
 from ..functions.text import trimmed
 from ..operators import curation, trees
+from ..session import stored
 from ..sources import readers
 from .base import query, table
 
@@ -33,7 +36,7 @@ def explode_tree(spark, sf):
     top = F.array(F.struct((F.col("r_regionkey") + 1000).alias("id"), F.col("r_name").alias("scale_name"), F.array(item(F.lit(0))).alias("items"), F.col("subs").alias("subscales")))
     docs = r.join(subscales, r.r_regionkey == subscales.n_regionkey).select(F.col("r_regionkey").cast("long").alias("doc"), F.to_json(F.struct(top.alias("scales"), F.array(item(F.lit(-1))).alias("orphan_items"))).alias("tree"))
     docs = docs.unionByName(spark.range(99, 100).select(F.col("id").alias("doc"), F.lit(None).cast("string").alias("tree")))
-    rows = trees.explode_trees(docs, "doc", "tree", "item_id long", depth=3)
+    rows = trees.explode_trees(docs, "doc", "tree", "item_id long")
     return rows.select("doc", "bucket", "scale_id", "scale_name", "scale_depth", F.array_join("scale_name_path", "/").alias("path"), F.col("item.item_id").alias("item_id"))
 
 
@@ -49,6 +52,26 @@ def rebuild_tree(spark, sf):
     return nodes.select("doc", (F.col("at") + 1).cast("long").alias("place"), F.col("s.id").alias("id"), F.col("s.scale_name").alias("name"), F.array_join("s.items", ",").alias("items"))
 
 
+@query("explode_deep", """
+WITH RECURSIVE t AS (SELECT c_nationkey AS doc, c_custkey AS item, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer),
+n AS (SELECT DISTINCT doc, 1 + (r - 1) % 511 AS node FROM t),
+w AS (SELECT doc, node, [node] AS path FROM n WHERE node = 1 UNION ALL SELECT n.doc, n.node, list_append(w.path, n.node) FROM w JOIN n ON n.doc = w.doc AND n.node // 2 = w.node)
+SELECT w.doc, row_number() OVER (PARTITION BY w.doc ORDER BY path, r) - 1 AS place, w.node AS scale_id, 's' || w.node AS scale_name, len(path)::BIGINT AS scale_depth, array_to_string(path, '/') AS path, item AS item_id,
+  CASE WHEN item % 3 = 0 THEN 'choice' ELSE 'rating_scale' END AS item_type, item % 5 = 0 AS has_image
+FROM w JOIN t ON t.doc = w.doc AND 1 + (t.r - 1) % 511 = w.node""")
+def explode_deep(spark, sf):
+    """Customers of a nation as the items of a tree of up to nine levels, nested, written as JSON, and exploded again."""
+    c = table(spark, sf, "customer").withColumn("r", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")))
+    node = (1 + (F.col("r") - 1) % 511).cast("long")
+    steps = F.filter(F.transform(F.sequence(F.lit(8), F.lit(0), F.lit(-1)), lambda s: F.floor(node / F.pow(F.lit(2.0), s)).cast("long")), lambda x: x > 0)
+    item = F.struct(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 3 == 0, F.lit("choice")).alias("type"), F.when(F.col("c_custkey") % 5 == 0, F.lit(True)).alias("img"))
+    rows = c.select(F.col("c_nationkey").alias("doc"), steps.alias("ids"), F.transform(steps, lambda x: F.concat(F.lit("s"), x.cast("string"))).alias("names"), item.alias("item"), F.col("r").alias("ord"))
+    docs = trees.rebuild(rows, "doc", "ids", "names", "item", "ord").select("doc", F.to_json(F.struct("scales")).alias("tree"))
+    kinds = Model((Field("item_id", "bigint", "id"), Field("item_type", "string", "type", "rating_scale", blank=True), Field("has_image", "boolean", "img", False)))
+    out = trees.explode_trees(stored(docs, "trees"), "doc", "tree", kinds)  # read twice: for the depth, then the rows
+    return out.select("doc", F.col("ord").cast("long").alias("place"), "scale_id", "scale_name", "scale_depth", F.array_join(F.col("scale_id_path").cast("array<string>"), "/").alias("path"), "item.*")
+
+
 @query("union_sources", """
 SELECT 'documents' AS corpus_source, doc_id AS id, text AS body, lang, NULL::VARCHAR AS role FROM documents
 UNION ALL SELECT 'conversations', conv_id, text, NULL, role FROM conversations""")
