@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.text import match_key
@@ -400,6 +402,20 @@ def release_projection(spark, sf):
     return out.select("vec_id", "scale_id", F.size("item_pooled_m1").cast("long").alias("dim"))
 
 
+@query("release_columns", "SELECT vec_id, label::BIGINT AS scale_id FROM embeddings")
+def release_columns(spark, sf):
+    """Two columns of a sealed release of all vectors, opened with the keys of those two."""
+    import hashlib
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources import release
+
+    e = _embeddings(spark, sf).select("vec_id", F.col("label").cast("long").alias("scale_id"), F.col("embedding").alias("item_pooled_m1"))
+    path, key = f"{ensure_checkpoint_dir(spark)}/release-{uuid.uuid4().hex}", hashlib.sha256(b"a key of this query").digest()
+    release.publish(e, path, key, ["vec_id", "scale_id"], ["item_pooled_"])
+    return release.read_release(spark, path, column_keys={c: release.column_key(key, c) for c in ("vec_id", "scale_id")})
+
+
 @query("item_match", """WITH a AS (SELECT c.label AS a, v FROM c WHERE label < 5), b AS (SELECT label AS b, v FROM c WHERE label >= 5) SELECT count(*) AS n FROM a, b""".replace("WITH a", _CENTROIDS + ", a"))
 def item_match(spark, sf):
     """All scored pairs of two bounded lists."""
