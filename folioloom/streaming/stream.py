@@ -32,16 +32,20 @@ def windowed(df: DataFrame, time: str, by: str, size: str = "1 hour", late: str
     return df.withWatermark(time, late).groupBy(F.window(time, size), by).agg(F.count("*").alias("n"))
 
 
-def counts_of(spark: SparkSession, sf_dir: str, name: str, by: str, value: str) -> DataFrame:
-    """Counts and sums by group, kept by a stream over the table; read once it has taken all there is."""
+def table_stream(spark: SparkSession, sf_dir: str, name: str, files: int = 16) -> DataFrame:
+    """A table of the input folder as a stream, ``files`` of its files a batch."""
     path = f"{sf_dir}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files)
     # A stream reads folders: the table's own where it is one, else the file of that name in its parent.
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     is_folder = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
-    reader = spark.readStream.schema(schema)
-    source = reader.parquet(path) if is_folder else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(path) if is_folder else reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def counts_of(spark: SparkSession, sf_dir: str, name: str, by: str, value: str) -> DataFrame:
+    """Counts and sums by group, kept by a stream over the table; read once it has taken all there is."""
+    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    source = table_stream(spark, sf_dir, name)
     counts = source.groupBy(by).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
     sink = f"{folder}-counts"
 
