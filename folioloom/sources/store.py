@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.model import Model
 from ..session import stored
 from ..streaming.batches import BatchTable
 
@@ -116,6 +117,12 @@ class CellStore:
                     return total
         return total
 
+    def load(self, key: str, extractor: str, model: Model):
+        """A done cell's content as a record of its model, defaults filled in; None where there is none."""
+        rows = self.cells().where((F.col("key") == key) & (F.col("extractor") == extractor) & F.col("content").isNotNull())
+        row = rows.select(model.resolved(F.from_json("content", model.wire_schema())).alias("r")).first()
+        return row and row["r"]
+
     def documents(self, keys: DataFrame, compose: Callable[[dict[str, Column]], Column] | None = None) -> DataFrame:
         """One row a key: each extractor's content, error and attempts, has_errors, and what ``compose`` makes of the contents."""
         rows = self.states(keys)
