@@ -131,10 +131,20 @@ def braces(x: Column) -> Column:
     return F.when(inside != "", inside).otherwise(x)
 
 
-def probes(x: Column) -> Column:
-    """The forms under which a text is looked for: as it is, without a score prefix, its first eight words."""
-    plain = F.regexp_replace(x, r"^[0-9]+\s*[=:.)-]\s*", "")
-    return F.array_distinct(F.array(x, plain, F.array_join(F.slice(F.split(plain, " "), 1, 8), " ")))
+def plain_words(x: Column) -> Column:
+    """Lower-case ASCII letters and digits with single blanks between; marks in angle brackets are left out."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.regexp_replace(x, "<[^>]+>", " ")), "[^a-z0-9 ]", " "), " +", " "))
+
+
+def probe_forms(x: Column) -> Column:
+    """The forms under which a text is looked for, in plain words: as it is, without a score behind or a label before it,
+    and its first eight words where it has so many."""
+    bare = F.regexp_replace(x, r"\s*\(\d+\)\s*$", "")
+    bare = F.regexp_replace(bare, r"^\s*Item \d+\s*(\([A-Z]\d+\))?[:.]\s*", "")
+    bare = plain_words(F.regexp_replace(bare, "[:.]+$", ""))
+    words = F.split(bare, " ")
+    first = F.when(F.size(words) >= 8, F.array_join(F.slice(words, 1, 8), " "))
+    return F.array_distinct(F.array_compact(F.array(plain_words(x), bare, first)))
 
 
 def segment(x: Column) -> Column:

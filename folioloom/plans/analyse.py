@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import match_key
 from ..functions.vectors import cosine, doubles, literal_vector
-from ..operators import matching, pooling, records, report, search, statistics
+from ..operators import matching, pooling, records, report, search, statistics, verbatim
 from .base import query, table
 
 _UNIT = """u AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS n FROM embeddings),
@@ -154,7 +154,7 @@ def encode_distinct(spark, sf):
 @query("verbatim_exact", "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)")
 def verbatim_exact(spark, sf):
     """Items that stand word for word in a document, wherever they begin."""
-    return matching.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "text", "item_id", "text")
+    return verbatim.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "text", "item_id", "text")
 
 
 @query("verbatim_status", """WITH i AS (SELECT b.item_id, b.item_id % 5 AS grp, max(contains(d.text, b.text)::INT) AS hit FROM benchmark b, documents d GROUP BY 1, 2)
@@ -165,6 +165,33 @@ def verbatim_status(spark, sf):
     return items.groupBy("grp").agg(F.when(F.avg(F.coalesce("hit", F.lit(0))) >= 0.9, "ok").otherwise("REVIEW").alias("status"), F.count("*").alias("n"))
 
 
+_NORM = "trim(regexp_replace(regexp_replace(lower(regexp_replace({x}, '<[^>]+>', ' ', 'g')), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+@query("verbatim_check", f"""
+WITH t AS (SELECT conv_id, turn, text, regexp_extract_all(text, '[^ ]+') AS w FROM conversations),
+i AS (SELECT conv_id AS record, turn, CASE turn % 6 WHEN 0 THEN array_to_string(w[3:12], ' ') WHEN 1 THEN 'Item ' || turn || ' (A1): ' || array_to_string(w[2:9], ' ') || ' (2)' WHEN 2 THEN array_to_string(w[1:9], ' ') || ' qqq'
+    WHEN 3 THEN 'qqq ' || array_to_string(w[1:9], ' ') WHEN 4 THEN 'short' ELSE '<b>' || array_to_string(w[4:10], ' , ') || '</b>' END AS text FROM t WHERE conv_id % 9 <> 5),
+f AS (SELECT *, {_NORM.format(x="text")} AS p, {_NORM.format(x="regexp_replace(regexp_replace(regexp_replace(text, '\\s*\\(\\d+\\)\\s*$', ''), '^\\s*Item \\d+\\s*(\\([A-Z]\\d+\\))?[:.]\\s*', ''), '[:.]+$', '')")} AS b FROM i),
+c AS (SELECT conv_id AS record, {_NORM.format(x="text")} AS plain FROM conversations WHERE conv_id % 7 <> 3),
+m AS (SELECT f.record, f.turn, any_value(length(p)) AS n, max((contains(plain, p) OR contains(plain, b) OR (len(string_split(b, ' ')) >= 8 AND contains(plain, array_to_string(string_split(b, ' ')[1:8], ' '))))::INT) AS hit
+  FROM f LEFT JOIN c ON f.record = c.record AND plain <> '' GROUP BY 1, 2),
+g AS (SELECT record, count(*) AS n_items, count_if(n > 12) AS checkable, count_if(n > 12 AND hit = 1) AS matched FROM m GROUP BY 1)
+SELECT r.record, coalesce(n_items, 0) AS n_items, CASE WHEN h.record IS NOT NULL THEN coalesce(checkable, 0) END AS checkable, CASE WHEN h.record IS NOT NULL THEN coalesce(matched, 0) END AS matched,
+  CASE WHEN h.record IS NULL THEN 'no_source_text' WHEN coalesce(checkable, 0) = 0 THEN 'no_checkable_items' WHEN matched >= 0.9 * checkable THEN 'ok' ELSE 'REVIEW' END AS status
+FROM (SELECT DISTINCT conv_id AS record FROM conversations) r LEFT JOIN g ON r.record = g.record LEFT JOIN (SELECT DISTINCT record FROM c WHERE plain <> '') h ON r.record = h.record""")
+def verbatim_check(spark, sf):
+    """Items cut from the turns of a conversation, some labelled, scored, changed or too short, against its turns."""
+    t = table(spark, sf, "conversations").withColumn("w", F.regexp_extract_all("text", F.lit("[^ ]+"), F.lit(0)))
+    cut = lambda a, b, by=" ": F.array_join(F.slice("w", a, b - a + 1), by)
+    kind, lit = F.col("turn") % 6, F.lit
+    text = F.when(kind == 0, cut(3, 12)).when(kind == 1, F.concat(lit("Item "), F.col("turn"), lit(" (A1): "), cut(2, 9), lit(" (2)"))).when(kind == 2, F.concat(cut(1, 9), lit(" qqq")))
+    text = text.when(kind == 3, F.concat(lit("qqq "), cut(1, 9))).when(kind == 4, "short").otherwise(F.concat(lit("<b>"), cut(4, 10, " , "), lit("</b>")))
+    items = t.where("conv_id % 9 <> 5").select(F.col("conv_id").alias("record"), text.alias("text"), F.lit(None).cast("array<string>").alias("options"), F.lit(None).cast("string").alias("note"))
+    sources = t.where("conv_id % 7 <> 3").select(F.col("conv_id").alias("record"), F.col("text").alias("source_text"))
+    return verbatim.check_extractions(t.select(F.col("conv_id").alias("record")), items, sources)
+
+
 @query("lev_similarity", "SELECT a.p_partkey AS a, b.p_partkey AS b, round(levenshtein(lower(a.p_name), lower(b.p_name))::DOUBLE / greatest(length(a.p_name), length(b.p_name)), 6) AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey")
 def lev_similarity(spark, sf):
     p = table(spark, sf, "part")
