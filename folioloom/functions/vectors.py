@@ -24,9 +24,9 @@ def unit(v: Column) -> Column:
 
 
 def _scaled(v: Column, sign: Column) -> Column:
-    # The factor is the variable of an outer function, so it is worked out once a vector, not once a component.
-    factor = F.coalesce(sign / F.nullif(norm(v), F.lit(0.0)), sign)
-    return F.transform(F.array(factor), lambda f: F.transform(doubles(v), lambda x: x * f))[0]
+    # The length is the variable of an outer function, so it is worked out once a vector, not once a component.
+    length = F.coalesce(F.nullif(norm(v), F.lit(0.0)), F.lit(1.0))
+    return F.transform(F.array(length), lambda n: F.transform(doubles(v), lambda x: x * sign / n))[0]
 
 
 def cosine(a: Column, b: Column) -> Column:

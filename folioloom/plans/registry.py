@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analyse, curate, hierarchies, ingest, more, repair  # noqa: F401
+from . import analyse, curate, hierarchies, ingest, more, repair, validities  # noqa: F401
 from .base import ORACLE_SQL, QUERIES  # noqa: F401
 
 
