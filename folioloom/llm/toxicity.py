@@ -1,16 +1,18 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries, one of ordinary and one of toxic text, compress every window of a text (WINDOW words,
-a new one every STRIDE words, so the windows overlap); the difference of the two compressed lengths is the
-window's distance. What a document's distances say is calibrated on labelled documents that trained no
-dictionary: a logistic curve over the three largest distances, the number of windows (more windows, larger chance
+a new one every STRIDE words); the difference of the two compressed lengths is the
+window's distance. What a document's distances say is calibrated on labelled documents: each of FOLDS folds is measured
+with parts that were trained on the others, and all folds train the parts that score documents. The calibration is a
+logistic curve, in which a toxic document weighs TOXIC_WEIGHT ordinary ones, over the three largest distances, the number of windows (more windows, larger chance
 maxima) and the sum of all distances.
 
 *Dictionaries.* Toxic documents are mostly ordinary text, so two dictionaries of whole texts differ by chance
 more than by toxicity. Both therefore begin with the same base, trained by zstandard on windows of ordinary
 documents, and end with a part of their own, trained by zstandard in the same way on excerpts of their class:
 words, and forms of word stems, that stand in many different contexts of one class and hardly in the other (copies
-repeat a context, so they support nothing). A fixed lead and tail around each window, which both dictionaries hold,
+repeat a context, so they support nothing). Training keeps what is frequent and drops some excerpts; it is repeated on
+those until the part holds all or is full. A fixed lead and tail around each window, which both dictionaries hold,
 keep the compressor from storing short windows as they are.
 
 The classifier is fitted on a bounded sample of labelled rows (ORDINARY_SAMPLE, TOXIC_SAMPLE rows in
@@ -28,6 +30,7 @@ from __future__ import annotations
 import random
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,9 @@ from .common import beside, keyed_share, map_slices, remainder, table, utf8
 
 ORDINARY_SAMPLE, TOXIC_SAMPLE = 3000, 1500  # labelled rows, in expectation
 MAX_ROWS = 2 * (ORDINARY_SAMPLE + TOXIC_SAMPLE)  # labelled rows at most, should ids have several texts
-CALIBRATION_SHARE = 0.4  # of the sample: calibrates the thresholds, trains no dictionary
-WINDOW, STRIDE = 6, 3  # words
+FOLDS = 3
+TOXIC_WEIGHT = 2.0
+WINDOW, STRIDE = 3, 3  # words
 BASE_BYTES, OWN_BYTES = 8192, 3072  # of a dictionary: the base, and the part of its class
 BASE_WINDOWS, OWN_SAMPLES = 60_000, 3000  # samples that train the base; samples that train a part, repeated to so many
 SEGMENT, DMER = 24, 6  # zstandard's training: bytes of a segment, bytes that are counted
@@ -139,45 +143,60 @@ def dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 def own_part(forms: list[str]) -> bytes:
-    """The part of a class: trained on its excerpts, repeated to OWN_SAMPLES and mixed."""
-    samples = [b" " + p.encode() for p in forms][: OWN_BYTES // 8]
-    samples = samples * max(1, OWN_SAMPLES // max(1, len(samples)))
-    random.Random(1).shuffle(samples)
-    return dictionary(samples, OWN_BYTES)
+    """The part of a class: trained on its excerpts, repeated to OWN_SAMPLES and mixed, and again on those that the
+    training left out, until all are there or the part is full; what was trained first stands nearest to the text."""
+    left, part = [b" " + p.encode() for p in forms], b""
+    while left and len(part) < OWN_BYTES:
+        samples = left[: OWN_BYTES // 8]
+        samples = samples * max(1, OWN_SAMPLES // len(samples))
+        random.Random(1).shuffle(samples)
+        trained = dictionary(samples, OWN_BYTES)
+        if not any(x in trained for x in left):
+            trained = b"".join(reversed(left))[-OWN_BYTES:]
+        part, left = trained + part, [x for x in left if x not in trained]
+    return part[-OWN_BYTES:]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Weights (constant last) by Newton steps with a small ridge."""
+    """Weights (constant last) by Newton steps with a small ridge; rows of label 1 weigh TOXIC_WEIGHT."""
+    weight = np.where(y > 0, TOXIC_WEIGHT, 1.0)
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     keep = np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + keep, x.T @ (y - p) - keep @ w)
+        step = np.linalg.solve(x.T @ (x * (weight * (p * (1 - p) + 1e-9))[:, None]) + keep, x.T @ (weight * (y - p)) - keep @ w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def fit(rows: list[tuple[bytes, int, bool]]) -> Model:
-    """A model from (text, label, calibrates) rows."""
-    seen = dict.fromkeys(rows)  # copies teach nothing new
-    toxic = [t for t, y, c in seen if y and not c]
-    ordinary = [t for t, y, c in seen if not y and not c]
-    held = [(t, y) for t, y, c in seen if c] or [(t, y) for t, y, _ in seen]
+def fit(rows: list[tuple[bytes, int, int]]) -> Model:
+    """A model from (text, label, fold) rows."""
+    seen = list(dict.fromkeys(rows))  # copies teach nothing new
     share = sum(y for _, y, _ in rows) / len(rows) if rows else 0.0
     constant = float(np.log(share / (1 - share))) if 0 < share < 1 else (500.0 if share else -500.0)
-    flat = Model(b"", b"", (0.0,) * Model.FEATURES + (constant,))
-    if not toxic or not ordinary:
-        return flat
-    usual = [w for t in ordinary for w in windows(t, WINDOW)]
+    flat = (0.0,) * Model.FEATURES + (constant,)
+    usual = [w for t, y, _ in seen if not y for w in windows(t, WINDOW)]
     base = dictionary(usual[:: max(1, len(usual) // BASE_WINDOWS)], BASE_BYTES) or b" "
-    model = Model(base + own_part(excerpts(ordinary, toxic)), base + own_part(excerpts(toxic, ordinary)), flat.weights)
-    measure = model.distances()
-    x, y = np.array([model.features(measure(t)) for t, _ in held], float), np.array([v for _, v in held], float)
-    if 0 < y.sum() < len(y):
-        model.weights = tuple(logistic(x, y).tolist())
+
+    def trained(some: list[tuple[bytes, int, int]]) -> Model | None:
+        toxic, ordinary = [t for t, y, _ in some if y], [t for t, y, _ in some if not y]
+        if toxic and ordinary:
+            return Model(base + own_part(excerpts(ordinary, toxic)), base + own_part(excerpts(toxic, ordinary)), flat)
+        return None
+
+    model = trained(seen)
+    if model is None:
+        return Model(b"", b"", flat)
+    x, y = [], []
+    for fold in sorted({f for _, _, f in seen}):
+        own = trained([r for r in seen if r[2] != fold]) or model  # the only fold measures itself
+        measure = own.distances()
+        x += [model.features(measure(t)) for t, _, f in seen if f == fold]
+        y += [v for _, v, f in seen if f == fold]
+    model.weights = tuple(logistic(np.array(x, float), np.array(y, float)).tolist())
     return model
 
 
@@ -189,12 +208,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     for value, bound in ((0, ORDINARY_SAMPLE), (1, TOXIC_SAMPLE)):
         if counts.get(value):
             draw = draw | ((F.col("label") == value) & (keyed_share("key", "toxicity") < bound / counts[value]))
-    sample = known.where(draw).withColumn("calibrates", keyed_share("key", "calibration") < CALIBRATION_SHARE)
+    sample = known.where(draw)
     # The sample is bounded by its parameters, so broadcasting it is too; MAX_ROWS bounds ids with many texts.
-    picked = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "key").select("key", "text", "label", "calibrates")
+    picked = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "key").select("key", "text", "label")
     rows = picked.dropDuplicates(["key", "text"]).orderBy(F.xxhash64("key", "text"), "key", "text").limit(MAX_ROWS).collect()
     rows.sort(key=lambda r: (r["key"], r["text"] or ""))
-    return fit([((r["text"] or "").encode(), r["label"], r["calibrates"]) for r in rows])
+    texts = [((r["text"] or "").encode("utf-8", "replace"), r["label"]) for r in rows]
+    return fit([(t, y, crc32(t) % FOLDS) for t, y in texts])  # by text: copies share a fold
 
 
 def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
