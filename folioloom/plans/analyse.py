@@ -28,12 +28,11 @@ def keyed_centroid(spark, sf):
     return out.select(F.col("label").cast("long").alias("label"), F.posexplode("centroid").alias("pos", "x")).select("label", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x"))
 
 
-@query("renormalised_centroid", f"WITH {_UNIT} SELECT label::BIGINT AS label, 1.0::DOUBLE AS length FROM e GROUP BY 1")
+@query("renormalised_centroid", f"""WITH {_UNIT}, m AS (SELECT label::BIGINT AS label, (pos - 1)::BIGINT AS pos, avg(x) AS x FROM e GROUP BY 1, 2)
+SELECT label, pos, round(x / sqrt(sum(x * x) OVER (PARTITION BY label)), 6) AS x FROM m""")
 def renormalised_centroid(spark, sf):
-    from ..functions.vectors import norm
-
     out = pooling.renormalised_centroid(_embeddings(spark, sf), ["label"], "embedding", _reverse())
-    return out.select(F.col("label").cast("long").alias("label"), F.round(norm(F.col("centroid")), 6).alias("length"))
+    return out.select(F.col("label").cast("long").alias("label"), F.posexplode("centroid").alias("pos", "x")).select("label", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x"))
 
 
 @query("loo_disagreement", f"""WITH {_UNIT}, s AS (SELECT label, pos, sum(x) AS s FROM e GROUP BY 1, 2), d AS (SELECT e.label, e.vec_id, sum(x * s) - sum(x * x) AS d FROM e JOIN s USING (label, pos) GROUP BY 1, 2)
@@ -375,11 +374,11 @@ def fidelity_bands(spark, sf):
     return table(spark, sf, "events").groupBy(report.bands(sim).alias("band")).agg(F.count("*").alias("n"))
 
 
-@query("summary_text", "SELECT event_type, count(*) AS n, round(avg(value), 4) AS mean FROM events GROUP BY 1")
+@query("summary_text", """SELECT event_type, count(value) AS n,
+  format('{:,.2f} ({:,.2f}) · {:,.2f} [{:,.2f}–{:,.2f}]', avg(value), stddev_samp(value), quantile_cont(value, 0.5), quantile_cont(value, 0.25), quantile_cont(value, 0.75)) AS text FROM events GROUP BY 1""")
 def summary_text(spark, sf):
     d = report.distribution(table(spark, sf, "events"), "value", ["event_type"])
-    d = d.withColumn("text", report.summary_text(F.col("mean"), F.col("sd"), F.col("median"), F.col("q1"), F.col("q3")))
-    return d.where(F.col("text").contains(" · ")).select("event_type", "n", F.round("mean", 4).alias("mean"))
+    return d.select("event_type", "n", report.summary_text(F.col("mean"), F.col("sd"), F.col("median"), F.col("q1"), F.col("q3")).alias("text"))
 
 
 _TIERS = """t AS (SELECT 0 AS r, 'F' AS tier, o_custkey AS k FROM orders WHERE o_orderstatus = 'F' UNION SELECT 1, 'urgent', o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' UNION SELECT 2, 'all', o_custkey FROM orders)"""

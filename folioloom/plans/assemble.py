@@ -555,15 +555,15 @@ def patch(df: DataFrame, ctx: Context, names: list[str] | None = None) -> DataFr
     no changed value, and source text is no repair."""
     prior = F.coalesce("is_patched", F.lit(False)) if _has(df, "is_patched") else F.lit(False)
     old = [c for c in df.columns if c != "is_patched"]
-    kept = df.withColumn("_prior", prior).withColumn("_before", F.struct(*old)).drop("is_patched")
+    # A hash a column stands for the values as they were; it travels through the steps in their place.
+    kept = df.withColumn("_prior", prior).withColumn("_before", F.struct(*(F.xxhash64(c).alias(c) for c in old))).drop("is_patched")
     out = run_steps(kept, PATCH, ctx, names)
 
     def differs(c: str) -> Column:
         before = "doi" if c == "doi_psyctests" and c not in old and "doi" in old else c
         if before not in old:
             return F.col(c).isNotNull()
-        was = F.col(f"_before.{before}")
-        return ~F.col(c).cast(df.schema[before].dataType).eqNullSafe(was)
+        return F.xxhash64(F.col(c).cast(df.schema[before].dataType)) != F.col(f"_before.{before}")
 
     new = [c for c in out.columns if c not in ("_prior", "_before", "pdf_full_text")]
     changed = F.col("_prior")
@@ -577,7 +577,7 @@ def build(placements: DataFrame, names: list[str] | None = None, report_only: bo
     """Patch, then postprocess; with ``report_only`` nothing is counted."""
     ctx = ctx or Context(write=not report_only)
     pick = lambda steps: None if names is None else [n for n in names if n in steps]
-    return run_steps(run_steps(placements, PATCH, ctx, pick(PATCH)), POSTPROCESS, ctx, pick(POSTPROCESS)), ctx
+    return run_steps(patch(placements, ctx, pick(PATCH)), POSTPROCESS, ctx, pick(POSTPROCESS)), ctx
 
 
 def placements(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,13 +85,15 @@ def fill_items(spark, sf):
 
 
 @query("node_vectors", """
-SELECT n.n_nationkey AS node, CASE WHEN n.n_nationkey % 3 = 0 THEN 'direct' WHEN e.vec_id IS NULL THEN NULL ELSE 'sidecar' END AS origin FROM nation n LEFT JOIN embeddings e ON e.vec_id = n.n_nationkey AND n.n_nationkey % 3 = 1""")
+SELECT n.n_nationkey AS node, CASE WHEN n.n_nationkey % 3 = 0 THEN 'direct' WHEN e.vec_id IS NOT NULL THEN 'sidecar' END AS origin, coalesce(d.embedding, e.embedding)[1]::DOUBLE AS first, len(coalesce(d.embedding, e.embedding))::BIGINT AS dim
+FROM nation n LEFT JOIN embeddings d ON d.vec_id = n.n_nationkey AND n.n_nationkey % 3 = 0 LEFT JOIN embeddings e ON e.vec_id = n.n_nationkey AND n.n_nationkey % 3 = 1""")
 def node_vectors(spark, sf):
     """A node's own vector, else that of its name in the sidecar."""
     e, n = table(spark, sf, "embeddings"), table(spark, sf, "nation").select(F.col("n_nationkey").alias("node"), "n_name")
     own = e.where("vec_id % 3 = 0").select(F.col("vec_id").alias("node"), F.col("embedding").alias("v"))
     side = n.join(e, n.node == e.vec_id).where("node % 3 = 1").select("n_name", F.col("embedding").alias("v"))
-    return records.vector_or_name(n, own, side, "node", "n_name", "v").select("node", "origin")
+    out = records.vector_or_name(n, own, side, "node", "n_name", "v")
+    return out.select("node", "origin", F.get("v", F.lit(0)).cast("double").alias("first"), F.when(F.col("v").isNotNull(), F.size("v")).cast("long").alias("dim"))
 
 
 @query("verdict_lookup", """
