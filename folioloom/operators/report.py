@@ -90,6 +90,12 @@ def coverage(universe: DataFrame, key: str, usage: str, tiers: list[tuple[str, D
     return first.groupBy("tier").agg(F.count("*").alias("overlapping"), F.count_if("lead").alias("incremental"), (F.sum(F.when(F.col("lead"), F.col(usage))) / F.lit(total)).alias("usage_share"))
 
 
+def top_missing(records: DataFrame, covered: DataFrame, key: str, usage: str, k: int = 20) -> DataFrame:
+    """The ``k`` records of the largest usage that no row of ``covered`` (key) covers; ties by key, unknown usage last."""
+    left = records.join(covered.select(key).distinct(), key, "left_anti")
+    return left.orderBy(F.col(usage).desc_nulls_last(), key).limit(k)
+
+
 def manifest(df: DataFrame) -> DataFrame:
     """(column, type, nulls, dim, trues): one wide aggregate over the schema, turned to rows."""
     from pyspark.sql.types import ArrayType, BooleanType

@@ -77,6 +77,14 @@ def icc21(df: DataFrame, subject: str, rater: str, value: str) -> DataFrame:
     return ss_rows.crossJoin(ss_cols).crossJoin(ss_all).select(((msr - mse) / (msr + (k - 1) * mse + k * (msc - mse) / n)).alias("icc"))
 
 
+def run_spread(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, n_runs, mean, sd, least, largest, text) of a value over the runs of each document: SD over all runs (not n - 1),
+    and ``M ± SD [least, largest]`` with two digits."""
+    out = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count("*").alias("n_runs"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"), F.min(value).alias("least"), F.max(value).alias("largest"))
+    two = lambda c: F.format_number(c, 2)
+    return out.withColumn("text", F.concat(two("mean"), F.lit(" ± "), two("sd"), F.lit(" ["), two("least"), F.lit(", "), two("largest"), F.lit("]")))
+
+
 def wilson(k: Column, n: Column, z: float = 1.959964) -> Column:
     """struct(low, high); null for n = 0."""
     p = k / F.nullif(n, F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, keyed, unit
-from ..operators import validity
+from ..operators import report, statistics, validity
 from ..operators.hierarchy import vector_sums
 from .base import query, table
 
@@ -74,3 +74,19 @@ def flag_cross_check(spark, sf):
     corpus = validity.searchable([p("no source", F.col("source").isNull()), p("left out", F.col("source") == "src3")])
     flags = [p("short", F.length("text") < 400), p("contact", F.contains("text", F.lit("@"))), p("translated", F.col("lang") != "en")]
     return validity.cross_check(table(spark, sf, "labels"), table(spark, sf, "documents"), "doc_id", p("poor", F.col("quality") == 0), flags, corpus)
+
+
+@query("top_missing", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL) ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 20")
+def top_missing(spark, sf):
+    """The customers of the largest balance that no order covers."""
+    covered = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return report.top_missing(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), covered, "c_custkey", "c_acctbal")
+
+
+@query("run_spread", """SELECT conv_id, count(*) AS n_runs, round(avg(n), 6) AS mean, round(stddev_pop(n), 6) AS sd, min(n) AS least, max(n) AS largest, format('{:,.2f} ± {:,.2f} [{:,.2f}, {:,.2f}]', avg(n), stddev_pop(n), min(n)::DOUBLE, max(n)::DOUBLE) AS text
+FROM (SELECT conv_id, role, sum(length(text))::BIGINT AS n FROM conversations GROUP BY 1, 2) GROUP BY 1""")
+def run_spread(spark, sf):
+    """How much the roles of a conversation write: each role is a run."""
+    n = table(spark, sf, "conversations").groupBy("conv_id", "role").agg(F.sum(F.length("text")).alias("n"))
+    out = statistics.run_spread(n, ["conv_id"], "n")
+    return out.select("conv_id", "n_runs", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"), "least", "largest", "text")
