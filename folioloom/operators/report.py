@@ -36,10 +36,27 @@ def per_unit(universe: DataFrame, rows: DataFrame, unit: list[str], counted: Col
 
 
 def distribution(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
-    """n, mean, sd, least, quartiles, 95th percentile and largest of a column; exact quantiles."""
-    q = F.percentile(value, F.array(*map(F.lit, QUANTILES)))
-    out = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.min(value).cast("double").alias("least"), q.alias("_q"), F.max(value).cast("double").alias("largest"))
-    return out.select(*by, "n", "mean", "sd", "least", *[F.col("_q")[i].alias(name) for i, name in enumerate(("q1", "median", "q3", "p95"))], "largest")
+    """n, mean, sd, least, quartiles, 95th percentile and largest of a column; exact quantiles.
+
+    A quantile between two values a and b is a + (b - a) * share: a (1 - share) + b share, as ``percentile`` has it, can
+    round to the other side. The values are counted first, so that a group's window holds its distinct values only.
+    """
+    out = df.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.min(value).cast("double").alias("least"), F.max(value).cast("double").alias("largest"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+    group = Window.partitionBy(*by)
+    placed = counts.withColumn("_end", F.sum("_c").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(group))
+
+    def quantile(q: float) -> Column:
+        at = (F.col("_n") - 1) * q
+        low, high = (F.min(F.when(F.col("_end") > edge, F.col("_v"))) for edge in (F.floor(at), F.ceil(at)))
+        share = F.max(at - F.floor(at))
+        return F.when(low == high, low).otherwise(low + (high - low) * share)
+
+    names = ("q1", "median", "q3", "p95")
+    found = placed.groupBy(*by).agg(*(quantile(q).alias(name) for q, name in zip(QUANTILES, names, strict=True)))
+    same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+    met = out.join(found.toDF(*(f"_by{i}" for i in range(len(by))), *names), same or F.lit(True), "left")
+    return met.select(*by, "n", "mean", "sd", "least", *names, "largest")
 
 
 def summary_text(mean: Column, sd: Column, median: Column, q1: Column, q3: Column) -> Column:

@@ -49,3 +49,14 @@ def test_fixtures(tmp_path):
     assert matching.compare(tree, actual) == []
     actual["scales"].append({"scale_name": "More"})
     assert [x[1] for x in matching.compare(tree, actual)] == ["warning"]
+
+
+def test_quantiles_between_two_values_round_as_in_sql(spark):
+    from folioloom.operators import report
+
+    rows = [("a", 14.24), ("a", 14.26), ("a", None), (None, 1.0), (None, 1.0), ("e", None)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(3)
+    got = {r.k: (r.n, r.q1, r.median, r.q3, r.p95) for r in report.distribution(df, "x", ["k"]).collect()}
+    low, high = 14.24, 14.26
+    assert got == {"a": (2, *(low + (high - low) * q for q in report.QUANTILES)), None: (2, 1.0, 1.0, 1.0, 1.0), "e": (0, None, None, None, None)}
+    assert got["a"][1] > 14.245
