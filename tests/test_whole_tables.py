@@ -78,3 +78,19 @@ def test_texts_that_differ_behind_a_prefix(spark, tmp_path):
     assert sorted((r.turn, r.cluster) for r in out) == [(0, 1), (1, 2)]
     got = registry.QUERIES["item_assignment"](spark, str(tmp_path)).collect()
     assert sorted((r.a, r.b) for r in got) == [(0, 0), (1, 1)]
+
+
+def test_distances_within_groups_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(matching, "COPIES", 2)
+    rng = random.Random(4)
+    rows = [(k, rng.choice(["g", "h", None]), rng.choice(["Ab", "ab", "abc", "", None])) for k in range(60)]
+    want = set()
+    for a, g, x in rows:
+        for b, h, y in rows:
+            if a < b and g == h and g is not None:
+                longest = max(len(x or ""), len(y or ""))
+                want.add((a, b, None if x is None or y is None else slow_levenshtein(x.lower(), y.lower()) / longest if longest else 0.0))
+    got = matching.distances_within(spark.createDataFrame(rows, "r long, g string, t string").coalesce(1), ["g"], "r", "t")
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert got.rdd.getNumPartitions() == 4  # as many as the session's partitions, few as the bytes are
