@@ -29,6 +29,21 @@ def test_best_counterparts_in_many_blocks(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("wide", [0, 3, 32])
+def test_best_counterparts_of_wide_and_equal_sets(spark, wide):
+    rng = random.Random(5)
+    sets = {d: {rng.randrange(25) for _ in range(rng.randint(1, 7))} for d in range(90)} | {d: {1, 2, 30} for d in range(90, 140)}
+    sets[140], sets[141] = {500}, {501, 502}
+    rows = spark.createDataFrame([(d, i) for d, s in sets.items() for i in s] + [(0, None)], "d long, i long")
+    want = set()
+    for a in range(0, 142, 2):
+        j, b = min((-len(sets[a] & sets[b]) / len(sets[a] | sets[b]), b) for b in range(1, 142, 2))
+        want |= {(a, b, -j)} if j else set()
+    got = matching.best_counterparts(rows, "d", "i", F.col("d") % 2 == 0, F.col("d") % 2 == 1, block=16, wide=wide)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert ("FlatMapGroupsInArrow" in got._jdf.queryExecution().analyzed().toString()) == (wide < 7)  # blocks for wide sets only
+
+
 def slow_levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, c in enumerate(a, 1):
