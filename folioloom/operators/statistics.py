@@ -34,10 +34,10 @@ def alpha_text(df: DataFrame, by: str, run: str, position: str, text: str) -> Da
     and counts as often as its texts occur, and pairs are made within a document only. Null texts are empty; alpha is 1
     where nothing differs or no position is shared, and null for a single run.
     """
-    from .matching import distance
+    from .matching import spread_of, text_edits
 
     # As a struct the key is never null. Texts are dealt by number, as few bytes stand for much work here.
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread_of(df)
     rows = df.select(F.struct(F.col(by).alias("v")).alias("doc"), F.col(run).alias("run"), F.col(position).alias("p"), F.coalesce(text, F.lit("")).alias("t"))
     sizes = rows.groupBy("doc", "run").agg(F.count("*").alias("k"))
     least = sizes.groupBy("doc").agg(F.min("k").alias("k"), F.count("*").alias("r"))
@@ -47,7 +47,8 @@ def alpha_text(df: DataFrame, by: str, run: str, position: str, text: str) -> Da
     one, two = (texts.select("doc", *(F.col(x).alias(f"{x}{side}") for x in ("t", "c", "at"))) for side in "ab")
     pairs = one.join(two, "doc").where(F.col("ta") < F.col("tb"))
     together = F.aggregate(F.map_keys("ata"), F.lit(0).cast("long"), lambda s, p: s + F.col("ata")[p] * F.coalesce(F.try_element_at("atb", p), F.lit(0)))
-    d = 2 * F.pow(distance(F.col("ta"), F.col("tb")), 2.0)  # either way round
+    pairs = pairs.withColumn("edits", text_edits(F.lower("ta"), F.lower("tb")))
+    d = 2 * F.pow(F.col("edits") / F.greatest(F.length("ta"), F.length("tb")), 2.0)  # either way round; one of the two is longer than 0
     sums = pairs.select("doc", d.alias("d"), together.alias("both"), (F.col("ca") * F.col("cb")).alias("all"))
     sums = sums.groupBy("doc").agg(F.sum(F.col("d") * F.col("both")).alias("obs"), F.sum(F.col("d") * F.col("all")).alias("every"))
     n = F.col("k") * F.col("r")

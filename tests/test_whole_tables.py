@@ -109,3 +109,13 @@ def test_distances_within_groups_of_copies(spark, monkeypatch):
     found = [tuple(r) for r in got.collect()]
     assert len(found) == len(want) and set(found) == want
     assert got.rdd.getNumPartitions() == 4  # as many as the session's partitions, few as the bytes are
+
+
+def test_alpha_deals_texts_by_number(spark, monkeypatch):
+    monkeypatch.setattr(matching, "TEXTS_A_TASK", 10)
+    rows = spark.createDataFrame([(k // 4, k % 2, k % 4 // 2, f"Ä text {k}") for k in range(200)], "d long, r long, p long, t string")
+    plan = statistics.alpha_text(rows, "d", "r", "p", "t")._jdf.queryExecution().analyzed().toString()
+    assert "RepartitionByExpression [doc" in plan and ", 20" in plan and "ArrowEvalPython" not in plan
+    assert "edits(" in plan  # not F.levenshtein, which takes a step a pair of letters
+    values = spark.createDataFrame([("kitten", "sitting"), ("", "abc"), (None, "a"), ("ä", "Ä")], "a string, b string")
+    assert [r[0] for r in values.select(matching.text_edits(F.col("a"), F.col("b"))).collect()] == [3, 3, None, 1]
