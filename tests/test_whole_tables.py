@@ -111,6 +111,14 @@ def test_distances_within_groups_of_copies(spark, monkeypatch):
     assert got.rdd.getNumPartitions() == 4  # as many as the session's partitions, few as the bytes are
 
 
+def test_texts_of_documents_are_dealt_by_number(spark, monkeypatch):
+    monkeypatch.setattr(matching, "TEXTS_A_TASK", 10)
+    rows = spark.createDataFrame([(k // 4, k % 4, f"a text of {k}") for k in range(200)], "d long, i long, t string").coalesce(1)
+    got = matching.matched_items(rows, rows, "d", "i", "t")
+    assert got.rdd.getNumPartitions() == 20
+    assert sorted((r.d, r.a, r.b, r.score) for r in got.collect()) == [(k // 4, k % 4, k % 4, 1.0) for k in range(200)]
+
+
 def test_alpha_deals_texts_by_number(spark, monkeypatch):
     monkeypatch.setattr(matching, "TEXTS_A_TASK", 10)
     rows = spark.createDataFrame([(k // 4, k % 2, k % 4 // 2, f"Ä text {k}") for k in range(200)], "d long, r long, p long, t string")
