@@ -58,3 +58,24 @@ def test_buckets_that_go_on_over_many_batches(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert {r.root for r in found} == {values[0]} and {r.node for r in found} == set(values[1:])
+
+
+def test_components_of_few_edges_take_few_tasks(spark):
+    from folioloom.llm.components import components
+
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    tracker = spark.sparkContext.statusTracker()
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        spark.sparkContext.setJobGroup("few-edges", "components")
+        edges = spark.range(40).selectExpr("id u", "id + 1 v").repartition(8)
+        assert {r.root for r in components(edges).collect()} == {0}
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("few-edges") for s in tracker.getJobInfo(j).stageIds]
+        wide = [s for s in stages if s is not None and s.numCompletedTasks >= 64]
+        assert len(wide) <= 3  # the edges' own distinct, and no stage of a round
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
