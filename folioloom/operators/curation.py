@@ -120,14 +120,27 @@ def empty_to_null(x: Column) -> Column:
     return F.when(F.size(x) > 0, x)
 
 
+ROWS_A_TASK = 500_000
+
+
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by keys over so many tasks that each has ROWS_A_TASK rows or so, however few the session's partitions."""
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_A_TASK))
+    return df.repartition(tasks, *keys)
+
+
 def renumbered(df: DataFrame, doc: str, item: str, cluster: str, order: str, out: str = "new_id") -> DataFrame:
-    """New ids 1, 2, ... by first appearance of (id, cluster) in documents where an id has several clusters."""
-    conflicts = df.where(F.col(item).isNotNull()).groupBy(doc, item).agg(F.countDistinct(cluster).alias("_n"))
-    affected = conflicts.where("_n > 1").select(doc).distinct().withColumn("_affected", F.lit(True))
-    firsts = df.groupBy(doc, item, cluster).agg(F.min(order).alias("_first"))
-    ranked = firsts.withColumn("_rank", F.dense_rank().over(Window.partitionBy(doc).orderBy("_first")).cast("long"))
-    joined = df.join(ranked.drop("_first"), [doc, item, cluster], "left").join(affected, doc, "left")
-    return joined.withColumn(out, F.when(F.col("_affected"), F.col("_rank")).otherwise(F.col(item))).drop("_rank", "_affected")
+    """New ids 1, 2, ... by first appearance of (id, cluster) in documents where an id has several clusters. Rows are dealt
+    by document once, over as many tasks as their number needs; all else happens within a task."""
+    several = F.min(cluster).over(Window.partitionBy(doc, item)) < F.max(cluster).over(Window.partitionBy(doc, item))
+    first = F.min(order).over(Window.partitionBy(doc, item, cluster))
+    marked = spread_by(df, doc).withColumn("_first", first).withColumn("_several", F.col(item).isNotNull() & several)
+    ranked = marked.withColumn("_affected", F.bool_or("_several").over(Window.partitionBy(doc)))
+    ranked = ranked.withColumn("_rank", F.dense_rank().over(Window.partitionBy(doc).orderBy("_first")).cast("long"))
+    named = F.col("_rank")
+    for c in (item, cluster):
+        named = F.when(F.col(c).isNotNull(), named)
+    return ranked.withColumn(out, F.when(F.col("_affected") & F.col(doc).isNotNull(), named).otherwise(F.col(item))).drop("_first", "_several", "_affected", "_rank")
 
 
 def changed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

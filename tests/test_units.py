@@ -180,6 +180,17 @@ def test_tree_similarity_and_comparator():
     assert matching.compare({"x": matching.Tag("I sleep", "anywhere")}, actual) == []
 
 
+def test_renumbering_bounds_the_rows_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(curation, "ROWS_A_TASK", 50)
+    rows = [(d, i, c) for d in range(60) for i in (1, 2, None) for c in ((1, None, 2) if d % 2 else (1, 1, 1))]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc long, id long, cluster long, ord long")
+    out = curation.renumbered(df, "doc", "id", "cluster", "ord")
+    assert out.rdd.getNumPartitions() == 11  # 540 rows
+    got = [(r.id, r.cluster, r.new_id) for r in out.where("doc = 1").orderBy("ord").collect()]
+    assert got == [(1, 1, 1), (1, None, None), (1, 2, 3), (2, 1, 4), (2, None, None), (2, 2, 6), (None, 1, None), (None, None, None), (None, 2, None)]
+    assert all(r.new_id == r.id for r in out.where("doc = 2").collect())
+
+
 def test_clusters(spark):
     df = spark.createDataFrame([("d", 1, "I feel calm today", 0), ("d", 1, "I feel calm today.", 1), ("d", 1, "Something else", 2), ("d", 1, None, 3), ("d", 2, "one", 4)], "doc string, id long, t string, ord long")
     assert [r.cluster for r in matching.clustered(df, ["doc", "id"], "t", "ord").orderBy("ord").collect()] == [1, 1, 2, 0, 1]
