@@ -91,3 +91,11 @@ def test_streams(spark, tmp_path):
     hours = stream.windowed(stream.read_stream(spark, str(tmp_path / "in"), df.schema, 10), "ts", "kind", "1 hour", "0 seconds")
     hours.writeStream.format("memory").queryName("hours").outputMode("append").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start().awaitTermination()
     assert {r.kind: r.n for r in spark.table("hours").collect()} == {"a": 2, None: 1}
+
+
+def test_map_distinct_calls_on_few_values_at_a_time(spark):
+    def sized(values):
+        return values.map(lambda v: str(len(values)))
+
+    df = spark.range(0, 2000, 1, 1).selectExpr("cast(id as string) t").coalesce(1)
+    assert {int(r.u) for r in map_distinct(df, "t", sized, "string", out="u").collect()} <= set(range(1, 257))
