@@ -63,7 +63,8 @@ class CellStore:
         """Each key's cells with their state: pending, done or failed."""
         names = F.explode(F.array(*map(F.lit, selected or self.order))).alias("extractor")
         all_ = keys.select(F.col(keys.columns[0]).cast("string").alias("key")).distinct().select("key", names)
-        out = all_.join(self.cells(), ["key", "extractor"], "left")
+        # Joins of a store merge: its files are so much smaller than its rows that Spark takes them for tables to broadcast.
+        out = all_.join(self.cells().hint("merge"), ["key", "extractor"], "left")
         state = F.when(F.col("error").isNotNull(), "failed").when(F.col("content").isNotNull(), "done").otherwise("pending")
         return out.withColumn("state", state).withColumn("attempts", F.coalesce("attempts", F.lit(0)))
 
@@ -102,7 +103,7 @@ class CellStore:
                 now = work.where(F.col("extractor").isin(wave))
                 done = self.cells().where(F.col("content").isNotNull()).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("extractor", "content"))).alias("context"))
                 needs = F.create_map(*(x for e in self.order for x in (F.lit(e), F.array(*map(F.lit, self.depends[e])).cast("array<string>"))))
-                met = now.join(done, "key", "left").withColumn("context", F.coalesce("context", F.create_map().cast("map<string,string>")))
+                met = now.join(done.hint("merge"), "key", "left").withColumn("context", F.coalesce("context", F.create_map().cast("map<string,string>")))
                 met = met.withColumn("ready", F.forall(needs[F.col("extractor")], lambda d: F.map_contains_key("context", d)))
                 out = stored(extract(met.where("ready").drop("ready")), "outcomes")
                 lost = F.coalesce(F.col("unreachable"), F.lit(False)) if "unreachable" in out.columns else F.lit(False)

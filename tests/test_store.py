@@ -126,3 +126,10 @@ def test_a_stream_that_dies_between_data_and_commit(spark, tmp_path, monkeypatch
         batches.append_stream(source(), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     table = batches.append_stream(source(), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     assert sorted(r.id for r in table.table().collect()) == list(range(40)) and len(table.commits()) == 4
+
+
+def test_joins_of_a_store_broadcast_nothing(spark, tmp_path, capsys):
+    cells = store.CellStore(spark, str(tmp_path), {"a": []})
+    cells.run(keys(spark, 4), runner())
+    cells.states(keys(spark, 4)).explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
