@@ -87,12 +87,14 @@ def checkable(chars: Column, pages: Column, images: Column) -> Column:
 
 
 def without_copies(df: DataFrame, path: str) -> DataFrame:
-    """Drops ``name (2).ext`` where ``name.ext`` is there too."""
+    """Drops ``name (2).ext`` where ``name.ext`` is there too. Rows that are no copy by their name, nearly all, join nothing."""
     stem, ending = F.regexp_extract(path, r"^(.+) \([0-9]+\)(\.[A-Za-z0-9]+)\z", 1), F.regexp_extract(path, r"^(.+) \([0-9]+\)(\.[A-Za-z0-9]+)\z", 2)
     original = F.when(ending != "", F.concat(stem, ending))
-    known = df.select(F.col(path).alias("_path")).distinct()
     marked = df.withColumn("_original", original)
-    return marked.join(known, marked["_original"] == known["_path"], "left_anti").drop("_original")
+    wanted = marked.select("_original").where("_original is not null").distinct()
+    known = df.join(wanted, df[path] == wanted["_original"], "left_semi").select(F.col(path).alias("_path")).distinct()
+    copies = marked.where("_original is not null").join(known, F.col("_original") == F.col("_path"), "left_anti")
+    return marked.where("_original is null").unionByName(copies).drop("_original")
 
 
 def propagate(df: DataFrame, key: str, column: str) -> DataFrame:

@@ -191,6 +191,19 @@ def test_renumbering_bounds_the_rows_of_a_task(spark, monkeypatch):
     assert all(r.new_id == r.id for r in out.where("doc = 2").collect())
 
 
+def test_rows_that_are_no_copies_stay_apart(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 400, 1, 4).selectExpr("concat('/a/', id, '.pdf') path")
+        assert curation.without_copies(df, "path").select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_clusters(spark):
     df = spark.createDataFrame([("d", 1, "I feel calm today", 0), ("d", 1, "I feel calm today.", 1), ("d", 1, "Something else", 2), ("d", 1, None, 3), ("d", 2, "one", 4)], "doc string, id long, t string, ord long")
     assert [r.cluster for r in matching.clustered(df, ["doc", "id"], "t", "ord").orderBy("ord").collect()] == [1, 1, 2, 0, 1]
