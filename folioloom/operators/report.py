@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .curation import spread_by
+
 QUANTILES = (0.25, 0.5, 0.75, 0.95)
 
 
@@ -16,17 +18,35 @@ def document_key(path: Column, source: Column, title: Column) -> Column:
 def structure_counts(df: DataFrame, source: str | None, doc: str, item: str, scale: str, path: str) -> DataFrame:
     """Documents, rows, placements, items, scale nodes and item-bearing scales, by source and in total.
 
-    Nodes of a path are counted apart (they multiply rows), then joined to the other counts.
+    Rows are dealt by document once, over as many tasks as their number needs. There each becomes its entries (document,
+    item, bearing scale, nodes of the path), an entry counts once for each source and once for the total, and only
+    counts leave the task.
     """
+    total = F.lit("(all)")
     kept = df.select(F.col(source).alias("source") if source else F.lit(None).cast("string").alias("source"), F.col(doc).alias("d"), F.col(item).alias("i"), F.col(scale).alias("s"), F.col(path).alias("p"))
-    both = lambda frame: frame.unionByName(frame.withColumn("source", F.lit("(all)"))) if source else frame
-    main = both(kept).groupBy("source").agg(
-        F.countDistinct("d").alias("documents"), F.count("*").alias("rows"), F.count("i").alias("placements"),
-        F.countDistinct(F.when(F.col("i").isNotNull(), F.struct("d", "i"))).alias("items"), F.countDistinct(F.when(F.col("s").isNotNull(), F.struct("d", "s"))).alias("bearing_scales"),
+    none = {c: F.lit(None).cast(kept.schema[c].dataType) for c in ("i", "s")} | {"n": F.lit(None).cast(kept.schema["p"].dataType.elementType)}
+    entry = lambda kind, **of: F.struct(F.lit(kind).alias("kind"), *(of.get(c, none[c]).alias(c) for c in none))
+    some = lambda wanted, x: F.when(wanted, F.array(x)).otherwise(F.array().cast(kept.select(F.array(entry("d")).alias("x")).schema["x"].dataType))
+    i, s, named = F.col("i"), F.col("s"), F.col("d").isNotNull()
+    nodes = F.transform(F.filter(F.when(named, F.col("p")), lambda n: n.isNotNull()), lambda n: entry("n", n=n))
+    empty = some(F.lit(False), entry("d"))
+    entries = F.concat(some(named, entry("d")), some(i.isNotNull(), entry("i", i=i)), some(s.isNotNull(), entry("s", s=s)), F.coalesce(nodes, empty))
+    each = spread_by(kept, "d").select("source", "d", F.explode(entries).alias("e")).select("source", "d", "e.*").distinct()
+    first = F.row_number().over(Window.partitionBy("d", "kind", "i", "s", "n").orderBy("source")) == 1
+    counts = each.withColumn("first", first).groupBy("source", "kind").agg(F.count("*").alias("n"), F.count_if("first").alias("once"))
+    rows = kept.groupBy("source").agg(F.count("*").alias("rows"), F.count("i").alias("placements"))
+    if source:
+        # A source that is named like the total is in the total already.
+        one = lambda name, n: F.struct(name.alias("source"), F.col("kind"), n.alias("n"))
+        own = F.when(F.col("source").eqNullSafe(total), 0).otherwise(F.col("n"))
+        counts = counts.select(F.inline(F.array(one(F.col("source"), own), one(total, F.col("once")))))
+        rows = rows.unionByName(rows.withColumn("source", total))
+    of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    both = rows.select("source", "rows", "placements", F.lit(None).alias("kind"), F.lit(None).cast("long").alias("n")).unionByName(counts.select("source", F.lit(None).cast("long").alias("rows"), F.lit(None).cast("long").alias("placements"), "kind", "n"))
+    return both.groupBy("source").agg(
+        of("d").alias("documents"), F.sum("rows").alias("rows"), F.sum("placements").alias("placements"),
+        of("i").alias("items"), of("s").alias("bearing_scales"), of("n").alias("nodes"),
     )
-    nodes = both(kept.select("source", "d", F.explode("p").alias("n"))).groupBy("source").agg(F.countDistinct("d", "n").alias("nodes"))
-    joined = main.join(nodes, main["source"].eqNullSafe(nodes["source"]), "left").drop(nodes["source"])
-    return joined.select("source", "documents", "rows", "placements", "items", "bearing_scales", F.coalesce("nodes", F.lit(0)).alias("nodes"))
 
 
 def per_unit(universe: DataFrame, rows: DataFrame, unit: list[str], counted: Column) -> DataFrame:

@@ -204,6 +204,15 @@ def test_rows_that_are_no_copies_stay_apart(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_structure_counts_multiply_no_rows_by_their_counts(spark, capsys):
+    rows = [("x", "d", 1, 5, [7, None]), ("x", "d", None, 5, None), ("y", "d", 1, None, [7]), ("y", None, 1, 5, [7]), (None, "e", 2, 6, [])]
+    out = report.structure_counts(spark.createDataFrame(rows, "src string, d string, i long, s long, p array<long>"), "src", "d", "i", "s", "p")
+    got = {r.source: (r.documents, r.rows, r.placements, r["items"], r.bearing_scales, r.nodes) for r in out.collect()}
+    assert got == {"x": (1, 2, 1, 1, 1, 1), "y": (1, 2, 2, 2, 1, 1), None: (1, 1, 1, 1, 1, 0), "(all)": (2, 5, 4, 3, 3, 1)}
+    out.explain()
+    assert "Expand" not in capsys.readouterr().out
+
+
 def test_clusters(spark):
     df = spark.createDataFrame([("d", 1, "I feel calm today", 0), ("d", 1, "I feel calm today.", 1), ("d", 1, "Something else", 2), ("d", 1, None, 3), ("d", 2, "one", 4)], "doc string, id long, t string, ord long")
     assert [r.cluster for r in matching.clustered(df, ["doc", "id"], "t", "ord").orderBy("ord").collect()] == [1, 1, 2, 0, 1]
