@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,13 +11,14 @@ from ..operators import hierarchy
 from ..session import stored
 from .base import query, table
 
-COLUMNS = hierarchy.Placements("doc", "ord", "ids", "names", "item", "rev", "item_v", "name_v", "title_v", ("flag",), ("clerk",), ("status",))
+COLUMNS = hierarchy.Placements("doc", "ord", "ids", "names", "item", "rev", "item_at", "name_at", "title_at", ("flag",), ("clerk",), ("status",))
 
 
 def placements(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as placements: documents are priorities (the lowest is none), scales are regions, nations and groups of
-    customers, items are customers. Some orders lie outside the scales, some have no item, some end at the nation."""
-    o, c, n, e = (table(spark, sf, x) for x in ("orders", "customer", "nation", "embeddings"))
+    customers, items are customers. Some orders lie outside the scales, some have no item, some end at the nation.
+    Vectors are ids of ``vectors``."""
+    o, c, n = (table(spark, sf, x) for x in ("orders", "customer", "nation"))
     rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     ids = F.array(F.col("n_regionkey") + 1, F.col("n_nationkey") + 100, 1000 + F.col("n_nationkey") * 10 + F.col("c_custkey") % 3).cast("array<long>")
     ids = F.when(F.col("o_orderkey") % 11 > 0, F.when(F.col("o_orderkey") % 4 == 0, F.slice(ids, 1, 2)).otherwise(ids))
@@ -26,11 +29,11 @@ def placements(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus") == "F").alias("flag"), F.col("c_name").alias("clerk"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("status"),
         (F.col("c_custkey") % 700).alias("item_at"), F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_orderkey") % 50).alias("title_at"),
     )
-    rows = rows.withColumn("names", F.transform("ids", lambda x: F.concat(F.lit("n"), x.cast("string")))).withColumn("name_at", F.when((last % 2 == 0) & (F.col("ord") % 3 > 0), last % 40))
-    for name in ("item", "name", "title"):
-        vectors = e.select(F.col("vec_id").alias(f"{name}_id"), F.col("embedding").alias(f"{name}_v"))
-        rows = rows.join(vectors, F.col(f"{name}_at") == F.col(f"{name}_id"), "left")
-    return rows.select("doc", "ord", "ids", "names", "item", "rev", "flag", "clerk", "status", "item_v", "name_v", "title_v")
+    return rows.withColumn("names", F.transform("ids", lambda x: F.concat(F.lit("n"), x.cast("string")))).withColumn("name_at", F.when((last % 2 == 0) & (F.col("ord") % 3 > 0), last % 40))
+
+
+def vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").select("vec_id", "embedding")
 
 
 def names(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +71,8 @@ SELECT {_where('n.node').replace("doc", "n.doc", 1)}, n.node = -1 AS is_instrume
 FROM n LEFT JOIN l ON n.doc = l.doc AND n.node = l.node LEFT JOIN z ON n.doc = z.doc AND n.node = z.node LEFT JOIN d ON n.doc = d.doc AND n.node = d.node JOIN r ON n.doc = r.doc LEFT JOIN w ON n.doc = w.doc AND n.node = w.node""")
 def pooled_nodes(spark, sf):
     """Every node and document with its counts, flags, carried columns and keying disagreements."""
-    out = hierarchy.pool(stored(placements(spark, sf), "placements"), COLUMNS, names(spark, sf))
+    of_items = replace(COLUMNS, name_vector=None, title_vector=None)  # labels are not in the result
+    out = hierarchy.pool(stored(placements(spark, sf), "placements"), of_items, vectors=vectors(spark, sf))
     return out.select("doc", "node", "is_instrument", "name", "depth", "n_items", "n_scales", "flag", "keying_disagreements", "clerk", "status")
 
 
@@ -79,7 +83,7 @@ def _long(df: DataFrame, vector: str) -> DataFrame:
 @query("pooled_items", f"{_SQL} SELECT {_where()}, pos, round(m, 6) AS x FROM s")
 def pooled_items(spark, sf):
     """The item vector of every node and document, one row a position."""
-    return _long(hierarchy.item_pools(stored(placements(spark, sf), "placements"), COLUMNS), "item_pooled")
+    return _long(hierarchy.item_pools(stored(placements(spark, sf), "placements"), COLUMNS, vectors(spark, sf)), "item_pooled")
 
 
 @query("pooled_labels", f"""{_SQL},
@@ -91,4 +95,5 @@ v AS (SELECT q.doc, q.node, o.vec_id FROM q JOIN o ON q.doc = o.doc AND q.below
 SELECT {_where()}, pos, round(avg(x), 6) AS x FROM v JOIN e ON e.vec_id = v.vec_id GROUP BY doc, node, pos""")
 def pooled_labels(spark, sf):
     """The label vector of every node and document: names of the node and all below it, and the title."""
-    return _long(hierarchy.pool(stored(placements(spark, sf), "placements"), COLUMNS, names(spark, sf)).select("doc", "node", "scale_pooled"), "scale_pooled")
+    out = hierarchy.pool(stored(placements(spark, sf), "placements"), COLUMNS, names(spark, sf), vectors(spark, sf), items=False)
+    return _long(out.select("doc", "node", "scale_pooled"), "scale_pooled")

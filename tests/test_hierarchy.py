@@ -116,3 +116,48 @@ def test_partial_sums_hold_over_batches(spark, monkeypatch):
     monkeypatch.setattr(hierarchy, "PARTIAL_ROWS", 4)  # keys that don't repeat are sent on
     one = hierarchy.vector_sums(rows.limit(60).withColumn("k", F.col("v")[0].cast("long")), ["k"], "v")
     assert sorted((r.k, r.n) for r in one.collect()) == [(k, 1) for k in range(60)]
+
+
+@pytest.mark.parametrize("most", [0, 10_000])
+def test_vectors_by_reference(spark, monkeypatch, most):
+    monkeypatch.setattr(hierarchy, "FIRSTS", most)  # 0: first rows and sums are joined by keys
+    monkeypatch.setattr(hierarchy, "SUM_VALUES", most)
+    rng = random.Random(8)
+    table = {k: [rng.uniform(-1, 1) for _ in range(4)] for k in range(6)}
+    rows = [(*r[:6], *(rng.choice([None, 99, *table]) for _ in range(3)), *r[9:]) for r in made(150, 4)]  # 99 is not in the table
+    kinds = KINDS.replace("_embedding array<float>", "_embedding long")
+    vectors = spark.createDataFrame([*table.items(), (None, [1.0] * 4), (7, None)], "id long, v array<float>")
+    names = spark.createDataFrame([("name 1", [2.0] * 4)], "name string, vector array<float>")
+    out = hierarchy.pool(spark.createDataFrame(rows, kinds).repartition(3), COLUMNS, names, vectors).collect()
+    want = plain([(*r[:6], *(table.get(x) for x in r[6:9]), *r[9:]) for r in rows], {"name 1": [2.0] * 4})
+    assert len(out) == len(want) and {(r.doc, r.node) for r in out} == set(want)
+    for r in out:
+        for name, value in want[r.doc, r.node].items():
+            assert same(r[name], value), (r.doc, r.node, name, r[name], value)
+
+
+def test_rows_move_without_their_vectors(spark, monkeypatch):
+    tables = {}
+    monkeypatch.setattr(hierarchy, "stored", lambda df, name, f=hierarchy.stored: tables.setdefault(name, f(df, name)))
+    many = F.array_repeat((F.col("id") % 3 - 1).cast("float"), 50)
+    rows = spark.range(3000).select(F.lit("d").alias("path"), F.col("id").alias("ord"), F.expr("array(1L, 2L + id % 2)").alias("scale_id_path"), F.lit(None).cast("array<string>").alias("scale_name_path"), (F.col("id") % 900).alias("item_item_id"), (F.col("id") % 4 == 0).alias("item_reverse_coded"), many.alias("item_embedding"))
+    c = hierarchy.Placements(name_vector=None, title_vector=None)
+    out = {r.node: (r.n_items, len(r.item_pooled)) for r in hierarchy.pool(rows, c).collect()}
+    assert out == {None: (900, 50), 1: (900, 50), 2: (450, 50), 3: (450, 50)}
+    # Three vectors: as many are kept, and a node has a row for each; no row carries one along.
+    assert tables["vectors"].count() == 3 and tables["weights"].count() == 12 and tables["paths"].count() == 2
+    assert not [f for name in ("weights", "paths", "firsts") for f in tables[name].schema if "float" in f.dataType.simpleString() or "double" in f.dataType.simpleString()]
+
+
+def test_two_vectors_of_one_hash(spark, monkeypatch):
+    monkeypatch.setattr(hierarchy, "_hash", lambda vector, seed, f=hierarchy._hash: F.lit(1).cast("long") if seed == 0 else f(vector, seed))
+    rows = made(60, 6)
+    out = hierarchy.pool(spark.createDataFrame(rows, KINDS), COLUMNS).collect()
+    want = plain(rows, {})
+    assert len(out) == len(want) and all(same(r[x], want[r.doc, r.node][x]) for r in out for x in ("item_pooled", "scale_pooled", "keying_disagreements"))
+
+
+def test_placements_hold_no_vectors(spark):
+    from folioloom.plans import hierarchies
+
+    assert not [f.name for f in hierarchies.placements(spark, "/root/testdata/sf0.001").schema if "float" in f.dataType.simpleString()]
