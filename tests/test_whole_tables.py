@@ -111,6 +111,20 @@ def test_distances_within_groups_of_copies(spark, monkeypatch):
     assert got.rdd.getNumPartitions() == 4  # as many as the session's partitions, few as the bytes are
 
 
+def test_pairs_are_dealt_alike_in_any_order_of_arrival(spark, monkeypatch):
+    monkeypatch.setattr(matching, "COPIES", 8)
+    rows = [(k, "gh"[k % 2], "abc"[k % 3]) for k in range(180)]
+    dealt = []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # one plan, as a task that is run again has
+    try:
+        for arrival in (rows, rows[::-1]):
+            got = matching.distances_within(spark.createDataFrame(arrival, "r long, g string, t string").coalesce(1), ["g"], "r", "t")
+            dealt.append([sorted((r.a, r.b) for r in part) for part in got.rdd.glom().collect()])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert dealt[0] == dealt[1] and sum(map(len, dealt[0])) == 2 * 90 * 89 // 2
+
+
 def test_texts_of_documents_are_dealt_by_number(spark, monkeypatch):
     monkeypatch.setattr(matching, "TEXTS_A_TASK", 10)
     rows = spark.createDataFrame([(k // 4, k % 4, f"a text of {k}") for k in range(200)], "d long, i long, t string").coalesce(1)
